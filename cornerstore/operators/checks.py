@@ -120,33 +120,40 @@ def surplus_line(name: str, left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
+def _count_lines(counts: DataFrame, quarantine: DataFrame) -> DataFrame:
+    """The three count checks from one row of ``disposition_counts``."""
+    stored = quarantine.agg(F.count(F.lit(1))).scalar()
+    lines = {
+        "bronze_not_empty": F.when(F.col("input_rows") > 0, 0).otherwise(1),
+        "valid_plus_rejected_is_bronze": F.abs(F.expr("input_rows - valid_rows - rejected_rows")),
+        "quarantine_count": F.abs(F.col("rejected_rows") - F.col("stored_rows")),
+    }
+    structs = [F.struct(F.lit(n).alias("check_name"), c.cast("long").alias("failures")) for n, c in lines.items()]
+    return counts.withColumn("stored_rows", stored).select(F.inline(F.array(*structs)))
+
+
 def medallion_gate(
-    bronze: DataFrame,
-    valid: DataFrame,
+    counts: DataFrame,
     latest_valid: DataFrame,
     rejected: DataFrame,
-    silver: DataFrame,
     quarantine: DataFrame,
+    silver: DataFrame,
     gold: dict[str, DataFrame],
     serving: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """All cross-layer checks as (check_name, failures, passed).
 
-    ``serving`` maps dataset names to the rows read back from the serving store;
-    its two checks are left out where there is none.
+    ``counts`` are the batch's ``disposition_counts``. ``serving`` maps dataset
+    names to the rows read back from the serving store; its two checks are left
+    out where there is none.
     """
     dimensional = {name: gold[name] for name in RECONCILED_DATASETS}
-    classified = valid.select("order_id").unionByName(rejected.select("order_id"))
     lines = [
-        bronze.agg(F.when(F.count(F.lit(1)) > 0, 0).otherwise(1).cast("long").alias("failures")).select(
-            F.lit("bronze_not_empty").alias("check_name"), "failures"
-        ),
-        surplus_line("valid_plus_rejected_is_bronze", bronze, classified),
+        _count_lines(counts, quarantine),
         failures("silver_orders_unique", duplicate_keys(silver, ["order_id"])),
         failures("silver_rows_valid", silver_violations(silver)),
         failures("batch_reached_silver", lineage_gaps(latest_valid, silver)),
         failures("quarantine_matches", multiset_difference(rejected, quarantine, ["record_fingerprint"])),
-        surplus_line("quarantine_count", rejected, quarantine),
         failures("gold_revenue_matches", revenue_mismatches(silver, dimensional)),
     ]
     if serving is not None:

@@ -38,11 +38,8 @@ def scd2(
     first reduced to one; without it the pairs must be unique.
     """
     slice_of = F.date_trunc("day", F.col(sequence)) if slice_by is None else slice_by
-    if tie_break:
-        events = one_event_per_sequence(events, keys, sequence, tie_break)
-    sliced = events.withColumn("_slice", slice_of)
-
-    starts = sliced.groupBy(*keys, "_slice").agg(F.min(sequence).alias("_first"))
+    # Starts need no deduplicated events: copies share their sequence.
+    starts = events.groupBy(*keys, slice_of.alias("_slice")).agg(F.min(sequence).alias("_first"))
     next_start = F.lead("_first").over(Window.partitionBy(*keys).orderBy("_slice"))
     markers = (
         starts.select(*keys, "_slice", next_start.alias(sequence))
@@ -50,10 +47,13 @@ def scd2(
         .withColumn("_marker", F.lit(True))
     )
 
+    if tie_break:
+        events = one_event_per_sequence(events, keys, sequence, tie_break)
     in_slice = Window.partitionBy(*keys, "_slice").orderBy(sequence)
     dropped = [name for name in except_columns if name in events.columns]
     return (
-        sliced.withColumn("_marker", F.lit(False))
+        events.withColumn("_slice", slice_of)
+        .withColumn("_marker", F.lit(False))
         .unionByName(markers, allowMissingColumns=True)
         .withColumn(END, F.lead(sequence).over(in_slice))
         .filter(~F.col("_marker") & ~F.coalesce(F.expr(deletes), F.lit(False)))

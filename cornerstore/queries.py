@@ -26,7 +26,7 @@ from cornerstore.operators.watermark import Watermark, after_watermark, greatest
 from cornerstore.plans import cdc, lakehouse, loads, medallion, models
 from cornerstore.plans.inputs import bronze_lines, order_events, order_lines, table
 from cornerstore.schemas import schema
-from cornerstore.session import shared_folder
+from cornerstore.session import shared_folder, write_and_reread
 from cornerstore.sinks import files as sinks
 from cornerstore.sources import files as sources, streams
 from cornerstore.streaming import jobs
@@ -302,22 +302,22 @@ def mart_daily_sales(spark, folder):
 @query
 def merge_upsert(spark, folder):
     lake = _lake(spark, folder)
-    target = _lake_latest(lake.filter("quantity >= 25"))
-    source = _lake_latest(lake.filter("quantity < 25"))
+    target = write_and_reread(_lake_latest(lake.filter("quantity >= 25")), "target")
+    source = write_and_reread(_lake_latest(lake.filter("quantity < 25")), "source")
     return merge.merge_newer(target, source, ["order_id"], ["updated_at"])
 
 
 @query
 def merge_incremental(spark, folder):
     lake = _lake(spark, folder)
-    target = _lake_latest(lake.filter(CUT).filter("quantity >= 10"))
-    return merge.merge_incremental(target, _lake_latest(lake), ["order_id"])
+    target = write_and_reread(_lake_latest(lake.filter(CUT).filter("quantity >= 10")), "target")
+    return merge.merge_incremental(target, write_and_reread(_lake_latest(lake), "source"), ["order_id"])
 
 
 @query
 def snapshot_merge(spark, folder):
     valid, _ = _classified(spark, folder)
-    snapshot = latest_silver(valid.filter("quantity >= 25"))
+    snapshot = write_and_reread(latest_silver(valid.filter("quantity >= 25")), "snapshot")
     return merge.merge_snapshot(snapshot, valid.filter("quantity < 25")).select(*SILVER_OUT)
 
 
@@ -386,7 +386,7 @@ def change_stamp(spark, folder):
 def _dimension(spark, folder, name):
     """A dimension after two loads: the orders before 2000, then all orders."""
     key, columns = star.DIMENSIONS[name]
-    sales = _lake(spark, folder)
+    sales = write_and_reread(_lake(spark, folder).select(*columns, "updated_at"), "sales")
     first = star.extend_dimension(None, star.members(sales.filter(CUT), columns), key, columns)
     return star.extend_dimension(first, star.members(sales, columns), key, columns)
 
@@ -409,7 +409,7 @@ def star_dim_city(spark, folder):
 @query
 def star_fact(spark, folder):
     """All dimensions numbered in one load, then the fact rows."""
-    sales = _lake_latest(_lake(spark, folder))
+    sales = write_and_reread(_lake_latest(_lake(spark, folder)), "sales")
     dims = [
         star.extend_dimension(None, star.members(sales, columns), key, columns)
         for key, columns in star.DIMENSIONS.values()
@@ -421,7 +421,7 @@ def star_fact(spark, folder):
 def star_load(spark, folder):
     """The whole load run twice on growing sales, fact rows appended."""
     root = shared_folder(spark, "star")
-    sales = _lake_latest(_lake(spark, folder))
+    sales = write_and_reread(_lake_latest(_lake(spark, folder)), "sales")
     loads.load_star(spark, sales.filter(CUT), root, "first")
     return loads.load_star(spark, sales.filter(f"NOT ({CUT})"), root, "second")["fact_sales"]
 
@@ -493,7 +493,7 @@ def dq_fingerprint_diff(spark, folder):
 
 @query
 def dq_revenue(spark, folder):
-    silver = _silver(spark, folder)
+    silver = write_and_reread(_silver(spark, folder), "silver")
     gold = {
         "category_sales": metrics.category_sales(silver, stamp(), True),
         "city_sales": metrics.city_sales(silver, stamp(), True),
@@ -861,9 +861,10 @@ def _models(spark, folder) -> tuple[str, DataFrame]:
     """The model graph built twice: on the history of the early events, then on all of it."""
     changes = _changes(spark, folder)
     root = shared_folder(spark, "models")
-    sources_of = {"silver_orders_history": _history(changes.filter(EVENT_CUT))}
+    early = write_and_reread(_history(changes.filter(EVENT_CUT)), "history")
+    sources_of = {"silver_orders_history": early}
     models.build_models(spark, models.RETAIL_MODELS, sources_of, root, "one", stamp())
-    sources_of = {"silver_orders_history": _history(changes)}
+    sources_of = {"silver_orders_history": write_and_reread(_history(changes), "history")}
     return root, models.build_models(spark, MODELS_AFTER, sources_of, root, "two", later())
 
 

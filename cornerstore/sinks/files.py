@@ -31,7 +31,7 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with a header; outer spaces of a value are kept."""
+    """CSV with a header; outer spaces of a value are kept. CSV reads empty text back as NULL."""
     (
         df.write.mode(mode)
         .option("header", True)
@@ -119,8 +119,15 @@ def commit_snapshots(spark: SparkSession, root: str, publication_id: str, paths:
     if path_exists(spark, f"{root}/manifest"):
         manifest = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{root}/manifest")
         number = (manifest.agg(F.max("publication_no")).first()[0] or 0) + 1
-    rows = [(number, publication_id, name, path) for name, path in paths.items()]
-    spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/manifest")
+    lines = [
+        F.struct(
+            F.lit(number).cast("long").alias("publication_no"), F.lit(publication_id).alias("publication_id"),
+            F.lit(name).alias("dataset"), F.lit(path).alias("path"),
+        )
+        for name, path in paths.items()
+    ]
+    rows = spark.range(1, numPartitions=1).select(F.inline(F.array(*lines)))
+    rows.write.mode("append").parquet(f"{root}/manifest")
 
 
 def publish_snapshots(datasets: dict[str, DataFrame], root: str, publication_id: str) -> dict[str, str]:
@@ -130,12 +137,17 @@ def publish_snapshots(datasets: dict[str, DataFrame], root: str, publication_id:
     return paths
 
 
-def current_path(spark: SparkSession, root: str, name: str) -> str | None:
-    """Where the published version of a dataset lies, None before the first publication."""
+def current_paths(spark: SparkSession, root: str) -> dict[str, str]:
+    """Where the published version of each dataset lies; empty before the first publication."""
     if not path_exists(spark, f"{root}/manifest"):
-        return None
+        return {}
     manifest = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{root}/manifest")
-    return manifest.filter(F.col("dataset") == name).agg(F.max_by("path", "publication_no")).first()[0]
+    newest = manifest.groupBy("dataset").agg(F.max_by("path", "publication_no").alias("path"))
+    return {row["dataset"]: row["path"] for row in newest.collect()}  # one short row per dataset
+
+
+def current_path(spark: SparkSession, root: str, name: str) -> str | None:
+    return current_paths(spark, root).get(name)
 
 
 def read_snapshot(spark: SparkSession, root: str, name: str) -> DataFrame:

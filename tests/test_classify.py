@@ -1,0 +1,175 @@
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from cornerstore.contracts import AMOUNT_RULE, MEDALLION_RULES, SILVER_COLUMNS
+from cornerstore.operators.checks import disposition_counts
+from cornerstore.operators.classify import Rule, count_unexpected, keep_expected, split_rows
+from cornerstore.operators.clean import (
+    classify_bronze, classify_lake_rows, clean_bronze, judge_events, quarantined_events, valid_events,
+)
+from cornerstore.operators.latest import latest_silver
+from cornerstore.operators.metrics import daily_category_sales, daily_store_sales
+
+BRONZE = (
+    "order_id long, customer_name string, product string, category string, price decimal(12,2), "
+    "quantity int, city string, updated_at timestamp, ingested_at timestamp, ingestion_date date, batch_id string"
+)
+
+
+def bronze(spark, *rows):
+    """Rows of (id, name, product, category, price, quantity, city, updated, batch)."""
+    text = [
+        (i, n, p, c, None if price is None else Decimal(price), q, city, u, b)
+        for i, n, p, c, price, q, city, u, b in rows
+    ]
+    frame = spark.createDataFrame(
+        text,
+        "order_id long, customer_name string, product string, category string, price decimal(12,2), "
+        "quantity int, city string, u string, batch_id string",
+    )
+    return (
+        frame.withColumn("updated_at", F.col("u").cast("timestamp"))
+        .withColumn("ingested_at", F.expr("TIMESTAMP '2026-01-05 00:00:00'"))
+        .withColumn("ingestion_date", F.expr("DATE '2026-01-05'"))
+        .drop("u")
+    )
+
+
+GOOD = (1, " Ann ", " Pen", "Office ", "1250.50", 2, " Rome ", "2026-01-01 10:00:00", "b1")
+
+
+def test_valid_row_is_trimmed_and_gets_its_amount(spark):
+    valid, rejected = classify_bronze(bronze(spark, GOOD))
+    row = valid.first()
+    assert (row.customer_name, row["product"], row.category, row.city) == ("Ann", "Pen", "Office", "Rome")
+    assert row.total_amount == Decimal("2501.00")
+    assert rejected.count() == 0
+    assert set(valid.columns) == set(SILVER_COLUMNS)
+
+
+def test_one_row_carries_all_its_reasons_in_order(spark):
+    _, rejected = classify_bronze(bronze(spark, (1, " ", "Pen", "Office", "-1", 0, "", None, "b1")))
+    row = rejected.first()
+    assert row.rejection_reasons == [
+        "customer_name_is_blank", "city_is_blank", "price_is_negative", "quantity_is_not_positive",
+        "updated_at_is_null",
+    ]
+    assert len(row.record_fingerprint) == 64
+
+
+def test_null_price_gives_one_reason(spark):
+    _, rejected = classify_bronze(bronze(spark, (1, "Ann", "Pen", "Office", None, 1, "Rome", "2026-01-01", "b1")))
+    assert rejected.first().rejection_reasons == ["price_is_null"]
+
+
+def test_fingerprint_ignores_processing_time(spark):
+    rows = bronze(spark, (1, "", "Pen", "Office", "1", 1, "Rome", "2026-01-01", "b1"))
+    first = classify_bronze(rows, F.expr("TIMESTAMP '2026-02-01 00:00:00'"))[1].first()
+    second = classify_bronze(rows, F.expr("TIMESTAMP '2026-03-01 00:00:00'"))[1].first()
+    assert first.record_fingerprint == second.record_fingerprint
+
+
+def test_amount_overflow_is_null_and_rejected_on_request(spark):
+    rows = bronze(spark, (1, "Ann", "Pen", "Office", "9999999999.99", 2147483647, "Rome", "2026-01-01", "b1"))
+    valid, _ = classify_bronze(rows)
+    assert valid.first().total_amount is None
+    _, rejected = classify_bronze(rows, rules=(*MEDALLION_RULES, AMOUNT_RULE))
+    assert rejected.first().rejection_reasons == ["total_amount_is_null"]
+
+
+def test_unreadable_values_become_reasons_not_errors(spark):
+    raw = spark.createDataFrame(
+        [("x", "Ann", "Pen", "Office", "cheap", "many", "Rome", "yesterday", None, None, "b1")],
+        "order_id string, customer_name string, product string, category string, price string, quantity string, "
+        "city string, updated_at string, ingested_at string, ingestion_date string, batch_id string",
+    )
+    assert classify_bronze(raw)[1].first().rejection_reasons == [
+        "order_id_is_null", "price_is_null", "quantity_is_null", "updated_at_is_null",
+    ]
+
+
+def test_valid_and_rejected_add_up(spark):
+    rows = bronze(spark, GOOD, (2, "", "Pen", "Office", "1", 1, "Rome", "2026-01-01", "b1"))
+    counts = disposition_counts(clean_bronze(rows), MEDALLION_RULES).first()
+    assert (counts.input_rows, counts.valid_rows, counts.rejected_rows) == (2, 1, 1)
+
+
+def test_newest_version_wins(spark):
+    older = (*GOOD[:2], "Old", *GOOD[3:])
+    newer = (*GOOD[:2], "New", *GOOD[3:7], "2026-01-02 10:00:00", "b1")
+    row = latest_silver(classify_bronze(bronze(spark, older, newer))[0]).collect()
+    assert [r["product"] for r in row] == ["New"]
+
+
+def test_lake_rows_do_not_check_category_and_city(spark):
+    source = spark.createDataFrame(
+        [
+            (1, "A", "P", "", "100.00", 1, "", "2026-01-01", "2026-01-01 00:00:00"),
+            (2, "A", "P", "C", "-1", None, "X", None, "2026-01-01 00:00:00"),
+        ],
+        "order_id int, customer_name string, product string, category string, price string, quantity int, "
+        "city string, order_date string, updated_at string",
+    )
+    valid, rejected = classify_lake_rows(source)
+    assert [r.order_id for r in valid.collect()] == [1]
+    assert rejected.first().rejection_reasons == ["invalid_price", "invalid_quantity", "missing_order_date"]
+
+
+def test_lake_day_total_counts_latest_version(spark):
+    source = spark.createDataFrame(
+        [
+            (1, "A", "P", "C", "100.00", 1, "X", "2026-01-01", "2026-01-01 00:00:00"),
+            (1, "A", "P", "C", "120.00", 2, "X", "2026-01-01", "2026-01-02 00:00:00"),
+        ],
+        "order_id int, customer_name string, product string, category string, price string, quantity int, "
+        "city string, order_date string, updated_at string",
+    )
+    from cornerstore.operators.latest import latest_by_order
+
+    day = daily_category_sales(latest_by_order(classify_lake_rows(source)[0])).first()
+    assert (day.total_revenue, day.order_count, day.units_sold) == (Decimal("240.00"), 1, 2)
+
+
+EVENT = (
+    "order_id string, customer_id string, product_id string, store_id string, category string, "
+    "order_timestamp string, updated_at string, quantity int, unit_price double, operation string"
+)
+
+
+def events(spark):
+    return spark.createDataFrame(
+        [
+            ("O1", "C1", "P1", "S1", "K", "2026-01-01T10:00:00", "2026-01-01T10:00:01", 2, 10.5, "INSERT"),
+            ("O2", "C1", "P1", "S1", "K", "2026-01-01T10:00:00", "2026-01-01T10:00:01", 0, 10.5, "INSERT"),
+            ("O3", None, "P1", "S1", "K", "2026-01-01T10:00:00", "2026-01-01T10:00:01", 0, -1.0, "INSERT"),
+            ("O4", "C1", "P1", "S1", "K", "soon", "2026-01-01T10:00:01", 1, -1.0, "INSERT"),
+            ("O5", "C1", "P1", "S1", "K", "2026-01-01T10:00:00", "2026-01-01T10:00:01", 1, -1.0, "INSERT"),
+        ],
+        EVENT,
+    )
+
+
+def test_first_broken_rule_names_the_event(spark):
+    reasons = {r.order_id: r.quality_reason for r in judge_events(events(spark)).collect()}
+    assert reasons == {
+        "O1": None, "O2": "non_positive_quantity", "O3": "missing_required_field",
+        "O4": "missing_required_field", "O5": "negative_unit_price",
+    }
+
+
+def test_events_split_without_loss(spark):
+    assert valid_events(events(spark)).count() + quarantined_events(events(spark)).count() == 5
+    day = daily_store_sales(valid_events(events(spark))).first()
+    assert (day.order_count, day.units_sold, day.gross_sales) == (1, 2, Decimal("21.00"))
+
+
+def test_expectation_drops_false_and_unknown(spark):
+    rows = spark.createDataFrame([("INSERT",), ("MERGE",), (None,)], "operation string")
+    assert keep_expected(rows, "operation IN ('INSERT')").count() == 1
+    assert count_unexpected(rows, "operation IN ('INSERT')").first().dropped == 2
+
+
+def test_unknown_condition_is_not_a_reason(spark):
+    valid, rejected = split_rows(spark.createDataFrame([(None,)], "a int"), [Rule("negative", "a < 0")])
+    assert (valid.count(), rejected.count()) == (1, 0)

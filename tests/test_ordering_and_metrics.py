@@ -1,0 +1,116 @@
+import random
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from cornerstore.operators import metrics
+from cornerstore.operators.latest import latest_per_key
+from cornerstore.operators.ordering import top_ranked, with_dense_rank, with_position
+
+
+def numbers(spark, n=5000, distinct=700, seed=3):
+    generator = random.Random(seed)
+    return spark.createDataFrame(
+        [(i, generator.randrange(distinct), generator.choice("abc")) for i in range(n)], "id int, v int, s string"
+    ).repartition(7)
+
+
+def dense(rows):
+    order = sorted({(-r.v, r.s) for r in rows})
+    place = {key: i + 1 for i, key in enumerate(order)}
+    return {r.id: place[(-r.v, r.s)] for r in rows}
+
+
+def test_dense_rank_over_many_partitions(spark):
+    df = numbers(spark)
+    ranked = with_dense_rank(df, [F.desc("v"), F.asc("s")], "rank")
+    assert {r.id: r["rank"] for r in ranked.collect()} == dense(df.collect())
+
+
+def test_dense_rank_when_one_value_is_a_third_of_the_rows(spark):
+    df = numbers(spark).withColumn("v", F.expr("CASE WHEN id < 1700 THEN 5 ELSE v END")).withColumn("s", F.lit("a"))
+    ranked = with_dense_rank(df, [F.desc("v"), F.asc("s")], "rank")
+    assert {r.id: r["rank"] for r in ranked.collect()} == dense(df.collect())
+
+
+def test_positions_are_dense_and_in_order(spark):
+    df = numbers(spark).select("id")
+    placed = with_position(df, [F.desc("id")], "n", start=10).collect()
+    assert {r.id: r.n for r in placed} == {i: 10 + 4999 - i for i in range(5000)}
+
+
+def test_positions_of_nothing(spark):
+    assert with_position(spark.createDataFrame([], "id int"), [F.asc("id")], "n").count() == 0
+
+
+def test_top_ranked_keeps_ties(spark):
+    df = numbers(spark)
+    expected = {i: r for i, r in dense(df.collect()).items() if r <= 5}
+    top = top_ranked(df, (("v", "desc"), ("s", "asc")), 5, "rank")
+    assert {r.id: r["rank"] for r in top.collect()} == expected
+
+
+def test_latest_per_key_limits_before_the_shuffle(spark):
+    df = numbers(spark)
+    best = latest_per_key(df, ["v"], [F.desc("id")])
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    assert "Partial" in plan and "WindowGroupLimit" in plan
+    assert {r.v: r.id for r in best.collect()} == {r.v: r.id for r in sorted(df.collect(), key=lambda r: r.id)}
+
+
+def silver(spark):
+    rows = [
+        (1, "Ann", "Pen", "Office", "Rome", "10.00", 1),
+        (2, "Ann", "Ink", "Office", "Rome", "20.01", 2),
+        (3, "Bob", "Pen", "Office", "Oslo", "0.00", 1),
+        (4, None, "Mug", "Kitchen", "Oslo", "5.00", 1),
+    ]
+    return spark.createDataFrame(
+        [(i, n, p, c, t, Decimal(a), q) for i, n, p, c, t, a, q in rows],
+        "order_id long, customer_name string, product string, category string, city string, "
+        "total_amount decimal(18,2), quantity int",
+    )
+
+
+def test_kpis_with_and_without_unique_orders_agree(spark):
+    for keys in ([], ["category"], ["product", "category"]):
+        a = metrics.common_kpis(silver(spark), keys).drop("last_refreshed_at")
+        b = metrics.common_kpis(silver(spark), keys, unique_orders=True).drop("last_refreshed_at")
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_unique_orders_need_no_row_expansion(spark):
+    plan = metrics.category_sales(silver(spark), unique_orders=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+
+
+def test_average_and_distinct_customers(spark):
+    row = metrics.overall_sales(silver(spark)).first()
+    assert row.metric_scope == "all_retail_sales"
+    assert (row.total_revenue, row.average_order_value) == (Decimal("35.01"), Decimal("8.75"))
+    assert (row.order_count, row.units_sold, row.distinct_customers) == (4, 5, 2)
+
+
+def test_customer_kpis_leave_out_nameless_orders(spark):
+    rows = {r.customer_name: r for r in metrics.customer_sales(silver(spark)).collect()}
+    assert set(rows) == {"Ann", "Bob"}
+    assert (rows["Ann"].distinct_products, rows["Ann"].distinct_customers) == (2, 1)
+
+
+def test_one_pass_equals_single_aggregates(spark):
+    rows = metrics.kpis_in_one_pass(silver(spark)).drop("last_refreshed_at")
+    cities = rows.filter("scope = 'city'").select("city", "total_revenue", "order_count")
+    single = metrics.city_sales(silver(spark)).select("city", "total_revenue", "order_count")
+    assert sorted(map(tuple, cities.collect())) == sorted(map(tuple, single.collect()))
+    assert rows.filter("scope IS NULL").count() == 0
+
+
+def test_equal_revenue_and_name_share_a_rank(spark):
+    products = spark.createDataFrame(
+        [("Pen", "A", "5.00"), ("Pen", "B", "5.00"), ("Ink", "A", "5.00"), ("Mug", "A", "9.00")],
+        "product string, category string, total_revenue string",
+    ).withColumn("total_revenue", F.col("total_revenue").cast("decimal(20,2)"))
+    for name in ("order_count", "units_sold", "average_order_value", "last_refreshed_at"):
+        products = products.withColumn(name, F.lit(1))
+    ranks = sorted((r["product"], r.category, r.sales_rank) for r in metrics.rank_products(products).collect())
+    assert ranks == [("Ink", "A", 2), ("Mug", "A", 1), ("Pen", "A", 3), ("Pen", "B", 3)]
