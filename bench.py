@@ -57,7 +57,7 @@ def main() -> None:
         "star_fact": lambda: q.star_fact(spark, folder),
         "dq_revenue": lambda: q.dq_revenue(spark, folder),
         "stream_upsert": lambda: q.stream_upsert(spark, folder),
-        "pipeline_cdc_history": lambda: q.stream_scd2(spark, folder),
+        "cdc_history": lambda: q.stream_scd2(spark, folder),
     }
     seconds = {}
     for name, shape in shapes.items():

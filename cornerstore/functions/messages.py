@@ -21,11 +21,15 @@ def parse_messages(df: DataFrame, schema: T.StructType, keep: tuple[str, ...] =
 
 
 def split_dead_letters(df: DataFrame, schema: T.StructType, key: str) -> tuple[DataFrame, DataFrame]:
-    """(readable rows, raw messages whose key could not be read)."""
+    """(readable rows, raw messages whose key could not be read).
+
+    Readable rows keep the message's other columns, such as its offset.
+    """
+    beside = [c for c in df.columns if c != "value" and c not in schema.names]
     parsed = df.withColumn("data", F.from_json(F.col("value").cast("string"), schema))
     unreadable = F.col("data").isNull() | F.col(f"data.{key}").isNull()
     return (
-        parsed.filter(~unreadable).select("data.*"),
+        parsed.filter(~unreadable).select("data.*", *beside),
         parsed.filter(unreadable).select(F.col("value").cast("string").alias("value")),
     )
 

@@ -84,8 +84,7 @@ def customer_sales(silver: DataFrame, refreshed_at=None, unique_orders=False) ->
 
 def rank_products(products: DataFrame) -> DataFrame:
     """All products by revenue, name as second order; equal pairs share a rank."""
-    order = [F.desc("total_revenue"), F.asc("product")]
-    return with_dense_rank(products, order, "sales_rank").select(*TOP_PRODUCT_COLUMNS)
+    return with_dense_rank(products, PRODUCT_ORDER, "sales_rank").select(*TOP_PRODUCT_COLUMNS)
 
 
 def top_products(products: DataFrame, k: int) -> DataFrame:

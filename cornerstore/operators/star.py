@@ -30,7 +30,7 @@ def extend_dimension(
     Existing keys never change, so loading the same members again adds nothing.
     New members are numbered in sorted order by a distributed sort.
     """
-    order = [F.asc(name) for name in columns]
+    order = [(name, "asc") for name in columns]
     if dimension is None:
         return with_position(found, order, key).select(key, *columns)
     stored = dimension.select(*(F.col(name).alias(f"_{name}") for name in columns))

@@ -350,7 +350,7 @@ union all select 'customer', null, null, null, customer_name, {_kpis()} from sil
     "daily_category_sales": f"with {LAKE} {_lake_latest('latest')} " + DAILY.format(rows="latest"),
     "daily_store_sales": f"""with {GOOD}
 select cast(order_timestamp as date) as order_date, store_id, category, count(distinct order_id) as order_count,
-  cast(sum(quantity) as bigint) as units_sold, cast(sum(total_amount) as decimal(24,2)) as gross_sales
+  cast(sum(quantity) as bigint) as units_sold, cast(sum(total_amount) as decimal(25,2)) as gross_sales
 from good group by 1, 2, 3""",
     "stg_current_orders": f"""with {HISTORY} select {STAGED_COLUMNS} from history where "__END_AT" is null""",
     "dim_customer": f"with {GOOD} " + DIM_CUSTOMER.format(rows="good"),
@@ -371,7 +371,7 @@ union all select * from fresh""",
   select *, row_number() over (partition by category order by early) as pick from marks where rn = 1)
 select category, updated_at, order_id from best where pick = 1""",
     "sales_upsert": f"with {LAKE_RUN} select order_id, customer_name, product, category, price, quantity, city, "
-    "price * quantity as total_amount from lakehouse",
+    "cast(price * quantity as decimal(23,2)) as total_amount from lakehouse",
     "scd2_history": f"with {HISTORY} select * from history",
     "scd2_current": f"""with {HISTORY} select * from history where "__END_AT" is null""",
     "snapshot_check": SNAPSHOT_CHECK,
@@ -448,9 +448,9 @@ from clean where not (price >= 0 and quantity > 0 and city <> '')""",
     "table_append": f"with {LAKE} select order_id, product, updated_at, total_amount, category from lake",
     "table_replace": f"with {LAKE} {_lake_latest('latest')} " + DAILY.format(rows="latest"),
     "stream_parquet": f"""with {RAW} select order_id, customer_name, product, category, price, quantity, city,
-  updated_at, batch_id, price * quantity as total_amount from raw""",
+  updated_at, batch_id, cast(price * quantity as decimal(23,2)) as total_amount from raw""",
     "stream_upsert": f"""with {RAW} select order_id, customer_name, product, category, price, quantity, city,
-  updated_at, batch_id, price * quantity as total_amount from raw
+  updated_at, batch_id, cast(price * quantity as decimal(23,2)) as total_amount from raw
 qualify row_number() over (partition by order_id order by updated_at desc, batch_id desc) = 1""",
     "stream_changes": f"""with {CHANGES} select order_id, customer_id, updated_at, operation, total_amount,
   concat('{{"channel":"', category, '"}}') as _rescued_data from changes""",
@@ -461,19 +461,19 @@ where operation not in ('INSERT', 'UPDATE', 'DELETE')""",
     "stream_scd2": f"with {HISTORY} select * from history",
     "stream_of_table": f"""with {CDC} select order_id, updated_at, operation, quantity from cdc
 where operation in ('INSERT', 'UPDATE', 'DELETE')""",
-    "pipeline_medallion": f"""with {RUN_SILVER}
+    "medallion_silver": f"""with {RUN_SILVER}
 select order_id, customer_name, category, city, total_amount, updated_at as source_updated_at from silver""",
-    "pipeline_medallion_gold": f"""with {RUN_SILVER}, gold as (select category, {_kpis()} from silver group by category)
+    "medallion_gold": f"""with {RUN_SILVER}, gold as (select category, {_kpis()} from silver group by category)
 select * exclude (last_refreshed_at) from gold""",
-    "pipeline_medallion_report": REPORT,
+    "medallion_report": REPORT,
     "quality_gate": " union all ".join(
         f"select '{name}' as check_name, cast(0 as bigint) as failures, true as passed" for name in GATE_LINES
     ),
-    "pipeline_lakehouse": f"with {LAKE_RUN} select * from lakehouse",
-    "pipeline_lakehouse_gold": f"with {LAKE_RUN} " + DAILY.format(rows="lakehouse"),
-    "pipeline_cdc": f"""with {HISTORY}
+    "lakehouse_silver": f"with {LAKE_RUN} select * from lakehouse",
+    "lakehouse_gold": f"with {LAKE_RUN} " + DAILY.format(rows="lakehouse"),
+    "cdc_daily_sales": f"""with {HISTORY}
 select cast(order_timestamp as date) as order_date, store_id, category, count(distinct order_id) as order_count,
-  cast(sum(quantity) as bigint) as units_sold, cast(sum(total_amount) as decimal(24,2)) as gross_sales
+  cast(sum(quantity) as bigint) as units_sold, cast(sum(total_amount) as decimal(25,2)) as gross_sales
 from history where "__END_AT" is null group by 1, 2, 3""",
     "model_graph": f"with {FCT}, dim as ({DIM_PRODUCT.format(rows='late')}) " + _mart("fct", "dim"),
     "model_tests": " union all ".join(

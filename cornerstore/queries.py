@@ -198,13 +198,13 @@ def dedup_single_order(spark, folder):
 @query
 def rank_products(spark, folder):
     products = metrics.product_sales(_silver(spark, folder), stamp(), unique_orders=True)
-    return metrics.rank_products(products)
+    return metrics.rank_products(write_and_reread(products, "products"))
 
 
 @query
 def top_products_k(spark, folder):
     products = metrics.product_sales(_silver(spark, folder), stamp(), unique_orders=True)
-    return metrics.top_products(products, 25)
+    return metrics.top_products(write_and_reread(products, "products"), 25)
 
 
 @query
@@ -751,11 +751,12 @@ def stream_scd2(spark, folder):
 
 @query
 def stream_of_table(spark, folder):
-    """A stored table read as a stream and appended to another."""
+    """A catalog table read as a stream and appended to a Parquet folder."""
     root = shared_folder(spark, "stream")
+    name = "events_" + root.rsplit("-", 1)[1]
     events = order_events(spark, folder).select("order_id", "updated_at", "operation", "quantity")
-    events.write.parquet(f"{root}/bronze")
-    rows = streams.parquet_stream(spark, f"{root}/bronze", events.schema)
+    sinks.append_table(events, name)
+    rows = streams.table_stream(spark, name)
     jobs.start_parquet(
         keep_expected(rows, ALLOWED_OPERATIONS), f"{root}/silver", f"{root}/checkpoint", every=None
     ).awaitTermination()
@@ -789,7 +790,7 @@ def _medallion(spark, folder) -> medallion.Layout:
 
 
 @query
-def pipeline_medallion(spark, folder):
+def medallion_silver(spark, folder):
     rows = sinks.read_snapshot(spark, _medallion(spark, folder).silver, "retail_sales")
     return rows.select(
         "order_id", "customer_name", "category", "city", "total_amount",
@@ -798,12 +799,12 @@ def pipeline_medallion(spark, folder):
 
 
 @query
-def pipeline_medallion_gold(spark, folder):
+def medallion_gold(spark, folder):
     return sinks.read_snapshot(spark, _medallion(spark, folder).gold, "category_sales").drop("last_refreshed_at")
 
 
 @query
-def pipeline_medallion_report(spark, folder):
+def medallion_report(spark, folder):
     """One quality report row per run."""
     return spark.read.parquet(_medallion(spark, folder).reports).select(
         F.when(F.col("batch_id") == "initial", "initial").otherwise("incremental").alias("run"),
@@ -834,12 +835,12 @@ def _lakehouse(spark, folder) -> str:
 
 
 @query
-def pipeline_lakehouse(spark, folder):
+def lakehouse_silver(spark, folder):
     return lakehouse.read_silver(spark, _lakehouse(spark, folder), NTZ)
 
 
 @query
-def pipeline_lakehouse_gold(spark, folder):
+def lakehouse_gold(spark, folder):
     return sinks.read_snapshot(spark, f"{_lakehouse(spark, folder)}/gold", "daily_category_sales")
 
 
@@ -853,7 +854,7 @@ def _cdc(spark, folder) -> str:
 
 
 @query
-def pipeline_cdc(spark, folder):
+def cdc_daily_sales(spark, folder):
     return sinks.read_snapshot(spark, f"{_cdc(spark, folder)}/published", "gold_daily_sales")
 
 

@@ -61,6 +61,13 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/cornerstore/{context.applicationId}/{name}-{uuid4().hex[:12]}"
 
 
+def drop_intermediate(spark: SparkSession) -> None:
+    """Delete what this application has put into the shared folder."""
+    own = shared_folder(spark, "x").rsplit("/", 1)[0]
+    path = spark._jvm.org.apache.hadoop.fs.Path(own)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_and_reread(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage by writing ``df`` to the shared folder and reading it back.
 

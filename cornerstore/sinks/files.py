@@ -197,33 +197,42 @@ def upsert_buckets(
     transaction: str,
     buckets: int = 64,
     version: Sequence[str] = (),
+    bucket_by: Column | None = None,
 ) -> None:
     """Upsert ``source`` (one row per key) into a table spread over key buckets.
 
-    Only buckets that the source touches are read and rewritten. Their new
-    content is written aside first and only then moved in: a run that broke off
-    in between repeats the move with the same ``transaction``, so no bucket is
-    lost. With ``version`` a matched row is replaced only by an equal or newer
-    one. ``buckets`` is fixed for the life of a table.
+    The source is computed once, into a staging folder. Only buckets it touches
+    are read and rewritten. Their new content is staged too before it is moved
+    in: a run that broke off in between repeats the move with the same
+    ``transaction``, so no bucket is lost. With ``version`` a matched row is
+    replaced only by an equal or newer one.
+
+    The bucket of a key must never change. By default it is a hash of the keys.
+    ``bucket_by`` may give ranges of a growing id instead (such as id DIV width),
+    so that a batch of recent orders touches few buckets of a large table.
     """
     spark = source.sparkSession
     state, staged = f"{root}/state", f"{root}/staged/{transaction}"
-    incoming = source.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-    if not path_exists(spark, f"{staged}/_SUCCESS"):
-        merged = incoming
+    hashed = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+    columns = source.withColumn("_bucket", (hashed if bucket_by is None else bucket_by).cast("int"))
+    if not path_exists(spark, f"{staged}/merged/_SUCCESS"):
+        columns.write.mode("overwrite").partitionBy("_bucket").parquet(f"{staged}/incoming")
+        merged = incoming = spark.read.schema(columns.schema).parquet(f"{staged}/incoming")
         if path_exists(spark, state):
-            # At most ``buckets`` small integers come back to the driver.
+            # One small integer per touched bucket folder comes back to the driver.
             touched = [row[0] for row in incoming.select("_bucket").distinct().collect()]
-            stored = spark.read.schema(incoming.schema).parquet(state).filter(F.col("_bucket").isin(touched))
+            stored = spark.read.schema(columns.schema).parquet(state).filter(F.col("_bucket").isin(touched))
             merged = (
                 merge_newer(stored, incoming, keys, version)
                 if version
                 else merge_replace(stored, incoming, keys)
             )
-        merged.hint("rebalance", "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(staged)
+        merged.hint("rebalance", "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(
+            f"{staged}/merged"
+        )
     (
-        spark.read.schema(incoming.schema)
-        .parquet(staged)
+        spark.read.schema(columns.schema)
+        .parquet(f"{staged}/merged")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("_bucket")

@@ -94,6 +94,14 @@ def test_history_of_shuffled_events_with_a_hot_key(spark):
         assert "op" not in result.columns and "_slice" not in result.columns
 
 
+def test_event_without_sequence_counts_as_the_earliest(spark):
+    df = spark.createDataFrame([("a", 5, "INSERT", 1), ("a", None, "INSERT", 2), ("a", 900, "UPDATE", 3)], EVENT)
+    result = history.scd2(df, ["k"], "seq", "op = 'DELETE'", ["op"], slice_by=F.floor(F.col("seq") / 10))
+    assert versions_of(result) == sorted(
+        [("a", None, 5, 2), ("a", 5, 900, 1), ("a", 900, None, 3)], key=repr
+    )
+
+
 def test_copies_of_one_event_open_one_version(spark):
     events = made_events(300)
     copies = events + [events[0]] * 200

@@ -23,24 +23,24 @@ def dense(rows):
 
 def test_dense_rank_over_many_partitions(spark):
     df = numbers(spark)
-    ranked = with_dense_rank(df, [F.desc("v"), F.asc("s")], "rank")
+    ranked = with_dense_rank(df, (("v", "desc"), ("s", "asc")), "rank")
     assert {r.id: r["rank"] for r in ranked.collect()} == dense(df.collect())
 
 
 def test_dense_rank_when_one_value_is_a_third_of_the_rows(spark):
     df = numbers(spark).withColumn("v", F.expr("CASE WHEN id < 1700 THEN 5 ELSE v END")).withColumn("s", F.lit("a"))
-    ranked = with_dense_rank(df, [F.desc("v"), F.asc("s")], "rank")
+    ranked = with_dense_rank(df, (("v", "desc"), ("s", "asc")), "rank")
     assert {r.id: r["rank"] for r in ranked.collect()} == dense(df.collect())
 
 
 def test_positions_are_dense_and_in_order(spark):
     df = numbers(spark).select("id")
-    placed = with_position(df, [F.desc("id")], "n", start=10).collect()
+    placed = with_position(df, [("id", "desc")], "n", start=10).collect()
     assert {r.id: r.n for r in placed} == {i: 10 + 4999 - i for i in range(5000)}
 
 
 def test_positions_of_nothing(spark):
-    assert with_position(spark.createDataFrame([], "id int"), [F.asc("id")], "n").count() == 0
+    assert with_position(spark.createDataFrame([], "id int"), [("id", "asc")], "n").count() == 0
 
 
 def test_top_ranked_keeps_ties(spark):

@@ -1,3 +1,6 @@
+from datetime import datetime, timedelta, timezone
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,7 +11,6 @@ from cornerstore.session import shared_folder
 from cornerstore.sinks import files as sinks, jdbc
 from cornerstore.sources import files as sources
 from cornerstore.sources.jdbc import Split, scan_options
-from datetime import datetime, timedelta, timezone
 
 
 def frame(spark, *rows, columns="order_id int, v string"):
@@ -106,13 +108,27 @@ def test_bucket_upsert_resumes_from_staged_rows(spark, folder):
     merged = frame(spark, (1, "b", 6), columns=SCHEMA).withColumn(
         "_bucket", F.pmod(F.xxhash64("order_id"), F.lit(4)).cast("int")
     )
-    merged.write.partitionBy("_bucket").parquet(f"{folder}/staged/t2")
+    merged.write.partitionBy("_bucket").parquet(f"{folder}/staged/t2/merged")
     bucket = merged.first()["_bucket"]
     sinks.delete_path(spark, f"{folder}/state/_bucket={bucket}")
     sinks.upsert_buckets(frame(spark, (1, "b", 6), columns=SCHEMA), folder, ["order_id"], "t2", 4)
     assert state(sinks.read_buckets(spark, folder, rows.schema)) == [(1, "b", 6)]
 
 
+def test_bucket_ranges_touch_only_recent_orders(spark, folder):
+    ranges = F.expr("order_id DIV 100")
+    old = spark.range(1000).selectExpr("cast(id as int) order_id", "'a' v", "1 n")
+    sinks.upsert_buckets(old, folder, ["order_id"], "t1", bucket_by=ranges)
+    before = {p.name: p.stat().st_mtime_ns for p in Path(folder, "state").iterdir()}
+    recent = spark.range(950, 1050).selectExpr("cast(id as int) order_id", "'b' v", "2 n")
+    sinks.upsert_buckets(recent, folder, ["order_id"], "t2", bucket_by=ranges)
+    after = {p.name: p.stat().st_mtime_ns for p in Path(folder, "state").iterdir()}
+    kept = [n for n in before if n.startswith("_bucket=") and before[n] == after[n]]
+    assert sorted(kept) == sorted(f"_bucket={i}" for i in range(9))
+    counts = sinks.read_buckets(spark, folder, old.schema).groupBy("v").count().collect()
+    assert {r.v: r["count"] for r in counts} == {"a": 950, "b": 100}
+
+
 def test_csv_keeps_blank_and_padded_text(spark, folder):
     df = frame(spark, (1, "  "), (2, " x "), (4, None), (5, 'a,"b"'))
     sinks.write_csv(df, f"{folder}/csv")
