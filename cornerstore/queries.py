@@ -669,19 +669,21 @@ def bucket_upsert(spark, folder):
 @query
 def table_append(spark, folder):
     """Create on the first write, append on the second, then read by name."""
-    name = "lines_" + shared_folder(spark, "t").rsplit("-", 1)[1]
+    path = shared_folder(spark, "lines")
+    name = "lines_" + path.rsplit("-", 1)[1]
     lake = _lake(spark, folder).select("order_id", "product", "updated_at", "total_amount", "category")
-    sinks.append_table(lake.filter(CUT), name, ["category"])
-    sinks.append_table(lake.filter(f"NOT ({CUT})"), name, ["category"])
+    sinks.append_table(lake.filter(CUT), name, ["category"], path)
+    sinks.append_table(lake.filter(f"NOT ({CUT})"), name, ["category"], path)
     return sources.read_table(spark, name)
 
 
 @query
 def table_replace(spark, folder):
-    name = "daily_" + shared_folder(spark, "t").rsplit("-", 1)[1]
+    path = shared_folder(spark, "daily")
+    name = "daily_" + path.rsplit("-", 1)[1]
     latest = _lake_latest(_lake(spark, folder))
-    sinks.replace_table(metrics.daily_category_sales(latest.filter(CUT), True), name, ["category"])
-    sinks.replace_table(metrics.daily_category_sales(latest, True), name, ["category"])
+    sinks.replace_table(metrics.daily_category_sales(latest.filter(CUT), True), name, ["category"], path)
+    sinks.replace_table(metrics.daily_category_sales(latest, True), name, ["category"], path)
     return sources.read_table(spark, name)
 
 
@@ -755,7 +757,7 @@ def stream_of_table(spark, folder):
     root = shared_folder(spark, "stream")
     name = "events_" + root.rsplit("-", 1)[1]
     events = order_events(spark, folder).select("order_id", "updated_at", "operation", "quantity")
-    sinks.append_table(events, name)
+    sinks.append_table(events, name, path=f"{root}/bronze")
     rows = streams.table_stream(spark, name)
     jobs.start_parquet(
         keep_expected(rows, ALLOWED_OPERATIONS), f"{root}/silver", f"{root}/checkpoint", every=None

@@ -175,14 +175,24 @@ def seed_if_absent(df: DataFrame, path: str) -> None:
     df.write.mode("ignore").parquet(path)
 
 
-def append_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
+def append_table(df: DataFrame, table: str, partition_by: Sequence[str] = (), path: str | None = None) -> None:
     """Create the table, or append to it if it exists."""
-    df.write.mode("append").format("parquet").partitionBy(*partition_by).saveAsTable(table)
+    _save_table(df, table, partition_by, path, "append")
 
 
-def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
+def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = (), path: str | None = None) -> None:
     """Create the table, or replace its whole content."""
-    df.write.mode("overwrite").format("parquet").partitionBy(*partition_by).saveAsTable(table)
+    _save_table(df, table, partition_by, path, "overwrite")
+
+
+def _save_table(df: DataFrame, table: str, partition_by: Sequence[str], path: str | None, mode: str) -> None:
+    # Rows of one partition value go to few tasks, so partitions get few files;
+    # adaptive execution splits a value that holds too much for one task.
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    writer = rows.write.mode(mode).format("parquet").partitionBy(*partition_by)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
 
 
 def append_report(report: DataFrame, path: str) -> None:
@@ -216,10 +226,10 @@ def upsert_buckets(
     hashed = F.pmod(F.xxhash64(*keys), F.lit(buckets))
     columns = source.withColumn("_bucket", (hashed if bucket_by is None else bucket_by).cast("int"))
     if not path_exists(spark, f"{staged}/merged/_SUCCESS"):
-        columns.write.mode("overwrite").partitionBy("_bucket").parquet(f"{staged}/incoming")
+        columns.write.mode("overwrite").parquet(f"{staged}/incoming")
         merged = incoming = spark.read.schema(columns.schema).parquet(f"{staged}/incoming")
         if path_exists(spark, state):
-            # One small integer per touched bucket folder comes back to the driver.
+            # One small integer per touched bucket comes back to the driver.
             touched = [row[0] for row in incoming.select("_bucket").distinct().collect()]
             stored = spark.read.schema(columns.schema).parquet(state).filter(F.col("_bucket").isin(touched))
             merged = (
