@@ -13,12 +13,18 @@ SOURCE_COLUMNS = (
     "order_id", "customer_name", "product", "category", "price", "quantity", "city", "updated_at",
 )
 
-SILVER_COLUMNS = (
-    "order_id", "customer_name", "product", "category", "price", "quantity", "city",
-    "total_amount", "source_updated_at", "processed_at", "source_ingested_at",
-    "source_ingestion_date", "source_batch_id",
+SILVER_SCHEMA = schema(
+    order_id="long", customer_name="string", product="string", category="string", price="decimal(12,2)",
+    quantity="int", city="string", total_amount="decimal(18,2)", source_updated_at="timestamp",
+    processed_at="timestamp", source_ingested_at="timestamp", source_ingestion_date="date",
+    source_batch_id="string",
 )
 
+SILVER_COLUMNS = tuple(SILVER_SCHEMA.names)
+
+# A later row replaces an earlier one in this order.
+SILVER_VERSION = ("source_updated_at", "source_ingested_at", "source_batch_id")
+
 FINGERPRINT_COLUMNS = (
     "order_id", "customer_name", "product", "category", "price", "quantity", "city",
     "source_updated_at", "source_ingested_at", "source_ingestion_date", "source_batch_id",

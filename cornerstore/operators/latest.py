@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cornerstore.contracts import SILVER_COLUMNS
+from cornerstore.contracts import SILVER_COLUMNS, SILVER_VERSION
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -29,7 +29,7 @@ def latest_silver(df: DataFrame) -> DataFrame:
         df.select(*SILVER_COLUMNS),
         ["order_id"],
         [
-            F.desc("source_updated_at"), F.desc("source_ingested_at"), F.desc("source_batch_id"),
+            *(F.desc(name) for name in SILVER_VERSION),
             F.desc("total_amount"), F.desc("product"), F.desc("category"),
         ],
     )

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cornerstore.contracts import SILVER_COLUMNS
+from cornerstore.contracts import SILVER_COLUMNS, SILVER_VERSION
 from cornerstore.operators.latest import latest_silver
 
 
@@ -64,7 +64,7 @@ def merge_snapshot(snapshot: DataFrame, batch: DataFrame) -> DataFrame:
         snapshot.select(*SILVER_COLUMNS),
         latest_silver(batch),
         ["order_id"],
-        ["source_updated_at", "source_ingested_at", "source_batch_id"],
+        SILVER_VERSION,
     )
 
 

@@ -200,6 +200,17 @@ def test_medallion_runs_incrementally(spark, folder):
     assert [(r.bronze_count, r.quarantined_count, r.silver_count) for r in reports] == [(4, 1, 3), (2, 0, 4)]
 
 
+def test_bucketed_silver_equals_the_snapshot(spark, folder):
+    stored = {}
+    for buckets in (0, 4):
+        layout = medallion.Layout(f"{folder}/{buckets}", silver_buckets=buckets)
+        medallion.run(spark, source(spark, *FIRST), layout)
+        assert medallion.run(spark, source(spark, *FIRST, *MORE), layout)["checks_passed"] == 8
+        rows = medallion.read_silver(spark, layout).select("order_id", "category", "total_amount", "source_updated_at")
+        stored[buckets] = sorted(map(tuple, rows.collect()))
+    assert stored[0] == stored[4] and len(stored[0]) == 4
+
+
 def test_broken_off_run_is_taken_up_again(spark, folder):
     layout = medallion.Layout(folder)
     batch = medallion.extract(spark, source(spark, *FIRST), layout)
