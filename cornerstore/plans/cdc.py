@@ -6,18 +6,31 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from cornerstore.functions.messages import RESCUED
 from cornerstore.operators.history import current_from_events, current_versions
 from cornerstore.operators.metrics import daily_store_sales
-from cornerstore.functions.messages import RESCUED
 from cornerstore.sinks.files import publish_snapshots
-from cornerstore.streaming.jobs import order_history, silver_changes, start_event_log
+from cornerstore.sources.streams import parquet_stream
+from cornerstore.streaming.jobs import order_history, silver_changes, start_event_log, start_parquet
 
 DELETED = "operation = 'DELETE'"
 
 
-def ingest(events: DataFrame, root: str, time_type: str = "timestamp") -> None:
-    """Drain an event stream into the log."""
-    start_event_log(events, f"{root}/events", f"{root}/checkpoints/events", time_type).awaitTermination()
+def ingest(
+    spark: SparkSession,
+    events: DataFrame,
+    root: str,
+    time_type: str = "timestamp",
+    files_per_trigger: int | None = None,
+) -> None:
+    """Drain an event stream into Bronze as it came in, then Bronze into the judged log."""
+    start_parquet(events, f"{root}/bronze", f"{root}/checkpoints/bronze", every=None).awaitTermination()
+    bronze = parquet_stream(spark, f"{root}/bronze", events.schema, files_per_trigger)
+    start_event_log(bronze, f"{root}/events", f"{root}/checkpoints/events", time_type).awaitTermination()
+
+
+def read_bronze(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/bronze")
 
 
 def current_orders(spark: SparkSession, root: str, tie_break: Sequence[Column] = ()) -> DataFrame:

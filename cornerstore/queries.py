@@ -720,10 +720,21 @@ def stream_upsert(spark, folder):
 def _event_log(spark, folder) -> str:
     root = shared_folder(spark, "events")
     landing = _landed(spark, _event_messages(spark, folder))
-    cdc.ingest(streams.json_events(spark, landing, ORDER_EVENT_SCHEMA, 2), root, NTZ)
+    cdc.ingest(spark, streams.json_events(spark, landing, ORDER_EVENT_SCHEMA, 2), root, NTZ, 2)
     return root
 
 
+@query
+def stream_bronze(spark, folder):
+    """Events as they came in: texts unjudged, the undeclared field rescued."""
+    rows = cdc.read_bronze(spark, _event_log(spark, folder))
+    return rows.select(
+        "order_id", "customer_id", "order_timestamp", "quantity", "unit_price", "operation", RESCUED,
+        F.col("_source_file").isNotNull().alias("has_source_file"),
+        F.col("_ingested_at").isNotNull().alias("has_ingest_time"),
+    )
+
+
 @query
 def stream_changes(spark, folder):
     root = _event_log(spark, folder)
@@ -849,7 +860,7 @@ def lakehouse_gold(spark, folder):
 def _cdc(spark, folder) -> str:
     def run(root):
         landing = _landed(spark, _event_messages(spark, folder))
-        cdc.ingest(streams.json_events(spark, landing, ORDER_EVENT_SCHEMA, 2), root, NTZ)
+        cdc.ingest(spark, streams.json_events(spark, landing, ORDER_EVENT_SCHEMA, 2), root, NTZ, 2)
         cdc.publish(spark, root, "one", [F.desc("order_timestamp")])
 
     return _once(spark, folder, "cdc", run)

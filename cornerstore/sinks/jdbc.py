@@ -11,6 +11,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Fixed value: publishers of the same tables lock on the same number.
+PUBLISH_LOCK = "SELECT pg_advisory_xact_lock(7007006)"
+
 
 @dataclass(frozen=True)
 class Database:
@@ -110,7 +113,7 @@ def publish_jdbc(
     datasets: dict[str, tuple[DataFrame, str, Sequence[str]]],
     database: Database,
     load_id: str,
-    lock_statement: str = "SELECT pg_advisory_xact_lock(7007006)",
+    lock_statement: str = PUBLISH_LOCK,
     target_ddl: Sequence[str] = (),
 ) -> dict[str, int]:
     """Replace several serving tables together: name -> (rows, target table, columns).

@@ -137,9 +137,10 @@ def test_change_feed_to_history(spark, folder):
     # The update of O2 comes in before its insert.
     land(landing, "a.json", FEED[3], FEED[0], FEED[4])
     land(landing, "b.json", FEED[1], FEED[2], FEED[5], FEED[6])
-    cdc.ingest(streams.json_events(spark, str(landing), ORDER_EVENT_SCHEMA, 1), folder)
-    cdc.ingest(streams.json_events(spark, str(landing), ORDER_EVENT_SCHEMA, 1), folder)
+    cdc.ingest(spark, streams.json_events(spark, str(landing), ORDER_EVENT_SCHEMA, 1), folder, files_per_trigger=1)
+    cdc.ingest(spark, streams.json_events(spark, str(landing), ORDER_EVENT_SCHEMA, 1), folder, files_per_trigger=1)
     log = f"{folder}/events"
+    assert cdc.read_bronze(spark, folder).count() == len(FEED)
     assert jobs.silver_changes(spark, log).count() == 5
     assert [r.quality_reason for r in jobs.quarantine(spark, log).collect()] == ["missing_required_field"]
     assert [r.order_id for r in jobs.dropped(spark, log).collect()] == ["O4"]
