@@ -226,9 +226,10 @@ def upsert_buckets(
     hashed = F.pmod(F.xxhash64(*keys), F.lit(buckets))
     columns = source.withColumn("_bucket", (hashed if bucket_by is None else bucket_by).cast("int"))
     if not path_exists(spark, f"{staged}/merged/_SUCCESS"):
-        columns.write.mode("overwrite").parquet(f"{staged}/incoming")
-        merged = incoming = spark.read.schema(columns.schema).parquet(f"{staged}/incoming")
+        merged = columns
         if path_exists(spark, state):
+            columns.write.mode("overwrite").parquet(f"{staged}/incoming")
+            incoming = spark.read.schema(columns.schema).parquet(f"{staged}/incoming")
             # One small integer per touched bucket comes back to the driver.
             touched = [row[0] for row in incoming.select("_bucket").distinct().collect()]
             stored = spark.read.schema(columns.schema).parquet(state).filter(F.col("_bucket").isin(touched))

@@ -1,0 +1,85 @@
+"""What the physical plans of the operators must and must not contain."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from cornerstore import queries as q
+from cornerstore.operators import history, merge, metrics, star
+
+FOLDER = "/root/testdata/sf0.001"
+
+LAZY = [
+    "incremental_scan", "watermark_max", "classify_reasons", "classify_merged", "classify_first_match",
+    "dedup_latest", "dedup_single_order", "kpi_overall", "kpi_category", "kpi_product", "kpi_customer",
+    "kpi_all_versions", "kpi_grouping_sets", "daily_category_sales", "daily_store_sales", "dim_customer",
+    "mart_daily_sales", "fct_sales", "control_merge", "scd2_history", "scd2_current", "snapshot_check",
+    "change_stamp", "dq_unique", "dq_not_null", "dq_relationships", "dq_lineage", "dq_fingerprint_diff",
+    "union_snapshot", "except_all_diff", "json_parse", "json_rescue",
+]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", LAZY)
+def test_no_cross_join_and_no_python(spark, name):
+    plan = plan_of(q.QUERIES[name](spark, FOLDER))
+    for node in ("CartesianProduct", "NestedLoopJoin", "Python", "ExistingRDD"):
+        assert node not in plan
+
+
+@pytest.mark.parametrize("name", ["dedup_latest", "dedup_single_order", "scd2_history", "scd2_current"])
+def test_one_row_per_key_before_the_shuffle(spark, name):
+    assert re.search(r"WindowGroupLimit .* Partial", plan_of(q.QUERIES[name](spark, FOLDER)))
+
+
+@pytest.mark.parametrize("name", ["dedup_latest", "kpi_product", "scd2_history", "kpi_customer", "dq_unique"])
+def test_rows_are_never_sent_to_one_task(spark, name):
+    assert "SinglePartition" not in plan_of(q.QUERIES[name](spark, FOLDER))
+
+
+def test_watermark_and_columns_reach_the_file(spark):
+    plan = plan_of(q.incremental_table_scan(spark, FOLDER))
+    scan = plan[plan.index("FileScan"):]
+    assert "GreaterThanOrEqual(l_shipdate" in scan and "l_extendedprice" not in scan
+
+
+def test_kpi_reads_only_its_columns(spark):
+    plan = plan_of(q.kpi_category(spark, FOLDER))
+    assert not {"l_discount", "l_tax", "o_totalprice", "c_acctbal", "p_brand"} & set(re.findall(r"\w+", plan))
+
+
+def test_history_shuffles_by_key_and_slice(spark):
+    events = spark.range(10).selectExpr("id k", "id seq", "'U' op")
+    plan = plan_of(history.scd2(events, ["k"], "seq", "op = 'D'", slice_by=F.floor(F.col("seq") / 2)))
+    assert re.search(r"hashpartitioning\(k#\w+, _slice#\w+", plan)
+
+
+def test_large_merge_falls_back_to_sort_merge(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(100).selectExpr("id order_id", "id updated_at")
+        plan = plan_of(merge.merge_newer(rows, rows, ["order_id"], ["updated_at"]))
+        sales = spark.range(9).selectExpr(
+            "id order_id", "'a' customer_name", "'p' product", "'c' category", "'t' city", "1 price", "1 quantity"
+        )
+        dims = [
+            sales.select(*columns).distinct().withColumn(key, F.lit(1)) for key, columns in star.DIMENSIONS.values()
+        ]
+        star_plan = plan_of(star.build_fact(sales, *dims))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for text in (plan, star_plan):
+        assert "SortMergeJoin" in text and "Broadcast" not in text
+
+
+def test_distinct_counts_are_partly_aggregated_first(spark):
+    silver = spark.range(9).selectExpr(
+        "id order_id", "'a' customer_name", "'c' category", "cast(1 as decimal(18,2)) total_amount", "1 quantity"
+    )
+    plan = plan_of(metrics.category_sales(silver, unique_orders=True))
+    assert "partial_sum" in plan and "partial_count(distinct" in plan

@@ -132,6 +132,15 @@ FEED = [
 ]
 
 
+def test_log_without_rejected_events(spark, folder):
+    (landing := __import__("pathlib").Path(folder) / "in").mkdir()
+    land(landing, "a.json", FEED[0])
+    cdc.ingest(spark, streams.json_events(spark, str(landing), ORDER_EVENT_SCHEMA), folder)
+    assert jobs.quarantine(spark, f"{folder}/events").count() == 0
+    assert jobs.dropped(spark, f"{folder}/events").count() == 0
+    assert jobs.silver_changes(spark, f"{folder}/events").count() == 1
+
+
 def test_change_feed_to_history(spark, folder):
     (landing := __import__("pathlib").Path(folder) / "in").mkdir()
     # The update of O2 comes in before its insert.
