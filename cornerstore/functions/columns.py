@@ -32,11 +32,6 @@ def fingerprint(columns: Iterable[str]) -> Column:
     return F.sha2(F.to_json(F.struct(*columns)), 256)
 
 
-def latest_value(value: str, *order: str) -> Column:
-    """The value at the greatest ``order``; further order columns break ties."""
-    return F.max_by(F.col(value), F.struct(*order) if len(order) > 1 else F.col(order[0]))
-
-
 def money_average(amount: str, to: str) -> Column:
     return F.avg(amount).cast(to)
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from cornerstore.functions.messages import RESCUED
-from cornerstore.operators.history import current_from_events, current_versions
+from cornerstore.operators.history import current_from_events
 from cornerstore.operators.metrics import daily_store_sales
 from cornerstore.sinks.files import publish_snapshots
 from cornerstore.sources.streams import parquet_stream
@@ -51,7 +51,3 @@ def publish(spark: SparkSession, root: str, publication_id: str, tie_break: Sequ
         f"{root}/published",
         publication_id,
     )
-
-
-def daily_sales_from_history(history: DataFrame) -> DataFrame:
-    return daily_store_sales(current_versions(history), unique_orders=True)

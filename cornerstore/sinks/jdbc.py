@@ -65,6 +65,15 @@ def upsert_statement(target: str, staging: str, keys: Sequence[str], columns: Se
     )
 
 
+def create_statement(target: str, df: DataFrame, keys: Sequence[str]) -> str:
+    """CREATE TABLE IF NOT EXISTS for a KPI table, all columns required."""
+    kinds = {"string": "VARCHAR(100)", "bigint": "BIGINT", "int": "INTEGER", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+    columns = [
+        f"{name} {kinds.get(kind, kind.replace('decimal', 'NUMERIC'))} NOT NULL" for name, kind in df.dtypes
+    ]
+    return f"CREATE TABLE IF NOT EXISTS {target} ({', '.join(columns)}, PRIMARY KEY ({', '.join(keys)}))"
+
+
 def connect(spark: SparkSession, database: Database):
     """A JDBC connection of the driver JVM, for statements only."""
     properties = spark._jvm.java.util.Properties()

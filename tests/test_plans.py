@@ -65,7 +65,8 @@ def test_large_merge_falls_back_to_sort_merge(spark):
         rows = spark.range(100).selectExpr("id order_id", "id updated_at")
         plan = plan_of(merge.merge_newer(rows, rows, ["order_id"], ["updated_at"]))
         sales = spark.range(9).selectExpr(
-            "id order_id", "'a' customer_name", "'p' product", "'c' category", "'t' city", "1 price", "1 quantity"
+            "id order_id", "concat('a', id) customer_name", "concat('p', id) product", "concat('c', id) category",
+            "concat('t', id) city", "1 price", "1 quantity",
         )
         dims = [
             sales.select(*columns).distinct().withColumn(key, F.lit(1)) for key, columns in star.DIMENSIONS.values()

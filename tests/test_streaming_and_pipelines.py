@@ -10,7 +10,7 @@ from cornerstore.operators import checks
 from cornerstore.operators.watermark import Watermark, load_watermark
 from cornerstore.plans import cdc, lakehouse, medallion, models
 from cornerstore.schemas import schema
-from cornerstore.sinks import files as sinks
+from cornerstore.sinks import files as sinks, jdbc
 from cornerstore.sources import streams
 from cornerstore.streaming import jobs
 
@@ -256,6 +256,44 @@ def test_gate_compares_the_serving_store(spark, folder):
     assert targets["top_products"][1] == "analytics_top_products"
 
 
+def test_serving_tables_are_loaded_and_read_back(spark, folder, monkeypatch):
+    """The publication through stand-ins: what is staged is what the gate reads."""
+    layout = medallion.Layout(folder)
+    served = {}
+
+    def publish(datasets, database, load_id, target_ddl):
+        assert len(target_ddl) == 6 and target_ddl[0] == (
+            "CREATE TABLE IF NOT EXISTS analytics_overall_sales (metric_scope VARCHAR(100) NOT NULL, "
+            "total_revenue NUMERIC(20,2) NOT NULL, order_count BIGINT NOT NULL, units_sold BIGINT NOT NULL, "
+            "average_order_value NUMERIC(20,2) NOT NULL, distinct_customers BIGINT NOT NULL, "
+            "last_refreshed_at TIMESTAMP WITH TIME ZONE NOT NULL, PRIMARY KEY (metric_scope))"
+        )
+        served.update({table: df for df, table, _ in datasets.values()})
+
+    monkeypatch.setattr(medallion, "publish_jdbc", publish)
+    monkeypatch.setattr(medallion, "read_jdbc", lambda spark, database, table: served[table])
+    publisher = medallion.jdbc_publisher(spark, jdbc.Database("jdbc:x"), "l1")
+    assert medallion.run(spark, source(spark, *FIRST), layout, publish=publisher)["checks_passed"] == 10
+
+
+def test_stream_upsert_into_a_database(spark, folder, monkeypatch):
+    (landing := __import__("pathlib").Path(folder) / "in").mkdir()
+    land(landing, "a.json", sale(SALES[0]), sale(SALES[0]), sale(SALES[1]), "broken {")
+    calls = []
+
+    def upsert(df, database, target, keys, load_id, dialect):
+        calls.append((target, keys, load_id, dialect, sorted(r.total_amount for r in df.collect())))
+
+    monkeypatch.setattr(jobs, "upsert_jdbc", upsert)
+    jobs.start_jdbc_upsert(
+        streams.file_messages(spark, str(landing)), SALES_SCHEMA, "order_id", [F.desc("_source_file")],
+        jdbc.Database("jdbc:x"), "streaming_sales", f"{folder}/dead", f"{folder}/cp",
+    ).awaitTermination()
+    (target, keys, load_id, dialect, amounts), = calls
+    assert (target, keys, dialect, amounts) == ("streaming_sales", ["order_id"], "postgresql", [1000, 85000])
+    assert load_id.isidentifier() or load_id.replace("_", "a").isalnum()
+
+
 def test_lakehouse_run(spark, folder):
     one = lakehouse.run(spark, source(spark, *FIRST), folder, buckets=4)
     assert (one["extracted"], one["valid"], one["rejected"], one["silver"]) == (4, 3, 1, 3)
