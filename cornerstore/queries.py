@@ -629,10 +629,8 @@ def bronze_batches(spark, folder):
     """Two immutable batches under one root; only one is read back."""
     root = shared_folder(spark, "bronze")
     lines = order_lines(spark, folder).select(*SOURCE_COLUMNS)
-    day = F.expr("DATE '2024-06-01'")
     for batch_id, rows in (("007", lines.filter(CUT)), ("8", lines.filter(f"NOT ({CUT})"))):
-        stamped = rows.withColumn("ingestion_date", day).withColumn("batch_id", F.lit(batch_id))
-        sinks.append_batch(stamped, root, batch_id)
+        sinks.append_batch(rows, root, batch_id, "2024-06-01")
     return sources.read_batch(spark, root, "007").select(*SOURCE_COLUMNS, "ingestion_date", "batch_id")
 
 
@@ -642,7 +640,7 @@ def quarantine_write(spark, folder):
     root = shared_folder(spark, "quarantine")
     _, rejected = _classified(spark, folder)
     for _ in range(2):
-        sinks.write_quarantine(rejected, root, "batch-1", F.expr("DATE '2024-06-01'"))
+        sinks.write_quarantine(rejected, root, "batch-1", "2024-06-01")
     return sources.read_batch(spark, root, "batch-1").select("order_id", "record_fingerprint", "batch_id")
 
 
@@ -784,7 +782,7 @@ _runs: dict[tuple[str, str, str], str] = {}
 def _once(spark, folder, name: str, run: Callable[[str], None]) -> str:
     """Run a pipeline once per application and table folder; several queries read its layers."""
     key = (spark.sparkContext.applicationId, folder, name)
-    if key not in _runs:
+    if key not in _runs or not sinks.path_exists(spark, _runs[key]):
         root = shared_folder(spark, name)
         run(root)
         _runs[key] = root

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -60,32 +61,37 @@ def send_messages(messages: DataFrame, servers: str, topic: str) -> None:
     )
 
 
-def append_batch(df: DataFrame, root: str, batch_id: str) -> None:
-    """Append one immutable batch, partitioned by ingestion date and batch id."""
-    if path_exists(df.sparkSession, f"{root}/ingestion_date=*/batch_id={batch_id}"):
+def batch_folder(spark: SparkSession, root: str, batch_id: str) -> str | None:
+    """Folder of a batch that was written to its end, None if there is none.
+
+    What a broken-off attempt left behind, perhaps under another date, does not count.
+    """
+    files, pattern = _file_system(spark, f"{root}/ingestion_date=*/batch_id={batch_id}/_SUCCESS")
+    found = files.globStatus(pattern)
+    return found[0].getPath().getParent().toString() if found is not None and len(found) else None
+
+
+def append_batch(df: DataFrame, root: str, batch_id: str, ingestion_date: date | str) -> None:
+    """Add one immutable batch to a dataset partitioned by ingestion date and batch id."""
+    if batch_folder(df.sparkSession, root, batch_id) is not None:
         raise FileExistsError(f"batch {batch_id} already exists under {root}")
-    df.write.mode("append").partitionBy("ingestion_date", "batch_id").parquet(root)
+    rows = df.drop("ingestion_date", "batch_id")
+    rows.write.mode("overwrite").parquet(f"{root}/ingestion_date={ingestion_date}/batch_id={batch_id}")
 
 
-def write_quarantine(rejected: DataFrame, root: str, batch_id: str, ingestion_date: Column) -> bool:
+def write_quarantine(rejected: DataFrame, root: str, batch_id: str, ingestion_date: date | str) -> bool:
     """Write a batch's rejected rows once; True if written, False if already there.
 
     A retry with the same fingerprints is accepted, one with others is refused.
     """
     spark = rejected.sparkSession
-    stored_at = f"{root}/ingestion_date=*/batch_id={batch_id}"
-    if path_exists(spark, stored_at):
-        stored = spark.read.schema("record_fingerprint string").parquet(stored_at)
+    folder = batch_folder(spark, root, batch_id)
+    if folder is not None:
+        stored = spark.read.schema("record_fingerprint string").parquet(folder)
         if not multiset_difference(rejected, stored, ["record_fingerprint"]).isEmpty():
             raise FileExistsError(f"quarantine batch {batch_id} exists with other rows under {root}")
         return False
-    (
-        rejected.withColumn("ingestion_date", ingestion_date)
-        .withColumn("batch_id", F.lit(batch_id))
-        .write.mode("append")
-        .partitionBy("ingestion_date", "batch_id")
-        .parquet(root)
-    )
+    append_batch(rejected, root, batch_id, ingestion_date)
     return True
 
 

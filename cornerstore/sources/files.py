@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 
 from cornerstore.contracts import check_batch_id
 from cornerstore.schemas import schema
-from cornerstore.sinks.files import path_exists
+from cornerstore.sinks.files import batch_folder, path_exists
 
 
 def read_csv(spark: SparkSession, path: str, columns: T.StructType | None = None) -> DataFrame:
@@ -18,21 +18,21 @@ def read_csv(spark: SparkSession, path: str, columns: T.StructType | None = None
 
 
 def read_batch(spark: SparkSession, root: str, batch_id: str) -> DataFrame:
-    """One immutable batch.
+    """One immutable batch, complete.
 
-    Only the batch's own folders are listed and read. The partition columns get
+    Only the batch's own folder is listed and read. The partition columns get
     their declared types, so a batch id of digits stays text.
     """
     check_batch_id(batch_id)
     if not path_exists(spark, root):
         raise FileNotFoundError(f"no such dataset: {root}")
-    pattern = f"{root}/ingestion_date=*/batch_id={batch_id}"
-    if not path_exists(spark, pattern):
+    folder = batch_folder(spark, root, batch_id)
+    if folder is None:
         raise FileNotFoundError(f"no batch {batch_id} under {root}")
     partitions = schema(ingestion_date="date", batch_id="string")
-    stored = spark.read.parquet(pattern).schema
+    stored = spark.read.parquet(folder).schema
     columns = T.StructType([f for f in stored if f.name not in partitions.names] + partitions.fields)
-    return spark.read.schema(columns).option("basePath", root).parquet(pattern)
+    return spark.read.schema(columns).option("basePath", root).parquet(folder)
 
 
 def require_columns(df: DataFrame, columns: Iterable[str], exact: bool = False) -> DataFrame:

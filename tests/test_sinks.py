@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cornerstore.operators.watermark import (
     Watermark, after_watermark, commit_watermark, load_watermark, source_subquery, watermark_of,
 )
-from cornerstore.session import shared_folder
+from cornerstore.session import drop_intermediate, shared_folder, write_and_reread
 from cornerstore.sinks import files as sinks, jdbc
 from cornerstore.sources import files as sources
 from cornerstore.sources.jdbc import Split, scan_options
@@ -57,15 +57,11 @@ def test_expiry_keeps_the_current_version(spark, folder):
         sinks.expire_snapshots(spark, folder, "a", keep=0)
 
 
-def stamped(df, batch_id):
-    return df.withColumn("ingestion_date", F.expr("DATE '2026-01-01'")).withColumn("batch_id", F.lit(batch_id))
-
-
 def test_batches_are_immutable_and_ids_stay_text(spark, folder):
-    sinks.append_batch(stamped(frame(spark, (1, "x")), "007"), folder, "007")
-    sinks.append_batch(stamped(frame(spark, (2, "y")), "7"), folder, "7")
+    sinks.append_batch(frame(spark, (1, "x")), folder, "007", "2026-01-01")
+    sinks.append_batch(frame(spark, (2, "y")), folder, "7", "2026-01-01")
     with pytest.raises(FileExistsError):
-        sinks.append_batch(stamped(frame(spark, (3, "z")), "7"), folder, "7")
+        sinks.append_batch(frame(spark, (3, "z")), folder, "7", "2026-01-02")
     batch = sources.read_batch(spark, folder, "007")
     assert [(r.order_id, r.batch_id) for r in batch.collect()] == [(1, "007")]
     with pytest.raises(ValueError):
@@ -76,8 +72,22 @@ def test_batches_are_immutable_and_ids_stay_text(spark, folder):
         sources.read_batch(spark, folder + "/none", "8")
 
 
+def test_batch_of_a_broken_off_attempt_does_not_count(spark, folder):
+    """Files without the marker of a finished write are ignored, also under an earlier date."""
+    half = f"{folder}/ingestion_date=2026-01-01/batch_id=b"
+    frame(spark, (1, "half")).write.parquet(half)
+    sinks.delete_path(spark, f"{half}/_SUCCESS")
+    with pytest.raises(FileNotFoundError):
+        sources.read_batch(spark, folder, "b")
+    sinks.append_batch(frame(spark, (1, "x"), (2, "y")), folder, "b", "2026-01-02")
+    batch = sources.read_batch(spark, folder, "b")
+    assert sorted((r.order_id, r.v, str(r.ingestion_date)) for r in batch.collect()) == [
+        (1, "x", "2026-01-02"), (2, "y", "2026-01-02"),
+    ]
+
+
 def test_quarantine_retry(spark, folder):
-    day = F.expr("DATE '2026-01-01'")
+    day = "2026-01-01"
     rows = frame(spark, (1, "f1"), (2, "f1"), (3, "f2"), columns="order_id int, record_fingerprint string")
     assert sinks.write_quarantine(rows, folder, "b1", day)
     assert not sinks.write_quarantine(rows, folder, "b1", day)
@@ -158,6 +168,15 @@ def test_shared_folder_follows_the_session(spark):
         assert path.startswith(root)
 
 
+def test_intermediate_tables_can_be_dropped(spark):
+    kept = write_and_reread(frame(spark, (1, "x")), "kept")
+    assert kept.count() == 1
+    path = shared_folder(spark, "x").rsplit("/", 1)[0]
+    assert sinks.path_exists(spark, path)
+    drop_intermediate(spark)
+    assert not sinks.path_exists(spark, path)
+
+
 # Watermark -----------------------------------------------------------------
 
 
