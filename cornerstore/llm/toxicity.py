@@ -27,9 +27,16 @@ from cornerstore.session import write_and_reread
 TRAIN_ROWS = 12_000
 MOST_VOTERS = 96
 MOST_FEATURES = 4_000
-LEAST_TOXIC = 5
-LEAST_ODDS = 2.0
+LEAST_ROWS = 4
+LEAST_ODDS = 3.0
+LEAST_EVIDENCE = 40.0  # likelihood-ratio statistic; among a million rare words chance reaches about 30
+LEAST_CORRELATION = 0.2
 THRESHOLD = 0.3
+# Common insults that vote from the start, whether or not labelled rows have them.
+SEEDS = (
+    "idiot idiots moron morons stupid dumb loser losers trash garbage scum pathetic worthless disgusting clown "
+    "fool fools vermin filth freak creep coward imbecile jerk bastard crap retard shut screw hate kill"
+).split()
 _WORD = re.compile(r"[^\W\d_]+")
 _DISGUISED = re.compile(r"[^\W_]*[0-9@$!|][^\W_][\w@$!|]*")
 _PLAIN = str.maketrans("013457@$!|", "oleastasil")
@@ -93,33 +100,37 @@ class ToxicityModel:
         return score
 
 
-def label_model(votes: np.ndarray, prior: float, rounds: int = 60) -> tuple[np.ndarray, dict]:
+def label_model(votes: np.ndarray, assumed: float = 0.98, rounds: int = 60) -> tuple[np.ndarray, dict]:
     """Posterior of class 1 per row of ``votes`` (rows x voters of 1, -1 or 0 = silent).
 
-    Expectation-maximisation over P(vote | class) of every voter. Each round, the
-    correlation of every two voters that the class does not explain is measured, and
-    a voter's log-odds count 1 / (1 + sum of its correlations), so that ten forms of
-    one rule don't count ten times.
+    Expectation-maximisation over the share of class 1 and P(vote | class) of every
+    voter. Each round, the correlation of every two voters that the class does not
+    explain is measured, and a voter's log-odds count 1 / (1 + sum of its
+    correlations), so that ten forms of one rule don't count ten times. Voters are
+    ``assumed`` to be right as often before anything is seen, which weighs as much as
+    their votes: else voters of different languages, which never speak together, would
+    pass for different classes.
     """
     rows, voters = votes.shape
     fires = votes != 0
-    sign = np.sign(votes.sum(axis=0) + 0.5)
-    belief = np.clip(prior + 0.5 * (votes > 0).any(axis=1) - 0.5 * prior * (votes < 0).any(axis=1), 0.01, 0.99)
-    share = np.ones(voters)
+    sign = np.where((votes < 0).any(axis=0), -1, 1)
+    spoke = fires.sum(axis=0).astype(float)
+    trust = np.maximum(spoke, 20.0)
+    belief = np.where((votes > 0).any(axis=1), 0.9, 0.02)
     for _ in range(rounds):
         one, zero = belief.sum(), (1 - belief).sum()
-        rate1 = (belief @ fires + 0.5) / (one + 1)
-        rate0 = ((1 - belief) @ fires + 0.5) / (zero + 1)
-        # A voter is right more often than wrong; else the classes could change places.
-        up = sign > 0
-        rate0 = np.where(up, np.minimum(rate0, rate1), rate0)
-        rate1 = np.where(up, rate1, np.minimum(rate1, rate0))
+        prior = float(np.clip(one / rows, 0.5 / rows, 0.5))
+        right = np.where(sign > 0, belief @ fires, (1 - belief) @ fires)
+        accuracy = np.clip((right + trust * assumed) / (spoke + trust), 0.5, 0.995)
+        of_one = np.where(sign > 0, accuracy, 1 - accuracy) * spoke
+        rate1 = np.clip((of_one + 0.1) / (one + 0.2), 1e-5, 1 - 1e-5)
+        rate0 = np.clip((spoke - of_one + 0.1) / (zero + 0.2), 1e-5, 1 - 1e-5)
         expected = np.outer(belief, rate1) + np.outer(1 - belief, rate0)
         rest = fires - expected
         spread = np.sqrt((rest * rest).mean(axis=0)) + 1e-6
         correlation = (rest.T @ rest) / rows / np.outer(spread, spread)
         np.fill_diagonal(correlation, 0)
-        share = 1 / (1 + np.clip(correlation, 0, 1).sum(axis=1))
+        share = 1 / (1 + np.where(correlation >= LEAST_CORRELATION, correlation, 0).sum(axis=1))
         spoken = np.log(rate1 / rate0) * share
         silent = np.log((1 - rate1) / (1 - rate0)) * share
         logit = np.log(prior / (1 - prior)) + fires @ spoken + (~fires) @ silent
@@ -128,7 +139,6 @@ def label_model(votes: np.ndarray, prior: float, rounds: int = 60) -> tuple[np.n
             belief = after
             break
         belief = after
-    accuracy = np.where(sign > 0, rate1 * prior, rate0 * (1 - prior)) / (rate1 * prior + rate0 * (1 - prior))
     return belief, {"accuracy": accuracy, "correlation": correlation, "share": share}
 
 
@@ -155,16 +165,11 @@ def _training_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
 
 def _features(sample: DataFrame) -> DataFrame:
     """f, toxic (rows with it), plain (rows without a toxic label with it)."""
-    made = F.concat(
-        F.col("words"),
-        *(
-            F.transform(
-                F.filter("words", lambda w, k=k: (F.length(w) > k) & ~w.startswith("#")),
-                lambda w, k=k: F.concat(F.substring(w, 1, k), F.lit("*")),
-            )
-            for k in (4, 5, 6)
-        ),
-    )
+    def cut(k: int):
+        long = F.filter("words", lambda w: (F.length(w) > k) & ~w.startswith("#"))
+        return F.transform(long, lambda w: F.concat(F.substring(w, 1, k), F.lit("*")))
+
+    made = F.concat(F.col("words"), *(cut(k) for k in (4, 5, 6)))
     each = sample.select("toxic", F.explode(F.array_distinct(made)).alias("f"))
     return each.groupBy("f").agg(
         F.sum("toxic").cast("long").alias("toxic"), F.sum(1 - F.col("toxic")).cast("long").alias("plain")
@@ -177,20 +182,29 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
     total, positive = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not positive or positive == total:
         return ToxicityModel({}, float("-inf") if not positive else float("inf"), frozenset())
-    features = _features(sample).filter(F.col("toxic") + F.col("plain") >= LEAST_TOXIC)
+    features = _features(sample).filter(F.col("toxic") + F.col("plain") >= LEAST_ROWS)
     odds = F.log((F.col("toxic") + 0.5) / (positive + 1)) - F.log((F.col("plain") + 0.5) / (total - positive + 1))
-    ranked = features.select("f", "toxic", "plain", odds.alias("odds"))
+    seen, part = F.col("toxic") + F.col("plain"), positive / total
+    evidence = 2 * (
+        F.when(F.col("toxic") > 0, F.col("toxic") * F.log(F.col("toxic") / (seen * part))).otherwise(0)
+        + F.when(F.col("plain") > 0, F.col("plain") * F.log(F.col("plain") / (seen * (1 - part)))).otherwise(0)
+    )
+    ranked = features.select("f", "toxic", odds.alias("odds"), evidence.alias("evidence"))
     # A bounded number of features: the ones that tell the classes apart best.
-    chosen = ranked.orderBy(F.abs("odds").desc(), F.desc("toxic"), "f").limit(MOST_FEATURES).collect()
-    strong = [r for r in chosen if r["odds"] >= LEAST_ODDS and r["toxic"] >= LEAST_TOXIC and not r["f"].startswith("#")]
+    chosen = ranked.orderBy(F.desc("evidence"), "f").limit(MOST_FEATURES).collect()
+    strong = [
+        r for r in chosen
+        if r["odds"] >= LEAST_ODDS and r["evidence"] >= LEAST_EVIDENCE and not r["f"].startswith("#")
+    ]
     strong.sort(key=lambda r: (-r["toxic"], len(r["f"]), r["f"]))
     voters: list[str] = []
     for r in strong:
         name = r["f"].rstrip("*")
         if not any(v.endswith("*") and name.startswith(v[:-1]) for v in voters) and len(voters) < MOST_VOTERS:
             voters.append(r["f"])
-    lexicon = frozenset(v for v in voters if not v.endswith("*"))
-    index = {r["f"]: i for i, r in enumerate(chosen)}
+    voters += [w for w in SEEDS if w not in voters and not any(v.endswith("*") and w.startswith(v[:-1]) for v in voters)]
+    lexicon = frozenset(v for v in voters if not v.endswith("*")) | frozenset(SEEDS)
+    index = {f: i for i, f in enumerate(dict.fromkeys([*(r["f"] for r in chosen), *voters, "#disguise"]))}
     number = {v: i for i, v in enumerate(voters)}
     nothing, shout, disguise = len(voters), len(voters) + 1, len(voters) + 2
 
@@ -212,10 +226,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
     for i, r in enumerate(seen):
         votes[i, r["votes"]] = 1
     votes[:, nothing] *= -1
-    belief, _ = label_model(votes, positive / total)
+    belief, _ = label_model(votes)
     lengths = np.array([len(r["has"]) for r in seen])
     columns = np.fromiter((c for r in seen for c in r["has"]), dtype=np.int64, count=int(lengths.sum()))
-    weights, bias = train_logistic(lengths, columns, np.ones(len(columns)), belief, len(index), l2=1.0)
+    weights, bias = train_logistic(lengths, columns, np.ones(len(columns)), belief, len(index), l2=0.3)
     return ToxicityModel({f: float(weights[i]) for f, i in index.items() if abs(weights[i]) > 1e-3}, bias, lexicon)
 
 
