@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cornerstore.llm import bpe, mixing, sentences, simhash, toxicity
+from cornerstore.llm import bpe, hamming, lines, mixing, sentences, simhash, toxicity
 from cornerstore.llm.frames import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -21,6 +21,10 @@ def op1_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "n_tokens", "domain", *shares, "rate", "copies")
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming.nearest(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "id % 50 = 0")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels")))
@@ -34,13 +38,20 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.dedup_sentences(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_mixing_sources, op4_toxicity, op5_simhash, op7_bpe, op9_substring_dedup)
+    for f in (
+        op1_mixing_sources, op3_nearest_neighbours, op4_toxicity, op5_simhash, op7_bpe, op8_quality_rules,
+        op9_substring_dedup,
+    )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op8_quality_rules": lines.QUALITY_RULES_SQL}
