@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cornerstore.llm import bpe, hamming, lines, mixing, sentences, simhash, toxicity
+from cornerstore.llm import bpe, hamming, langid, lines, mixing, quality, sentences, simhash, toxicity
 from cornerstore.llm.frames import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -21,6 +21,11 @@ def op1_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "n_tokens", "domain", *shares, "rate", "copies")
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.fit_quality(docs))
+
+
 def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming.nearest(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "id % 50 = 0")
 
@@ -34,6 +39,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.label_documents(docs, langid.fit_languages(docs))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
@@ -49,8 +59,8 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_mixing_sources, op3_nearest_neighbours, op4_toxicity, op5_simhash, op7_bpe, op8_quality_rules,
-        op9_substring_dedup,
+        op1_mixing_sources, op2_quality_classifier, op3_nearest_neighbours, op4_toxicity, op5_simhash,
+        op6_language_id, op7_bpe, op8_quality_rules, op9_substring_dedup,
     )
 }
 
