@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cornerstore.llm import bpe, hamming, langid, lines, mixing, quality, sentences, simhash, toxicity
+from cornerstore.llm import binary, bpe, hamming, langid, lines, mixing, quality, sentences, simhash, toxicity
 from cornerstore.llm.frames import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -56,11 +56,16 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.dedup_sentences(table(spark, sf_dir, "documents"))
 
 
+def op10_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return binary.token_positions(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_mixing_sources, op2_quality_classifier, op3_nearest_neighbours, op4_toxicity, op5_simhash,
         op6_language_id, op7_bpe, op8_quality_rules, op9_substring_dedup,
+        op10_token_binary,
     )
 }
 
