@@ -60,11 +60,12 @@ def stems(word: str) -> list[str]:
     return [word[:k] + "*" for k in (4, 5, 6) if len(word) > k and word[0] != "#"]
 
 
-def _sketch(text: str) -> int:
-    """The smallest hash of three words in a row: near copies mostly share it."""
+def _sketches(text: str) -> list[int]:
+    """Three smallest hashes of three words in a row, by three orders: near copies mostly share each."""
     words = text.lower().split()
     runs = zip(words, words[1:], words[2:]) if len(words) > 2 else [words]
-    return min(xxhash.xxh64_intdigest(" ".join(r).encode("utf-8", "surrogatepass")) for r in runs) >> 1
+    hashes = np.array([xxhash.xxh64_intdigest(" ".join(r).encode("utf-8", "surrogatepass")) for r in runs], dtype=np.uint64)
+    return [int((hashes * np.uint64(m)).min() >> np.uint64(1)) for m in (1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
 
 
 @dataclass
@@ -155,12 +156,13 @@ def _training_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
 
     def run(texts, toxic):
         for text, mark in zip(texts, toxic):
-            yield _sketch(text or ""), mark, sorted(words_of(text)), _DISGUISED.findall((text or "").lower())[:1000]
+            yield *_sketches(text or ""), mark, sorted(words_of(text)), _DISGUISED.findall((text or "").lower())[:1000]
 
-    schema = "sketch long, toxic int, words array<string>, odd array<string>"
-    return write_and_reread(
-        map_columns(texts, ["text", "toxic"], run, schema).dropDuplicates(["sketch"]), "toxicity-sample"
-    )
+    schema = "s1 long, s2 long, s3 long, toxic int, words array<string>, odd array<string>"
+    sample = map_columns(texts, ["text", "toxic"], run, schema)
+    for sketch in ("s1", "s2", "s3"):
+        sample = sample.dropDuplicates([sketch])
+    return write_and_reread(sample, "toxicity-sample")
 
 
 def _features(sample: DataFrame) -> DataFrame:
@@ -190,21 +192,25 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
         + F.when(F.col("plain") > 0, F.col("plain") * F.log(F.col("plain") / (seen * (1 - part)))).otherwise(0)
     )
     ranked = features.select("f", "toxic", odds.alias("odds"), evidence.alias("evidence"))
+    ranked = ranked.filter(F.col("evidence") >= LEAST_EVIDENCE)
     # A bounded number of features: the ones that tell the classes apart best.
     chosen = ranked.orderBy(F.desc("evidence"), "f").limit(MOST_FEATURES).collect()
-    strong = [
-        r for r in chosen
-        if r["odds"] >= LEAST_ODDS and r["evidence"] >= LEAST_EVIDENCE and not r["f"].startswith("#")
-    ]
-    strong.sort(key=lambda r: (-r["toxic"], len(r["f"]), r["f"]))
+    strong = [r for r in chosen if r["odds"] >= LEAST_ODDS and not r["f"].startswith("#")]
+    # Of a word and its stems the one with the most evidence votes; of equal ones the longest.
+    strong.sort(key=lambda r: (-round(r["evidence"], 6), -len(r["f"]), r["f"]))
     voters: list[str] = []
+
+    def related(a: str, b: str) -> bool:
+        a, b = sorted((a.rstrip("*"), b.rstrip("*")), key=len)
+        return b.startswith(a)
+
     for r in strong:
-        name = r["f"].rstrip("*")
-        if not any(v.endswith("*") and name.startswith(v[:-1]) for v in voters) and len(voters) < MOST_VOTERS:
+        if len(voters) < MOST_VOTERS and not any(related(r["f"], v) for v in voters):
             voters.append(r["f"])
-    voters += [w for w in SEEDS if w not in voters and not any(v.endswith("*") and w.startswith(v[:-1]) for v in voters)]
+    voters += [w for w in SEEDS if not any(w == v or (v.endswith("*") and w.startswith(v[:-1])) for v in voters)]
     lexicon = frozenset(v for v in voters if not v.endswith("*")) | frozenset(SEEDS)
-    index = {f: i for i, f in enumerate(dict.fromkeys([*(r["f"] for r in chosen), *voters, "#disguise"]))}
+    other = [r["f"] for r in chosen if r["odds"] < 0 or r["f"].startswith("#")]
+    index = {f: i for i, f in enumerate(dict.fromkeys([*other, *voters, "#disguise"]))}
     number = {v: i for i, v in enumerate(voters)}
     nothing, shout, disguise = len(voters), len(voters) + 1, len(voters) + 2
 
@@ -226,10 +232,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
     for i, r in enumerate(seen):
         votes[i, r["votes"]] = 1
     votes[:, nothing] *= -1
-    belief, _ = label_model(votes)
-    lengths = np.array([len(r["has"]) for r in seen])
-    columns = np.fromiter((c for r in seen for c in r["has"]), dtype=np.int64, count=int(lengths.sum()))
-    weights, bias = train_logistic(lengths, columns, np.ones(len(columns)), belief, len(index), l2=0.3)
+    belief, found = label_model(votes)
+    # Each toxic voter also teaches the classifier on its own, as a text that has no other sign.
+    rows = [r["has"] for r in seen] + [[index[v]] for v in voters]
+    target = np.concatenate([belief, found["accuracy"][:len(voters)]])
+    lengths = np.array([len(r) for r in rows])
+    columns = np.fromiter((c for r in rows for c in r), dtype=np.int64, count=int(lengths.sum()))
+    weights, bias = train_logistic(lengths, columns, np.ones(len(columns)), target, len(index), l2=0.03, rounds=300)
     return ToxicityModel({f: float(weights[i]) for f, i in index.items() if abs(weights[i]) > 1e-3}, bias, lexicon)
 
 
