@@ -1,0 +1,63 @@
+"""Small tables with every awkward case that the text operators promise to handle."""
+
+import random
+
+import pytest
+
+SCHEMA = (
+    "doc_id long, text string, lang string, source string, n_chars long, "
+    # Names that operators use inside or return themselves.
+    "score string, fp string, component_id string, h string, first string, domain string, copies string, n_tokens string"
+)
+EXTRA = ("x",) * 8
+
+
+def prose(seed, words, vocabulary="north wind sun traveller cloak strong blew warm shone agree road stone river".split()):
+    made = random.Random(seed)
+    out = []
+    for k in range(words):
+        word = made.choice(vocabulary) + made.choice(["", "s", "ed", "ing", "er"])
+        out.append(word + (". " if k % 9 == 8 else " "))
+    return "".join(out)
+
+
+def edge_rows():
+    long = prose(1, 20_000)
+    rows = [
+        (1, None, "en", "a"),
+        (2, "", "en", None),
+        (3, " \n\t ", None, "a"),
+        (4, "one", "en", "a"),
+        (5, long, "en", "a"),
+        (6, long, "en", "b"),
+        (7, prose(7, 120), "en", "b"),
+        (7, prose(7, 120), "en", "b"),
+        (8, prose(8, 120).upper() + "!!!", "de", "b"),
+        (9, "## $$ %% 123 ¼ ² éè \U0001f600 你好。 <|endoftext|> it's we'll", None, "a"),
+        (10, "x" * 5_000, "en", "a"),
+        (None, prose(9, 80), "en", "a"),
+        (None, None, None, None),
+        (11, "\n".join(["same line again"] * 40), "en", "c"),
+        (-3, prose(12, 60), "en", "c"),
+    ]
+    return [(i, text, lang, source, None if text is None else len(text), *EXTRA) for i, text, lang, source in rows]
+
+
+@pytest.fixture
+def edge_docs(spark):
+    return spark.createDataFrame(edge_rows(), SCHEMA)
+
+
+@pytest.fixture
+def no_docs(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def tiny():
+    return "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def small():
+    return "/root/testdata/sf0.01"

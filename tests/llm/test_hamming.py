@@ -1,0 +1,86 @@
+import itertools
+
+import numpy as np
+import pytest
+
+from cornerstore.llm import hamming, queries
+
+
+def brute_force(ids, vectors, queries_of, k=5):
+    out = {}
+    for q in queries_of:
+        score = hamming.cosine(np.repeat(vectors[q:q + 1], len(ids), axis=0), vectors)
+        order = [i for i in np.lexsort((ids, -score)) if ids[i] != ids[q]][:k]
+        out[int(ids[q])] = [(int(ids[i]), float(score[i])) for i in order]
+    return out
+
+
+def found_of(df):
+    out = {}
+    for r in sorted(df.collect(), key=lambda r: (r.query_id, r["rank"])):
+        out.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert r["rank"] == len(out[r.query_id])
+    return out
+
+
+@pytest.mark.parametrize("scale", ["0.01", "0.1"])
+def test_recall_over_the_whole_table(spark, scale):
+    folder = f"/root/testdata/sf{scale}"
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding").collect()
+    ids = np.array([r.vec_id for r in rows])
+    vectors = np.array([r.embedding for r in rows], dtype=np.float64)
+    want = brute_force(ids, vectors, np.flatnonzero(ids % 50 == 0))
+    found = found_of(queries.op3_nearest_neighbours(spark, folder))
+    assert set(found) == set(want) and all(len(v) == 5 for v in found.values())
+    hits = sum(len({v for v, _ in found[q]} & {v for v, _ in want[q]}) for q in want)
+    assert hits >= 0.9 * 5 * len(want)
+    exact = {(q, v): s for q in want for v, s in want[q]}
+    assert all(abs(s - exact[q, v]) < 1e-12 for q in found for v, s in found[q] if (q, v) in exact)
+
+
+def test_every_code_within_the_radius_is_retrieved_once():
+    """Pigeonhole: over all substring tables, each pair within the radius comes up exactly once."""
+    random = np.random.default_rng(2)
+    codes = random.integers(0, 1 << 32, (60, 4), dtype=np.uint64).astype(np.uint32)
+    codes[30:] = codes[:30] ^ (np.uint32(1) << random.integers(0, 32, (30, 4)).astype(np.uint32))
+    for radius in (0, 3, 4, 5, 40, 56, 128):
+        radii = hamming.substring_radii(radius, 4)
+        assert sum(radii) + 4 == radius + 1
+        for a, b in itertools.combinations(range(60), 2):
+            apart = np.bitwise_count(codes[a] ^ codes[b])
+            if apart.sum() <= radius:
+                assert any(d <= r for d, r in zip(apart, radii))
+
+
+def test_edge_vectors(spark, monkeypatch):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (0, [1.0, 0.0, 2.0]), (50, [1.0, 0.0, 2.0]), (1, [2.0, 0.0, 4.0]), (2, [0.0, 1.0, 0.0]), (3, [-1.0, 0.0, -2.0]),
+        (4, None), (5, []), (6, [0.0, 0.0, 0.0]), (7, [1.0, None, 1.0]), (8, [nan, 1.0, 1.0]), (9, [inf, 1.0, 1.0]),
+        (None, [1.0, 1.0, 1.0]), (100, [0.0, 0.0, 0.0]), (10, [1.0, 2.0]), (1, [2.0, 0.0, 4.0]), (11, [1e200, 0.0, 1e200]),
+        (12, [1e-200, 0.0, 2e-200]),
+    ]
+    docs = spark.createDataFrame([(i, v, "x", "y") for i, v in rows], "vec_id long, embedding array<double>, id string, v string")
+    found = found_of(hamming.nearest(docs, "vec_id", "embedding", "id % 50 = 0"))
+    assert set(found) == {0, 50}
+    assert [v for v, _ in found[0]] == [1, 12, 50, 11, 2] or {v for v, _ in found[0][:3]} == {1, 12, 50}
+    assert len({v for v, _ in found[0]}) == 5 and 0 not in {v for v, _ in found[0]}
+    assert hamming.nearest(docs.filter("false"), "vec_id", "embedding", "id % 50 = 0").count() == 0
+    alone = docs.filter("vec_id = 0")
+    assert hamming.nearest(alone, "vec_id", "embedding", "id % 50 = 0").count() == 0
+
+
+def test_many_equal_vectors_in_small_groups(spark, monkeypatch):
+    """A third of the rows are one vector; groups are split and ties go to the smaller ids."""
+    monkeypatch.setattr(hamming, "GROUP_ROWS", 50)
+    monkeypatch.setattr(hamming, "GROUP_QUERIES", 3)
+    random = np.random.default_rng(5)
+    rows = [(int(i), ([1.0] * 16 if i % 3 == 0 else random.standard_normal(16).tolist())) for i in random.permutation(400)]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = found_of(hamming.nearest(docs, "vec_id", "embedding", "id % 50 = 0"))
+    assert [v for v, _ in found[0]] == [3, 6, 9, 12, 15]
+    assert [v for v, _ in found[150]] == [0, 3, 6, 9, 12]
+    ids = np.array([i for i, _ in rows])
+    want = brute_force(ids, np.array([v for _, v in rows]), np.flatnonzero(ids % 50 == 0))
+    hits = sum(len({v for v, _ in found[q]} & {v for v, _ in want[q]}) for q in want)
+    assert hits >= 0.9 * sum(map(len, want.values()))
