@@ -49,6 +49,8 @@ def domain_table(labelled: DataFrame, rows: int = LABELLED_ROWS) -> tuple[DataFr
     if len(totals) > MOST_DOMAINS:
         raise ValueError(f"more than {MOST_DOMAINS} domains")
     domains = sorted(totals)
+    if not domains:
+        return counts.select("_bucket"), [], []
     smooth = 0.5
     columns = [
         F.log(
