@@ -68,11 +68,11 @@ def silver_violations(silver: DataFrame) -> DataFrame:
     return silver.filter(broken | ~F.col("total_amount").eqNullSafe(amount) | F.col("total_amount").isNull())
 
 
-def lineage_gaps(batch: DataFrame, silver: DataFrame) -> DataFrame:
+def lineage_gaps(batch: DataFrame, silver: DataFrame, version: str = "source_updated_at") -> DataFrame:
     """Orders of a deduplicated batch that Silver lacks or holds in an older version."""
-    stored = silver.select("order_id", F.col("source_updated_at").alias("silver_updated_at"))
+    stored = silver.select("order_id", F.col(version).alias("silver_updated_at"))
     return (
-        batch.select("order_id", F.col("source_updated_at").alias("batch_updated_at"))
+        batch.select("order_id", F.col(version).alias("batch_updated_at"))
         .join(stored, "order_id", "left")
         .filter("silver_updated_at IS NULL OR silver_updated_at < batch_updated_at")
     )
@@ -120,16 +120,23 @@ def surplus_line(name: str, left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
-def _count_lines(counts: DataFrame, quarantine: DataFrame) -> DataFrame:
-    """The three count checks from one row of ``disposition_counts``."""
-    stored = quarantine.agg(F.count(F.lit(1))).scalar()
+def batch_counts(bronze: DataFrame, valid: DataFrame, rejected: DataFrame, quarantine: DataFrame) -> DataFrame:
+    """One row: Bronze rows, valid rows, rows to reject, and the quarantine rows that are stored."""
+    sides = {"input_rows": bronze, "valid_rows": valid, "rejected_rows": rejected, "stored_rows": quarantine}
+    counted = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("of"), "n") for k, df in sides.items()]
+    rows = reduce(DataFrame.unionByName, counted)
+    return rows.agg(*(F.coalesce(F.sum(F.when(F.col("of") == k, F.col("n"))), F.lit(0)).alias(k) for k in sides))
+
+
+def _count_lines(counts: DataFrame) -> DataFrame:
+    """The three count checks from one row of ``batch_counts``: what is stored against what came in."""
     lines = {
         "bronze_not_empty": F.when(F.col("input_rows") > 0, 0).otherwise(1),
-        "valid_plus_rejected_is_bronze": F.abs(F.expr("input_rows - valid_rows - rejected_rows")),
+        "valid_plus_rejected_is_bronze": F.abs(F.expr("input_rows - valid_rows - stored_rows")),
         "quarantine_count": F.abs(F.col("rejected_rows") - F.col("stored_rows")),
     }
     structs = [F.struct(F.lit(n).alias("check_name"), c.cast("long").alias("failures")) for n, c in lines.items()]
-    return counts.withColumn("stored_rows", stored).select(F.inline(F.array(*structs)))
+    return counts.select(F.inline(F.array(*structs)))
 
 
 def medallion_gate(
@@ -143,13 +150,13 @@ def medallion_gate(
 ) -> DataFrame:
     """All cross-layer checks as (check_name, failures, passed).
 
-    ``counts`` are the batch's ``disposition_counts``. ``serving`` maps dataset
+    ``counts`` are the batch's ``batch_counts``. ``serving`` maps dataset
     names to the rows read back from the serving store; its two checks are left
     out where there is none.
     """
     dimensional = {name: gold[name] for name in RECONCILED_DATASETS}
     lines = [
-        _count_lines(counts, quarantine),
+        _count_lines(counts),
         failures("silver_orders_unique", duplicate_keys(silver, ["order_id"])),
         failures("silver_rows_valid", silver_violations(silver)),
         failures("batch_reached_silver", lineage_gaps(latest_valid, silver)),

@@ -30,7 +30,7 @@ def latest_silver(df: DataFrame) -> DataFrame:
         ["order_id"],
         [
             *(F.desc(name) for name in SILVER_VERSION),
-            F.desc("total_amount"), F.desc("product"), F.desc("category"),
+            *(F.desc(c) for c in ("total_amount", "product", "category", "customer_name", "city", "price", "quantity")),
         ],
     )
 

@@ -15,12 +15,15 @@ def merge_newer(
 ) -> DataFrame:
     """Insert new keys; replace a matched row where source version >= target version.
 
-    Both sides hold one row per key. Written as anti-joins, so that a source
-    batch small enough to broadcast leaves the target unshuffled; a NULL
-    version on either side keeps the target row, as MERGE does. Several version
-    columns are compared from left to right.
+    Both sides hold one row per key. A source batch that Spark would broadcast is
+    merged by anti-joins, which leave the target unshuffled; a larger one by a full
+    outer join, which shuffles the target once. A NULL version on either side keeps
+    the target row, as MERGE does. Several version columns are compared from left to
+    right.
     """
     own = F.col(version[0]) if len(version) == 1 else F.struct(*version)
+    if not fits_broadcast(source):
+        return _merge_outer(target, source, keys, own)
     renamed_keys = [F.col(k).alias(f"_{k}") for k in keys]
     same = _same_key(keys)
     incoming = source.select(*renamed_keys, own.alias("_incoming"))
@@ -33,6 +36,27 @@ def merge_newer(
     return kept.unionByName(accepted)
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own estimate of the size is within the broadcast threshold."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit
+
+
+def _merge_outer(target: DataFrame, source: DataFrame, keys: Sequence[str], version: Column) -> DataFrame:
+    columns = target.columns
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        whole = F.struct(*(F.col(c) for c in columns))
+        return df.select(*(F.col(k).alias(f"_{name}_{k}") for k in keys), version.alias(f"_{name}_at"), whole.alias(name))
+
+    same = F.lit(True)
+    for key in keys:
+        same = same & (F.col(f"_old_{key}") == F.col(f"_new_{key}"))
+    both = side(target, "old").join(side(source, "new"), same, "full_outer")
+    newer = F.col("old").isNull() | (F.col("new").isNotNull() & F.coalesce(F.col("_new_at") >= F.col("_old_at"), F.lit(False)))
+    return both.select(F.when(newer, F.col("new")).otherwise(F.col("old")).alias("row")).select("row.*")
+
+
 def merge_replace(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Insert new keys, replace every matched row."""
     incoming = source.select(*(F.col(k).alias(f"_{k}") for k in keys))

@@ -343,6 +343,48 @@ GATE = _lines(
 )
 
 
+# The same checks over layers that were damaged on purpose.
+GATE_DAMAGED = _lines(
+    RUN_SILVER + f""", batch as (select * from clean where not ({CUT})), good as (
+  select * from valid where not ({CUT})), bad as (
+  select * from batch where {MEDALLION_REASONS} <> ''), stored as (select * from bad where order_id % 7 <> 0), newest as (
+  select * from good qualify row_number() over (partition by order_id {RUN_ORDER}) = 1), damaged as (
+  select * replace (case when order_id % 17 = 0 then -price else price end as price) from (
+    select * from silver where order_id % 11 <> 0 union all select * from silver where order_id % 13 = 0))""",
+    [
+        _line("bronze_not_empty", "select case when count(*) > 0 then 0 else 1 end from batch"),
+        _line(
+            "valid_plus_rejected_is_bronze",
+            "select abs((select count(*) from batch) - (select count(*) from good) - (select count(*) from stored))",
+        ),
+        _line("quarantine_count", "select count(*) from bad where order_id % 7 = 0"),
+        _line(
+            "silver_orders_unique",
+            "select count(*) from (select order_id from damaged group by order_id having count(*) > 1)",
+        ),
+        _line(
+            "silver_rows_valid",
+            """select count(*) from damaged where price < 0 or quantity <= 0 or city = ''
+  or total_amount is distinct from price * quantity""",
+        ),
+        _line(
+            "batch_reached_silver",
+            """select count(*) from newest n left join damaged d on n.order_id = d.order_id
+  where d.updated_at is null or d.updated_at < n.updated_at""",
+        ),
+        _line("quarantine_matches", "select count(*) from bad where order_id % 7 = 0"),
+        _line(
+            "gold_revenue_matches",
+            """select count(*) from (
+    select sum(total_amount) as total from silver where category <> 'ECONOMY'
+    union all select sum(total_amount) from silver union all select sum(total_amount) from silver
+    union all select sum(total_amount) from silver)
+  where total is distinct from (select sum(total_amount) from damaged)""",
+        ),
+    ],
+)
+
+
 def _null_line(model: str, column: str) -> str:
     return _line(f"{model}.{column}.not_null", f"select count(*) from {model} where {column} is null")
 
@@ -367,7 +409,19 @@ MODEL_TESTS = _lines(
         _unique_line("dim_customer", "customer_id"),
         _null_line("dim_product", "product_id"),
         _unique_line("dim_product", "product_id"),
+        _null_line("fct_sales", "order_id"),
         _unique_line("fct_sales", "order_id"),
+        *(
+            _line(
+                f"fct_sales.{k}_id.known",
+                f"select count(distinct {k}_id) from fct_sales where {k}_id not in (select {k}_id from dim_{k})",
+            )
+            for k in ("customer", "product")
+        ),
+        _line(
+            "fct_sales.sales_positive",
+            "select count(*) from fct_sales where quantity <= 0 or unit_price < 0 or total_amount < 0",
+        ),
         _null_line("mart_daily_sales", "order_date"),
         _null_line("mart_daily_sales", "gross_sales"),
     ],
@@ -549,7 +603,9 @@ select order_id, customer_name, category, city, total_amount, updated_at as sour
 select * exclude (last_refreshed_at) from gold""",
     "medallion_report": REPORT,
     "quality_gate": GATE,
+    "quality_gate_damaged": GATE_DAMAGED,
     "lakehouse_silver": f"with {LAKE_RUN} select * from lakehouse",
+    "lakehouse_restart": f"with {LAKE} {_lake_latest('latest')} select * from latest",
     "lakehouse_gold": f"with {LAKE_RUN} " + DAILY.format(rows="lakehouse"),
     "cdc_daily_sales": f"""with {HISTORY}
 select cast(order_timestamp as date) as order_date, store_id, category, count(distinct order_id) as order_count,

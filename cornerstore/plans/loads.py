@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cornerstore.contracts import SALES_SCHEMA
 from cornerstore.operators.merge import merge_replace
 from cornerstore.operators.star import DIMENSIONS, build_fact, extend_dimension, members
-from cornerstore.sinks.files import current_path, publish_snapshots, read_snapshot
+from cornerstore.sinks.files import commit_snapshots, current_path, is_published, read_snapshot, stage_snapshots
 from cornerstore.sinks.jdbc import Database, write_jdbc
 from cornerstore.sources.files import read_csv
 
@@ -17,24 +17,27 @@ def csv_to_jdbc(spark: SparkSession, path: str, database: Database, table: str,
 
 
 def load_star(spark: SparkSession, sales: DataFrame, root: str, load_id: str) -> dict[str, DataFrame]:
-    """Extend the three dimensions by new members and publish them with the fact rows.
+    """Extend the three dimensions by new members and append the fact rows, in one publication.
 
-    May be run again: known members keep their keys and are not added twice.
-    The four tables become visible together.
+    The facts of a load are a part of their own; earlier parts are neither read nor
+    written. All four tables become visible by one commit: a load that broke off
+    before it has left nothing and is run again under its id, one that was committed
+    is not loaded twice.
     """
-    dimensions = {}
-    for name, (key, columns) in DIMENSIONS.items():
-        stored = read_snapshot(spark, root, name) if current_path(spark, root, name) else None
-        dimensions[name] = extend_dimension(stored, members(sales, columns), key, columns)
-    # Each dimension is written once under its new version and read back, so the
-    # fact build does not number the members a second time.
-    paths = publish_snapshots(dimensions, root, f"{load_id}-dimensions")
-    written = {name: spark.read.parquet(path) for name, path in paths.items()}
-    fact = build_fact(sales, written["dim_customer"], written["dim_product"], written["dim_city"])
-    if current_path(spark, root, "fact_sales"):
-        fact = read_snapshot(spark, root, "fact_sales").unionByName(fact)
-    publish_snapshots({"fact_sales": fact}, root, f"{load_id}-fact")
-    return {**written, "fact_sales": read_snapshot(spark, root, "fact_sales")}
+    names = [*DIMENSIONS, "fact_sales"]
+    if not is_published(spark, root, load_id):
+        dimensions = {}
+        for name, (key, columns) in DIMENSIONS.items():
+            stored = read_snapshot(spark, root, name) if current_path(spark, root, name) else None
+            dimensions[name] = extend_dimension(stored, members(sales, columns), key, columns)
+        # Each dimension is written once under its new version and read back, so the
+        # fact build does not number the members a second time.
+        paths = stage_snapshots(dimensions, root, load_id)
+        written = {name: spark.read.parquet(path) for name, path in paths.items()}
+        fact = build_fact(sales, written["dim_customer"], written["dim_product"], written["dim_city"])
+        paths |= stage_snapshots({"fact_sales": fact}, root, load_id)
+        commit_snapshots(spark, root, load_id, paths, append=["fact_sales"])
+    return {name: read_snapshot(spark, root, name) for name in names}
 
 
 def upsert_sales(target: DataFrame | None, source: DataFrame) -> DataFrame:

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Mapping, Sequence
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from cornerstore.operators.merge import merge_newer, merge_replace
 from cornerstore.operators.setops import multiset_difference
-from cornerstore.schemas import schema
 
-MANIFEST_SCHEMA = schema(publication_no="long", publication_id="string", dataset="string", path="string")
+COMMIT_ATTEMPTS = 20
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -95,16 +96,27 @@ def write_quarantine(rejected: DataFrame, root: str, batch_id: str, ingestion_da
     return True
 
 
-def stage_snapshots(datasets: dict[str, DataFrame], root: str, publication_id: str) -> dict[str, str]:
-    """Write all datasets beside the published ones; nothing is visible yet."""
+def stage_snapshots(
+    datasets: dict[str, DataFrame], root: str, publication_id: str,
+    partition_by: Mapping[str, Sequence[str]] | None = None,
+) -> dict[str, str]:
+    """Write all datasets beside the published ones; nothing is visible yet.
+
+    What a killed run staged under the same id, but never committed, is replaced;
+    a committed version is never touched.
+    """
     spark = next(iter(datasets.values())).sparkSession
     paths = {name: f"{root}/{name}/v={publication_id}" for name in datasets}
-    for path in paths.values():
-        if path_exists(spark, path):
-            raise FileExistsError(f"publication already exists: {path}")
+    left_over = [path for path in paths.values() if path_exists(spark, path)]
+    if left_over:
+        published = {path for commit in _commits(spark, root) for d in commit["datasets"].values() for path in d["paths"]}
+        if committed := published.intersection(left_over):
+            raise FileExistsError(f"publication already exists: {sorted(committed)[0]}")
     try:
         for name, df in datasets.items():
-            df.write.parquet(paths[name])
+            columns = (partition_by or {}).get(name, ())
+            rows = df.hint("rebalance", *columns) if columns else df
+            rows.write.mode("overwrite").partitionBy(*columns).parquet(paths[name])
     except Exception:
         drop_staged(spark, paths)
         raise
@@ -116,64 +128,118 @@ def drop_staged(spark: SparkSession, paths: dict[str, str]) -> None:
         delete_path(spark, path)
 
 
-def commit_snapshots(spark: SparkSession, root: str, publication_id: str, paths: dict[str, str]) -> None:
-    """Make staged datasets current, all at once: one new file in the manifest.
+def _commit_files(spark: SparkSession, root: str) -> list:
+    files, pattern = _file_system(spark, f"{root}/manifest/*.json")
+    return sorted((status.getPath() for status in files.globStatus(pattern) or []), key=lambda path: path.getName())
+
+
+def _read_commit(spark: SparkSession, path) -> dict | None:
+    """One commit; None for a file that its writer has not finished or never will."""
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return json.loads(text) if text.endswith("}\n") else None
+
+
+def _commits(spark: SparkSession, root: str) -> list[dict]:
+    return [commit for path in _commit_files(spark, root) if (commit := _read_commit(spark, path))]
 
-    The manifest holds one short row per dataset and publication.
+
+def _last_commit(spark: SparkSession, root: str) -> dict:
+    for path in reversed(_commit_files(spark, root)):
+        if commit := _read_commit(spark, path):
+            return commit
+    return {"datasets": {}}
+
+
+def commit_snapshots(
+    spark: SparkSession, root: str, publication_id: str, paths: dict[str, str], append: Sequence[str] = ()
+) -> None:
+    """Make staged datasets current, all at once, by one numbered file that must not exist yet.
+
+    Each commit file says where all datasets of ``root`` lie, so a reader needs the
+    newest only. Of two publishers that take the same number one finds the file
+    there, and builds its commit on the other's. Datasets in ``append`` gain a part
+    and keep the ones they have.
     """
-    number = 0
-    if path_exists(spark, f"{root}/manifest"):
-        manifest = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{root}/manifest")
-        number = (manifest.agg(F.max("publication_no")).first()[0] or 0) + 1
-    lines = [
-        F.struct(
-            F.lit(number).cast("long").alias("publication_no"), F.lit(publication_id).alias("publication_id"),
-            F.lit(name).alias("dataset"), F.lit(path).alias("path"),
-        )
-        for name, path in paths.items()
-    ]
-    rows = spark.range(1, numPartitions=1).select(F.inline(F.array(*lines)))
-    rows.write.mode("append").parquet(f"{root}/manifest")
-
-
-def publish_snapshots(datasets: dict[str, DataFrame], root: str, publication_id: str) -> dict[str, str]:
+    for _ in range(COMMIT_ATTEMPTS):
+        known = _commit_files(spark, root)
+        number = int(known[-1].getName().removesuffix(".json")) + 1 if known else 0
+        datasets = dict(_last_commit(spark, root)["datasets"])
+        for name, path in paths.items():
+            before = datasets[name]["paths"] if name in append and name in datasets else []
+            datasets[name] = {"publication_id": publication_id, "number": number, "paths": [*before, path]}
+        text = json.dumps({"number": number, "publication_id": publication_id, "datasets": datasets}) + "\n"
+        files, target = _file_system(spark, f"{root}/manifest/{number:012d}.json")
+        try:
+            stream = files.create(target, False)
+        except Py4JJavaError as error:
+            if "AlreadyExists" not in error.java_exception.getClass().getName():
+                raise
+            continue
+        stream.write(bytearray(text, "utf-8"))
+        stream.close()
+        return
+    raise RuntimeError(f"other publishers kept taking the next number under {root}")
+
+
+def publish_snapshots(
+    datasets: dict[str, DataFrame], root: str, publication_id: str,
+    partition_by: Mapping[str, Sequence[str]] | None = None,
+) -> dict[str, str]:
     """Replace several datasets together, or none of them."""
-    paths = stage_snapshots(datasets, root, publication_id)
+    paths = stage_snapshots(datasets, root, publication_id, partition_by)
     commit_snapshots(next(iter(datasets.values())).sparkSession, root, publication_id, paths)
     return paths
 
 
+def current_parts(spark: SparkSession, root: str) -> dict[str, list[str]]:
+    """Where the published parts of each dataset lie; empty before the first publication."""
+    return {name: d["paths"] for name, d in _last_commit(spark, root)["datasets"].items()}
+
+
 def current_paths(spark: SparkSession, root: str) -> dict[str, str]:
-    """Where the published version of each dataset lies; empty before the first publication."""
-    if not path_exists(spark, f"{root}/manifest"):
-        return {}
-    manifest = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{root}/manifest")
-    newest = manifest.groupBy("dataset").agg(F.max_by("path", "publication_no").alias("path"))
-    return {row["dataset"]: row["path"] for row in newest.collect()}  # one short row per dataset
+    """Where the published version of each dataset lies; for appended datasets the newest part."""
+    return {name: parts[-1] for name, parts in current_parts(spark, root).items()}
 
 
 def current_path(spark: SparkSession, root: str, name: str) -> str | None:
     return current_paths(spark, root).get(name)
 
 
+def is_published(spark: SparkSession, root: str, publication_id: str) -> bool:
+    return any(commit["publication_id"] == publication_id for commit in _commits(spark, root))
+
+
 def read_snapshot(spark: SparkSession, root: str, name: str) -> DataFrame:
-    path = current_path(spark, root, name)
-    if path is None:
+    parts = current_parts(spark, root).get(name)
+    if not parts:
         raise FileNotFoundError(f"{name} was never published under {root}")
-    return spark.read.parquet(path)
+    return spark.read.parquet(*parts)
 
 
 def expire_snapshots(spark: SparkSession, root: str, name: str, keep: int = 2) -> None:
-    """Delete versions older than the newest ``keep`` publications of a dataset."""
+    """Delete versions older than the newest ``keep`` publications of a dataset.
+
+    Only committed versions go: what another publisher has staged and not committed
+    yet is spared. Commit files that no kept version needs go too.
+    """
     if keep < 1:
         raise ValueError("the current version has to be kept")
-    manifest = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{root}/manifest").filter(F.col("dataset") == name)
-    newest = [r["path"] for r in manifest.orderBy(F.desc("publication_no")).limit(keep).collect()]
-    files, folder = _file_system(spark, f"{root}/{name}/v=*")
-    for status in files.globStatus(folder):
-        found = status.getPath()
-        if all(found.getName() != path.rsplit("/", 1)[1] for path in newest):
-            files.delete(found, True)
+    versions = {d["number"]: d["paths"] for c in _commits(spark, root) if (d := c["datasets"].get(name))}
+    newest = sorted(versions, reverse=True)[:keep]
+    needed = {path for number in newest for path in versions[number]}
+    for number in versions:
+        for path in versions[number]:
+            if path not in needed:
+                delete_path(spark, path)
+    current = _last_commit(spark, root)["datasets"]
+    if set(current) == {name}:  # other datasets may still need their older commits
+        for path in _commit_files(spark, root)[:-1]:
+            if newest and int(path.getName().removesuffix(".json")) < newest[-1]:
+                delete_path(spark, path.toString())
 
 
 def seed_if_absent(df: DataFrame, path: str) -> None:
@@ -220,41 +286,61 @@ def upsert_buckets(
     The source is computed once, into a staging folder. Only buckets it touches
     are read and rewritten. Their new content is staged too before it is moved
     in: a run that broke off in between repeats the move with the same
-    ``transaction``, so no bucket is lost. With ``version`` a matched row is
-    replaced only by an equal or newer one.
+    ``transaction``, so no bucket is lost. The transaction must name one set of
+    rows for good: what it staged is used again, whatever ``source`` holds then.
+    With ``version`` a matched row is replaced only by an equal or newer one.
 
     The bucket of a key must never change. By default it is a hash of the keys.
     ``bucket_by`` may give ranges of a growing id instead (such as id DIV width),
     so that a batch of recent orders touches few buckets of a large table.
     """
+    stage_buckets(source, root, keys, transaction, buckets, version, bucket_by)
+    move_buckets(source.sparkSession, root, transaction)
+
+
+def stage_buckets(
+    source: DataFrame,
+    root: str,
+    keys: Sequence[str],
+    transaction: str,
+    buckets: int = 64,
+    version: Sequence[str] = (),
+    bucket_by: Column | None = None,
+) -> None:
+    """Write the new content of the touched buckets beside the table, unless this transaction did so already."""
     spark = source.sparkSession
     state, staged = f"{root}/state", f"{root}/staged/{transaction}"
+    if path_exists(spark, f"{staged}/merged/_SUCCESS"):
+        return
     hashed = F.pmod(F.xxhash64(*keys), F.lit(buckets))
     columns = source.withColumn("_bucket", (hashed if bucket_by is None else bucket_by).cast("int"))
-    if not path_exists(spark, f"{staged}/merged/_SUCCESS"):
-        merged = columns
-        if path_exists(spark, state):
-            columns.write.mode("overwrite").parquet(f"{staged}/incoming")
-            incoming = spark.read.schema(columns.schema).parquet(f"{staged}/incoming")
-            # One small integer per touched bucket comes back to the driver.
-            touched = [row[0] for row in incoming.select("_bucket").distinct().collect()]
-            stored = spark.read.schema(columns.schema).parquet(state).filter(F.col("_bucket").isin(touched))
-            merged = (
-                merge_newer(stored, incoming, keys, version)
-                if version
-                else merge_replace(stored, incoming, keys)
-            )
-        merged.hint("rebalance", "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(
-            f"{staged}/merged"
-        )
-    (
-        spark.read.schema(columns.schema)
-        .parquet(f"{staged}/merged")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("_bucket")
-        .parquet(state)
-    )
+    merged = columns
+    if path_exists(spark, state):
+        columns.write.mode("overwrite").parquet(f"{staged}/incoming")
+        incoming = spark.read.schema(columns.schema).parquet(f"{staged}/incoming")
+        # One small integer per touched bucket comes back to the driver.
+        touched = [row[0] for row in incoming.select("_bucket").distinct().collect()]
+        stored = spark.read.schema(columns.schema).parquet(state).filter(F.col("_bucket").isin(touched))
+        merged = merge_newer(stored, incoming, keys, version) if version else merge_replace(stored, incoming, keys)
+    merged.hint("rebalance", "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(f"{staged}/merged")
+
+
+def move_buckets(spark: SparkSession, root: str, transaction: str) -> None:
+    """Put staged buckets in the place of the stored ones, by renaming their folders.
+
+    Buckets that a broken-off move has moved already are no longer staged, so a
+    repetition does the rest.
+    """
+    staged = f"{root}/staged/{transaction}"
+    files, pattern = _file_system(spark, f"{staged}/merged/_bucket=*")
+    found = files.globStatus(pattern) or []
+    _, state = _file_system(spark, f"{root}/state")
+    files.mkdirs(state)
+    for status in found:
+        target = spark._jvm.org.apache.hadoop.fs.Path(state, status.getPath().getName())
+        files.delete(target, True)
+        if not files.rename(status.getPath(), target):
+            raise OSError(f"could not move {status.getPath().toString()}")
     delete_path(spark, staged)
 
 

@@ -6,13 +6,25 @@ a fixed number of SQL statements in one transaction.
 
 from __future__ import annotations
 
+import hashlib
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Fixed value: publishers of the same tables lock on the same number.
-PUBLISH_LOCK = "SELECT pg_advisory_xact_lock(7007006)"
+
+def publish_lock(targets: Sequence[str]) -> str:
+    """Publishers of the same tables wait for each other: the lock's number comes from the names."""
+    number = int.from_bytes(hashlib.sha256("\n".join(sorted(targets)).encode()).digest()[:7], "big")
+    return f"SELECT pg_advisory_xact_lock({number})"
+
+
+def staging_name(target: str, load_id: str) -> str:
+    """A staging table in the schema of ``target``; any load id gives a valid name."""
+    folder, _, name = target.rpartition(".")
+    mark = hashlib.sha256(f"{name}\n{load_id}".encode()).hexdigest()[:16]
+    return f"{folder}.stg_{name[:40]}_{mark}" if folder else f"stg_{name[:40]}_{mark}"
 
 
 @dataclass(frozen=True)
@@ -31,13 +43,15 @@ class Database:
         return options
 
 
-def write_jdbc(df: DataFrame, database: Database, table: str, mode: str, batch_size: int = 1000) -> None:
-    """``mode`` is "overwrite" or "append"; ``numPartitions`` bounds the open connections."""
+def write_jdbc(
+    df: DataFrame, database: Database, table: str, mode: str, batch_size: int = 1000, connections: int = 32
+) -> None:
+    """``mode`` is "overwrite" or "append"; ``connections`` bounds how many tasks write at a time."""
     (
         df.write.format("jdbc")
         .options(**database.options(table))
         .option("batchsize", batch_size)
-        .option("numPartitions", 32)
+        .option("numPartitions", connections)
         .mode(mode)
         .save()
     )
@@ -65,9 +79,9 @@ def upsert_statement(target: str, staging: str, keys: Sequence[str], columns: Se
     )
 
 
-def create_statement(target: str, df: DataFrame, keys: Sequence[str]) -> str:
-    """CREATE TABLE IF NOT EXISTS for a KPI table, all columns required."""
-    kinds = {"string": "VARCHAR(100)", "bigint": "BIGINT", "int": "INTEGER", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+def create_statement(target: str, df: DataFrame, keys: Sequence[str], text: str = "VARCHAR(100)") -> str:
+    """CREATE TABLE IF NOT EXISTS for a KPI table, all columns required; ``text`` is the type of strings."""
+    kinds = {"string": text, "bigint": "BIGINT", "int": "INTEGER", "timestamp": "TIMESTAMP WITH TIME ZONE"}
     columns = [
         f"{name} {kinds.get(kind, kind.replace('decimal', 'NUMERIC'))} NOT NULL" for name, kind in df.dtypes
     ]
@@ -110,19 +124,27 @@ def upsert_jdbc(
     df: DataFrame, database: Database, target: str, keys: Sequence[str], load_id: str, dialect: str = "postgresql"
 ) -> None:
     """Upsert rows (one per key) without collecting them."""
-    spark, staging = df.sparkSession, f"stg_{target}_{load_id}"
+    spark, staging = df.sparkSession, staging_name(target, load_id)
     try:
         write_jdbc(df, database, staging, "overwrite")
         in_transaction(connect(spark, database), [upsert_statement(target, staging, keys, df.columns, dialect)])
     finally:
-        in_transaction(connect(spark, database), [f"DROP TABLE IF EXISTS {staging}"])
+        _drop(spark, database, [staging])
+
+
+def _drop(spark: SparkSession, database: Database, tables: Sequence[str]) -> None:
+    """Clean up staging tables. A failure here neither hides the load's own error nor undoes a committed load."""
+    try:
+        in_transaction(connect(spark, database), [f"DROP TABLE IF EXISTS {t}" for t in tables])
+    except Exception as error:  # noqa: BLE001
+        warnings.warn(f"staging tables {list(tables)} are left: {error}", stacklevel=2)
 
 
 def publish_jdbc(
     datasets: dict[str, tuple[DataFrame, str, Sequence[str]]],
     database: Database,
     load_id: str,
-    lock_statement: str = PUBLISH_LOCK,
+    lock_statement: str | None = None,
     target_ddl: Sequence[str] = (),
 ) -> dict[str, int]:
     """Replace several serving tables together: name -> (rows, target table, columns).
@@ -134,7 +156,9 @@ def publish_jdbc(
         if set(df.columns) != set(columns):
             raise ValueError(f"unexpected columns for {name}: {sorted(df.columns)}")
     spark = next(iter(datasets.values()))[0].sparkSession
-    staging = {name: f"stg_{target}_{load_id}" for name, (_, target, _) in datasets.items()}
+    staging = {name: staging_name(target, load_id) for name, (_, target, _) in datasets.items()}
+    if lock_statement is None:
+        lock_statement = publish_lock([target for _, target, _ in datasets.values()])
     try:
         for name, (df, _, columns) in datasets.items():
             write_jdbc(df.select(*columns), database, staging[name], "overwrite")
@@ -149,4 +173,4 @@ def publish_jdbc(
             connect(spark, database), statements, [target for _, target, _ in datasets.values()]
         )
     finally:
-        in_transaction(connect(spark, database), [f"DROP TABLE IF EXISTS {t}" for t in staging.values()])
+        _drop(spark, database, list(staging.values()))

@@ -196,3 +196,19 @@ def test_bag_difference_counts_copies(spark):
     right = spark.createDataFrame([("a",), ("c",), (None,)], "x string")
     assert Counter({r.x: r.surplus for r in multiset_difference(left, right, ["x"]).collect()}) == {"a": 1, "b": 1, "c": -1}
     assert rows_of(except_all(left, right)) == [("a",), ("b",)]
+
+
+def test_outer_merge_equals_anti_joins(spark):
+    """Beyond the broadcast threshold another plan is taken; the rows are the same."""
+    target = spark.createDataFrame([(1, 5, "t"), (2, 5, "t"), (3, None, "t"), (4, 5, "t"), (None, 1, "t")], "k int, v int, w string")
+    source = spark.createDataFrame([(1, 6, "s"), (2, 4, "s"), (3, 9, "s"), (4, None, "s"), (5, 1, "s"), (None, 2, "s")], "k int, v int, w string")
+    small = sorted(map(str, merge.merge_newer(target, source, ["k"], ["v"]).collect()))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = merge.merge_newer(target, source, ["k"], ["v"])
+        assert sorted(map(str, large.collect())) == small
+        plan = large._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("Join") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

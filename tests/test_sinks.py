@@ -57,6 +57,96 @@ def test_expiry_keeps_the_current_version(spark, folder):
         sinks.expire_snapshots(spark, folder, "a", keep=0)
 
 
+def test_killed_publication_does_not_block_its_id(spark, folder):
+    sinks.publish_snapshots({"a": frame(spark, (1, "x"))}, folder, "p1")
+    sinks.stage_snapshots({"a": frame(spark, (2, "lost"))}, folder, "p2")  # the driver dies here
+    sinks.publish_snapshots({"a": frame(spark, (3, "y"))}, folder, "p2")
+    assert state(sinks.read_snapshot(spark, folder, "a")) == [(3, "y")]
+    with pytest.raises(FileExistsError):
+        sinks.stage_snapshots({"a": frame(spark, (4, "z"))}, folder, "p1")
+
+
+def test_two_publishers_take_different_numbers(spark, folder, monkeypatch):
+    one = sinks.stage_snapshots({"a": frame(spark, (1, "x"))}, folder, "p1")
+    two = sinks.stage_snapshots({"b": frame(spark, (2, "y"))}, folder, "p2")
+    known, calls = sinks._commit_files, []
+
+    def between(spark, root):
+        found = known(spark, root)
+        calls.append(root)
+        if len(calls) == 1:  # the other publisher commits after this one has listed the commits
+            sinks.commit_snapshots(spark, root, "p2", two)
+        return found
+
+    monkeypatch.setattr(sinks, "_commit_files", between)
+    sinks.commit_snapshots(spark, folder, "p1", one)
+    assert state(sinks.read_snapshot(spark, folder, "a")) == [(1, "x")]
+    assert state(sinks.read_snapshot(spark, folder, "b")) == [(2, "y")]
+    assert len(known(spark, folder)) == 2
+
+
+def test_half_written_commit_is_not_read(spark, folder):
+    sinks.publish_snapshots({"a": frame(spark, (1, "x"))}, folder, "p1")
+    Path(folder, "manifest", "000000000001.json").write_text('{"number": 1, "data')
+    assert state(sinks.read_snapshot(spark, folder, "a")) == [(1, "x")]
+    sinks.publish_snapshots({"a": frame(spark, (2, "y"))}, folder, "p2")
+    assert state(sinks.read_snapshot(spark, folder, "a")) == [(2, "y")]
+
+
+def test_expiry_spares_what_is_staged(spark, folder):
+    for n in range(3):
+        sinks.publish_snapshots({"a": frame(spark, (n, "x"))}, folder, f"p{n}")
+    staged = sinks.stage_snapshots({"a": frame(spark, (9, "s"))}, folder, "p9")
+    sinks.expire_snapshots(spark, folder, "a", keep=1)
+    assert not sinks.path_exists(spark, f"{folder}/a/v=p1")
+    sinks.commit_snapshots(spark, folder, "p9", staged)
+    assert state(sinks.read_snapshot(spark, folder, "a")) == [(9, "s")]
+    assert len(list(Path(folder, "manifest").glob("*.json"))) < 4
+
+
+def test_appended_parts_leave_earlier_ones_alone(spark, folder):
+    first = sinks.stage_snapshots({"f": frame(spark, (1, "x"))}, folder, "p1")
+    sinks.commit_snapshots(spark, folder, "p1", first, append=["f"])
+    before = {p.name: p.stat().st_mtime_ns for p in Path(folder, "f", "v=p1").iterdir()}
+    second = sinks.stage_snapshots({"f": frame(spark, (2, "y"))}, folder, "p2")
+    sinks.commit_snapshots(spark, folder, "p2", second, append=["f"])
+    assert state(sinks.read_snapshot(spark, folder, "f")) == [(1, "x"), (2, "y")]
+    assert {p.name: p.stat().st_mtime_ns for p in Path(folder, "f", "v=p1").iterdir()} == before
+
+
+def test_staging_names_are_valid_and_differ():
+    names = {jdbc.staging_name(t, i) for t in ("public.sales", "sales") for i in ("after_1_-2", "x" * 90 + "1", "x" * 90 + "2")}
+    assert len(names) == 6
+    for name in names:
+        schema_of, _, table = name.rpartition(".")
+        assert schema_of in ("", "public") and table.isidentifier() and len(table) <= 63
+
+
+def test_failed_clean_up_does_not_hide_the_load(spark, monkeypatch):
+    calls = []
+
+    def transaction(connection, statements, counted=()):
+        calls.append(statements)
+        if statements[0].startswith("DROP"):
+            raise RuntimeError("gone")
+
+    monkeypatch.setattr(jdbc, "write_jdbc", lambda *a, **k: None)
+    monkeypatch.setattr(jdbc, "connect", lambda *a: None)
+    monkeypatch.setattr(jdbc, "in_transaction", transaction)
+    with pytest.warns(UserWarning, match="are left"):
+        jdbc.upsert_jdbc(frame(spark, (1, "x")), jdbc.Database("jdbc:x"), "t", ["order_id"], "l")
+    assert len(calls) == 2
+
+
+def test_watermark_ignores_rows_without_id(spark):
+    rows = spark.createDataFrame(
+        [(1, datetime(2026, 1, 1)), (None, datetime(2026, 1, 2)), (3, None)], "order_id long, updated_at timestamp"
+    )
+    assert watermark_of(rows).order_id == 1
+    with pytest.raises(ValueError):
+        watermark_of(rows.filter("order_id is null"))
+
+
 def test_batches_are_immutable_and_ids_stay_text(spark, folder):
     sinks.append_batch(frame(spark, (1, "x")), folder, "007", "2026-01-01")
     sinks.append_batch(frame(spark, (2, "y")), folder, "7", "2026-01-01")
@@ -310,11 +400,12 @@ def test_publication_checks_columns_and_orders_statements(spark, monkeypatch):
     monkeypatch.setattr(jdbc, "connect", lambda spark, db: connections.append(Recorder()) or connections[-1])
     df = frame(spark, (1, "x"))
     counts = jdbc.publish_jdbc({"a": (df, "ta", ["order_id", "v"])}, jdbc.Database("jdbc:x"), "l1")
-    assert counts == {"ta": 3} and written == [("stg_ta_l1", "overwrite")]
+    staging = jdbc.staging_name("ta", "l1")
+    assert counts == {"ta": 3} and written == [(staging, "overwrite")]
     assert connections[0].said == [
-        "autocommit False", "SELECT pg_advisory_xact_lock(7007006)", "TRUNCATE TABLE ta",
-        "INSERT INTO ta (order_id, v) SELECT order_id, v FROM stg_ta_l1", "SELECT COUNT(*) FROM ta", "commit", "close",
+        "autocommit False", jdbc.publish_lock(["ta"]), "TRUNCATE TABLE ta",
+        f"INSERT INTO ta (order_id, v) SELECT order_id, v FROM {staging}", "SELECT COUNT(*) FROM ta", "commit", "close",
     ]
-    assert "DROP TABLE IF EXISTS stg_ta_l1" in connections[1].said
+    assert f"DROP TABLE IF EXISTS {staging}" in connections[1].said
     with pytest.raises(ValueError):
         jdbc.publish_jdbc({"a": (df, "ta", ["order_id"])}, jdbc.Database("jdbc:x"), "l2")

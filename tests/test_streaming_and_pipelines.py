@@ -8,7 +8,7 @@ from cornerstore.contracts import ORDER_EVENT_SCHEMA, SALES_SCHEMA
 from cornerstore.functions.messages import RESCUED, parse_with_rescue
 from cornerstore.operators import checks
 from cornerstore.operators.watermark import Watermark, load_watermark
-from cornerstore.plans import cdc, lakehouse, medallion, models
+from cornerstore.plans import cdc, lakehouse, loads, medallion, models
 from cornerstore.schemas import schema
 from cornerstore.sinks import files as sinks, jdbc
 from cornerstore.sources import streams
@@ -307,6 +307,72 @@ def test_lakehouse_run(spark, folder):
     assert load_watermark(spark, f"{folder}/control/watermarks") == Watermark(1785801600000000, 2)
 
 
+def test_lakehouse_finishes_a_broken_off_run(spark, folder, monkeypatch):
+    """The run dies after its buckets are staged; the source has grown when it is run again."""
+    late = (6, "Zoe", "Lamp", "Furniture", "500", 1, "Pune", "2026-08-05", "2026-08-05 00:00:00")
+    with monkeypatch.context() as broken:
+        broken.setattr(sinks, "move_buckets", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            lakehouse.run(spark, source(spark, *FIRST), folder, buckets=4)
+    retry = lakehouse.run(spark, source(spark, *FIRST, *MORE, late), folder, buckets=4)
+    assert (retry["extracted"], retry["valid"], retry["rejected"], retry["silver"]) == (4, 3, 1, 3)
+    rest = lakehouse.run(spark, source(spark, *FIRST, *MORE, late), folder, buckets=4)
+    assert (rest["extracted"], rest["silver"]) == (3, 5)
+    assert {r.order_id for r in lakehouse.read_silver(spark, folder).collect()} == {1, 2, 3, 5, 6}
+    assert lakehouse.run(spark, source(spark, *FIRST, *MORE, late), folder, buckets=4)["status"] == "no_changes"
+
+
+def test_lakehouse_stops_if_quarantine_is_short(spark, folder, monkeypatch):
+    whole = lakehouse.classify_lake_rows
+    monkeypatch.setattr(lakehouse, "classify_lake_rows", lambda *a: (whole(*a)[0], whole(*a)[1].limit(0)))
+    with pytest.raises(checks.QualityError, match="stored quarantine"):
+        lakehouse.run(spark, source(spark, *FIRST), folder, buckets=4)
+    assert load_watermark(spark, f"{folder}/control/watermarks") is None
+
+
+def test_lakehouse_ranges_rewrite_only_recent_orders(spark, folder):
+    ranges = F.expr("order_id DIV 3")
+    lakehouse.run(spark, source(spark, *FIRST), folder, bucket_by=ranges)
+    old = {p: p.stat().st_mtime_ns for p in __import__("pathlib").Path(folder, "silver/state/_bucket=0").glob("*.parquet")}
+    lakehouse.run(spark, source(spark, *FIRST, MORE[1]), folder, bucket_by=ranges)
+    assert old and all(p.exists() and p.stat().st_mtime_ns == at for p, at in old.items())
+
+
+def test_gold_is_laid_out_by_day(spark, folder):
+    lakehouse.run(spark, source(spark, *FIRST), folder, buckets=4)
+    path = sinks.current_path(spark, f"{folder}/gold", "daily_category_sales")
+    assert {p.name for p in __import__("pathlib").Path(path).glob("order_date=*")} == {"order_date=2026-08-01", "order_date=2026-08-02"}
+
+
+def test_star_load_is_one_publication(spark, folder, monkeypatch):
+    sales = source(spark, *FIRST[:2])
+    commit = loads.commit_snapshots
+    monkeypatch.setattr(loads, "commit_snapshots", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        loads.load_star(spark, sales, folder, "one")
+    assert sinks.current_paths(spark, folder) == {}
+    monkeypatch.setattr(loads, "commit_snapshots", commit)
+    loads.load_star(spark, sales, folder, "one")
+    first = sinks.current_path(spark, folder, "fact_sales")
+    files = {p.name: p.stat().st_mtime_ns for p in __import__("pathlib").Path(first).iterdir()}
+    again = loads.load_star(spark, sales, folder, "one")
+    assert again["fact_sales"].count() == 2
+    two = loads.load_star(spark, source(spark, FIRST[2]), folder, "two")
+    assert sorted(r.order_id for r in two["fact_sales"].collect()) == [1, 2, 3]
+    assert {p.name: p.stat().st_mtime_ns for p in __import__("pathlib").Path(first).iterdir()} == files
+
+
+def test_warnings_are_reported_and_do_not_stop(spark, folder):
+    model = models.Model(
+        "numbers", lambda ref: ref("given"),
+        tests=lambda rows, ref: {"numbers.id.unique": checks.duplicate_keys(rows, ["id"])},
+        warnings=frozenset({"numbers.id.unique"}),
+    )
+    given = spark.createDataFrame([(1,), (1,)], "id int")
+    lines = models.build_models(spark, [model], {"given": given}, folder, "r1").collect()
+    assert [(r.check_name, r.failures, r.passed) for r in lines] == [("numbers.id.unique", 1, False)]
+
+
 def test_model_tests_stop_the_run(spark, folder):
     bad = models.Model(
         "numbers", lambda ref: ref("given"),
