@@ -9,6 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cornerstore.operators.latest import latest_per_key
+from cornerstore.operators.merge import fits_broadcast
 
 START, END = "__START_AT", "__END_AT"
 
@@ -34,9 +35,22 @@ def scd2(
     version and opens none. ``slice_by`` must grow with ``sequence`` (default:
     its day). It splits a key's events over many tasks, so one hot key is not
     sorted in one task. A slice sees the start of the key's next slice through
-    one marker row. With ``tie_break`` events that repeat a (key, sequence) are
-    first reduced to one; without it the pairs must be unique.
+    one marker row. Without ``slice_by``, events small enough to broadcast are not
+    sliced. With
+    ``tie_break`` events that repeat a (key, sequence) are first reduced to one;
+    without it the pairs must be unique.
     """
+    dropped = [name for name in except_columns if name in events.columns]
+    if slice_by is None and fits_broadcast(events):
+        if tie_break:
+            events = one_event_per_sequence(events, keys, sequence, tie_break)
+        in_key = Window.partitionBy(*keys).orderBy(sequence)
+        return (
+            events.withColumn(END, F.lead(sequence).over(in_key))
+            .filter(~F.coalesce(F.expr(deletes), F.lit(False)))
+            .withColumn(START, F.col(sequence))
+            .drop(*dropped)
+        )
     slice_of = F.date_trunc("day", F.col(sequence)) if slice_by is None else slice_by
     # Starts need no deduplicated events: copies share their sequence.
     starts = events.groupBy(*keys, slice_of.alias("_slice")).agg(F.min(sequence).alias("_first"))
@@ -50,7 +64,6 @@ def scd2(
     if tie_break:
         events = one_event_per_sequence(events, keys, sequence, tie_break)
     in_slice = Window.partitionBy(*keys, "_slice").orderBy(sequence)
-    dropped = [name for name in except_columns if name in events.columns]
     return (
         events.withColumn("_slice", slice_of)
         .withColumn("_marker", F.lit(False))

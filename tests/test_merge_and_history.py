@@ -212,3 +212,27 @@ def test_outer_merge_equals_anti_joins(spark):
         assert plan.count("Join") == 1
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_small_and_large_tables_give_the_same_positions_and_history(spark):
+    from cornerstore.operators import ordering
+
+    rows = spark.range(500).selectExpr("id", "id % 37 as a", "concat('n', id % 11) as b")
+    events = spark.range(300).selectExpr(
+        "id % 9 as k", "timestamp'2026-01-01' + make_interval(0, 0, 0, 0, id) as at", "if(id % 7 = 0, 'D', 'U') as op"
+    )
+    order = [("a", "desc"), ("b", "asc")]
+
+    def all_of():
+        ranked = ordering.with_dense_rank(rows, order, "r").select("id", "r").collect()
+        placed = ordering.with_position(rows, [("a", "asc"), ("id", "asc")], "n", 5).select("id", "n").collect()
+        versions = history.scd2(events, ["k"], "at", "op = 'D'").collect()
+        return [sorted(map(str, part)) for part in (ranked, placed, versions)]
+
+    small = all_of()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert all_of() == small
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
