@@ -29,7 +29,7 @@ _DROP_SYMBOLS = str.maketrans("", "", _SYMBOLS)
 _ENDS = re.compile(r"[.!?]+(?=\s|$)")
 LABELLERS = (
     "length", "symbols", "word_length", "repeated_words", "capitals", "repeated_lines", "sentences", "variety",
-    "shouting", "bars",
+    "shouting", "bars", "plain_words",
 )
 
 
@@ -55,6 +55,7 @@ def votes(text: str | None) -> list[int]:
     signs = (len(text) - len(text.translate(_DROP_SYMBOLS))) / n
     bars = sum(w in ("|", "-", "*", "•") for w in words) / n
     shouts = sum(w.endswith(("!!", "??")) for w in words) / n
+    plain = sum(w.strip(".,;:!?\"'()").isalnum() for w in words) / n
     return [
         _vote(n, (80, 1e9), (3, 1e9)),
         _vote(signs, (0, 0.02), (0, 0.1)),
@@ -66,6 +67,7 @@ def votes(text: str | None) -> list[int]:
         0 if n < 50 else _vote(different / n * min(1.0, (n / 300) ** 0.5), (0.08, 1), (0.03, 1)),
         0 if n < 10 else _vote(shouts, (0, 0.02), (0, 0.2)),
         0 if n < 10 else _vote(bars, (0, 0.02), (0, 0.15)),
+        0 if n < 10 else _vote(plain, (0.85, 1), (0.6, 1)),
     ]
 
 
