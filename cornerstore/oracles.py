@@ -594,6 +594,7 @@ select order_id, customer_id, strftime(order_timestamp, '%Y-%m-%d %H:%M:%S.%f')
 from judged where quality_reason is not null""",
     "stream_dropped": f"""with {GOOD} select order_id, updated_at, operation from good
 where operation not in ('INSERT', 'UPDATE', 'DELETE')""",
+    "stream_history": f"with {HISTORY} select * from history",
     "stream_scd2": f"with {HISTORY} select * from history",
     "stream_of_table": f"""with {CDC} select order_id, updated_at, operation, quantity from cdc
 where operation in ('INSERT', 'UPDATE', 'DELETE')""",

@@ -29,7 +29,7 @@ from cornerstore.schemas import schema
 from cornerstore.session import shared_folder, write_and_reread
 from cornerstore.sinks import files as sinks
 from cornerstore.sources import files as sources, streams
-from cornerstore.streaming import jobs
+from cornerstore.streaming import history as stream_history_of, jobs
 
 NTZ = "timestamp_ntz"
 CUT = "updated_at < TIMESTAMP_NTZ '2000-01-01 00:00:00'"
@@ -760,6 +760,22 @@ def stream_scd2(spark, folder):
     return rows.drop("_ingested_at", "_source_file")
 
 
+@query
+def stream_history(spark, folder):
+    """Type-2 history kept by a stream in two ingests, the earlier events coming in last."""
+    root = shared_folder(spark, "history")
+    events = _event_messages(spark, folder)
+    early = F.get_json_object("value", "$.updated_at") < "2024-01-15"
+    landing = f"{root}/landing"
+    for part in (events.filter(~early), events.filter(early)):
+        sinks.write_messages(part, landing)
+        rows = streams.json_events(spark, landing, ORDER_EVENT_SCHEMA)
+        stream_history_of.start_history(
+            rows, f"{root}/orders", f"{root}/checkpoint", [F.desc("order_timestamp")], NTZ, 16
+        ).awaitTermination()
+    return stream_history_of.read_history(spark, f"{root}/orders").drop("_ingested_at", "_source_file")
+
+
 @query
 def stream_of_table(spark, folder):
     """A catalog table read as a stream and appended to a Parquet folder."""

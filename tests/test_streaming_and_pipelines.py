@@ -168,6 +168,33 @@ def test_change_feed_to_history(spark, folder):
     assert [(str(r.order_date), r.order_count, r.gross_sales) for r in gold] == [("2026-08-15", 2, Decimal("230.98"))]
 
 
+def test_history_is_renewed_for_touched_buckets_only(spark, folder):
+    from cornerstore.streaming import history as kept
+
+    (landing := __import__("pathlib").Path(folder) / "in").mkdir()
+    by_number = F.substring("order_id", 2, 9).cast("int")
+
+    def ingest():
+        rows = streams.json_events(spark, str(landing), ORDER_EVENT_SCHEMA)
+        kept.start_history(rows, f"{folder}/h", f"{folder}/cp", bucket_by=by_number).awaitTermination()
+        return sorted((r.order_id, str(r["__START_AT"])[5:16], str(r["__END_AT"])[5:16]) for r in kept.read_history(spark, f"{folder}/h").collect())
+
+    # The later events come in first.
+    land(landing, "a.json", FEED[3], FEED[0], FEED[4], FEED[5])
+    assert ingest() == [("O1", "08-15 10:10", ""), ("O2", "08-16 09:00", "")]
+    old = {p: p.stat().st_mtime_ns for part in ("changes", "history") for p in __import__("pathlib").Path(folder, f"h/{part}/state/_bucket=1").iterdir()}
+    land(landing, "b.json", FEED[1], FEED[2], FEED[6], FEED[1])
+    after = [
+        ("O1", "08-15 10:10", ""), ("O2", "08-15 11:15", "08-16 09:00"), ("O2", "08-16 09:00", ""),
+        ("O3", "08-16 08:30", "08-17 08:30"),
+    ]
+    assert ingest() == after
+    assert old and all(p.stat().st_mtime_ns == at for p, at in old.items())
+    again = spark.read.parquet(f"{folder}/h/changes/state").drop("_bucket")
+    kept.update_history(again, f"{folder}/h", "replayed", bucket_by=by_number)
+    assert ingest() == after
+
+
 # Batch pipelines -----------------------------------------------------------
 
 SOURCE = (
