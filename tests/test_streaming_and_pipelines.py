@@ -271,6 +271,13 @@ def test_failed_gate_holds_the_watermark_back(spark, folder):
     assert load_watermark(spark, layout.control) is None
 
 
+def test_gate_scans_silver_once(spark, folder):
+    layout = medallion.Layout(folder)
+    batch = medallion.run(spark, source(spark, *FIRST), layout)["batch_id"]
+    plan = medallion.gate(spark, layout, batch)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("/silver/") == 1
+
+
 def test_gate_compares_the_serving_store(spark, folder):
     layout = medallion.Layout(folder)
     served = medallion.run(spark, source(spark, *FIRST), layout, publish=lambda gold: gold)
