@@ -108,12 +108,18 @@ def _staged(name: str, where: str = "true") -> str:
 
 FACT = "order_id, customer_id, product_id, store_id, order_date, order_timestamp, quantity, unit_price, total_amount, updated_at"
 
-FCT = CHANGES + _staged("early", EVENT_CUT) + _staged("late") + f""", fresh as (
+_FACT_ROWS = f""", fresh as (
   select {FACT} from late
   where updated_at > (select coalesce(max(updated_at), timestamp '1900-01-01') from early)), fct as (
   select {FACT} from early where order_id not in (select order_id from fresh)
   union all select {FACT} from fresh)"""
 
+FCT = CHANGES + _staged("early", EVENT_CUT) + _staged("late") + _FACT_ROWS
+# All orders of one customer and of one product are deleted after the last event.
+FCT_AFTER_DELETES = (
+    CHANGES + _staged("early", EVENT_CUT) + _staged("late", "customer_id <> 'C3' and product_id <> 'P3'") + _FACT_ROWS
+)
+
 DIM_CUSTOMER = """select customer_id, arg_max(customer_name, updated_at) as customer_name,
   arg_max(customer_email, updated_at) as customer_email, min(order_timestamp) as first_order_at,
   max(order_timestamp) as latest_order_at from {rows} group by customer_id"""
@@ -396,36 +402,40 @@ def _unique_line(model: str, column: str) -> str:
     )
 
 
-MODEL_TESTS = _lines(
-    FCT
-    + ", stg_current_orders as (select * from late)"
-    + f", dim_customer as ({DIM_CUSTOMER.format(rows='late')}), dim_product as ({DIM_PRODUCT.format(rows='late')})"
-    + ", fct_sales as (select * from fct)"
-    + f", mart_daily_sales as ({_mart('fct', 'dim_product')})",
-    [
-        *(_null_line("stg_current_orders", c) for c in ("order_id", "customer_id", "product_id", "total_amount")),
-        _unique_line("stg_current_orders", "order_id"),
-        _null_line("dim_customer", "customer_id"),
-        _unique_line("dim_customer", "customer_id"),
-        _null_line("dim_product", "product_id"),
-        _unique_line("dim_product", "product_id"),
-        _null_line("fct_sales", "order_id"),
-        _unique_line("fct_sales", "order_id"),
-        *(
+def _model_tests(fact: str) -> str:
+    return _lines(
+        fact
+        + ", stg_current_orders as (select * from late)"
+        + f", dim_customer as ({DIM_CUSTOMER.format(rows='late')}), dim_product as ({DIM_PRODUCT.format(rows='late')})"
+        + ", fct_sales as (select * from fct)"
+        + f", mart_daily_sales as ({_mart('fct', 'dim_product')})",
+        [
+            *(_null_line("stg_current_orders", c) for c in ("order_id", "customer_id", "product_id", "total_amount")),
+            _unique_line("stg_current_orders", "order_id"),
+            _null_line("dim_customer", "customer_id"),
+            _unique_line("dim_customer", "customer_id"),
+            _null_line("dim_product", "product_id"),
+            _unique_line("dim_product", "product_id"),
+            _null_line("fct_sales", "order_id"),
+            _unique_line("fct_sales", "order_id"),
+            *(
+                _line(
+                    f"fct_sales.{k}_id.known",
+                    f"select count(distinct {k}_id) from fct_sales where {k}_id not in (select {k}_id from dim_{k})",
+                )
+                for k in ("customer", "product")
+            ),
             _line(
-                f"fct_sales.{k}_id.known",
-                f"select count(distinct {k}_id) from fct_sales where {k}_id not in (select {k}_id from dim_{k})",
-            )
-            for k in ("customer", "product")
-        ),
-        _line(
-            "fct_sales.sales_positive",
-            "select count(*) from fct_sales where quantity <= 0 or unit_price < 0 or total_amount < 0",
-        ),
-        _null_line("mart_daily_sales", "order_date"),
-        _null_line("mart_daily_sales", "gross_sales"),
-    ],
-)
+                "fct_sales.sales_positive",
+                "select count(*) from fct_sales where quantity <= 0 or unit_price < 0 or total_amount < 0",
+            ),
+            _null_line("mart_daily_sales", "order_date"),
+            _null_line("mart_daily_sales", "gross_sales"),
+        ],
+    )
+
+
+MODEL_TESTS = _model_tests(FCT)
 
 
 ORACLES: dict[str, str] = {
@@ -614,5 +624,6 @@ select cast(order_timestamp as date) as order_date, store_id, category, count(di
 from history where "__END_AT" is null group by 1, 2, 3""",
     "model_graph": f"with {FCT}, dim as ({DIM_PRODUCT.format(rows='late')}) " + _mart("fct", "dim"),
     "model_tests": MODEL_TESTS,
+    "model_tests_after_deletes": _model_tests(FCT_AFTER_DELETES),
     "model_snapshot": MODEL_SNAPSHOT,
 }

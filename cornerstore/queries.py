@@ -941,6 +941,24 @@ def model_tests(spark, folder):
     return _models(spark, folder)[1]
 
 
+@query
+def model_tests_after_deletes(spark, folder):
+    """The second build comes after all orders of one customer and of one product were deleted.
+
+    The incremental fact keeps their rows, so the two tests of known keys count orphans.
+    """
+    changes = _changes(spark, folder)
+    root = shared_folder(spark, "models")
+    early = write_and_reread(_history(changes.filter(EVENT_CUT)), "history")
+    models.build_models(spark, models.RETAIL_MODELS, {"silver_orders_history": early}, root, "one", stamp())
+    later_on = F.col("updated_at") + F.expr("INTERVAL 400 DAYS")
+    deleted = changes.filter("customer_id = 'C3' OR product_id = 'P3'").withColumns(
+        {"updated_at": later_on, "operation": F.lit("DELETE")}
+    )
+    late = write_and_reread(_history(changes.unionByName(deleted)), "history")
+    return models.build_models(spark, models.RETAIL_MODELS, {"silver_orders_history": late}, root, "two", later())
+
+
 @query
 def model_snapshot(spark, folder):
     root, _ = _models(spark, folder)
