@@ -44,7 +44,7 @@ class LibraryBpe(ByteBpe):
     ids of a text are those of its words.
     """
 
-    def __init__(self, path: str, most_words: int = 300_000):
+    def __init__(self, path: str, most_words: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
