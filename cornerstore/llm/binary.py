@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cornerstore.llm.bpe import ByteBpe, _Words
+from cornerstore.llm.frames import ship
 from cornerstore.llm.rangecoder import decode_blocks, encode_blocks
 from cornerstore.session import shared_folder, write_and_reread
 
@@ -188,6 +189,7 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0,
     Documents are dealt out and sorted by doc_id (rows without one first), equal ids by
     the text's hash. NULL texts count as empty; every document ends with ``end_id``.
     """
+    ship(docs.sparkSession)
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id")
     ordered = ordered.sortWithinPartitions("doc_id", F.xxhash64("text"))
 
@@ -219,6 +221,7 @@ def read_shards(spark: SparkSession, shards: DataFrame) -> DataFrame:
     position. One task reads one file at a time, a few thousand blocks together.
     """
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
+    ship(spark)
     listed = sorted(shards.collect(), key=lambda r: r["shard"])
     if not listed:
         return spark.createDataFrame([], schema)

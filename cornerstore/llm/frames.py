@@ -2,13 +2,36 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, once per application.
+
+    They import the functions they run from it, and need not have it on their path.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        root = Path(__file__).resolve().parents[1]
+        path = Path(tempfile.mkdtemp(prefix="cornerstore-ship-")) / "cornerstore_package.zip"
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+            for source in sorted(root.rglob("*.py")):
+                archive.write(source, f"{root.name}/{source.relative_to(root).as_posix()}")
+        context.addPyFile(str(path))
+        _shipped.add(context.applicationId)
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -43,6 +66,7 @@ def map_columns(
                 [a.cast(t) for a, t in zip(given, arrow.types)] + arrays, schema=arrow
             )
 
+    ship(df.sparkSession)
     wanted = list(dict.fromkeys([*keep, *columns]))
     return df.select(*(F.col(f"`{c}`") for c in wanted)).mapInArrow(run, full)
 

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from cornerstore.llm.frames import ship
+
 MIN_WORDS = 40
 LONG_SENTENCE = 50
 MIN_SENTENCES = 2
@@ -90,6 +92,7 @@ def sentence_runs(docs: DataFrame, limits: tuple[int, int, int]) -> DataFrame:
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
+    ship(docs.sparkSession)
     wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null and text is not null")
     return wanted.mapInArrow(run, "h long, h2 int, doc_id long, first int, end int")
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cornerstore.llm.frames import bounded_sample, hash_part, map_columns
+from cornerstore.llm.frames import bounded_sample, hash_part, map_columns, ship
 from cornerstore.llm.linear import sigmoid, train_logistic
 from cornerstore.session import write_and_reread
 
@@ -262,6 +262,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """``docs`` without the texts that are scored as toxic; no shuffle, all columns as they were."""
+    ship(docs.sparkSession)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
