@@ -64,7 +64,6 @@ def main() -> None:
         "stream_upsert": lambda: q.stream_upsert(spark, folder),
         "cdc_history": lambda: q.stream_scd2(spark, folder),
         "bucket_upsert": lambda: q.bucket_upsert(spark, folder),
-        "lakehouse_restart": lambda: q.lakehouse_restart(spark, folder),
         "model_graph": lambda: q.model_graph(spark, folder),
     }
     seconds = {}
