@@ -4,7 +4,8 @@ From every sentence on, and back from every sentence, the shortest run of severa
 sentences that reaches ``min_words`` words is hashed. Runs are joined over the
 whole corpus, and every sentence that a repeated run covers at any place but the
 first (smallest doc_id, then position) is removed. A passage of ``min_words`` words
-or more that starts and ends with a sentence is covered from end to end.
+or more that starts and ends with a sentence is covered from end to end; of one that
+starts or ends inside a sentence, the whole sentences are.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from cornerstore.llm.frames import ship
 
-MIN_WORDS = 40
+MIN_WORDS = 10
 LONG_SENTENCE = 50
 MIN_SENTENCES = 2
 _BREAK = re.compile(r"[.!?]+\s+|[。！？]+\s*|\n\s*")

@@ -117,3 +117,18 @@ def test_stage_keeps_columns_and_drops_emptied_documents(spark, edge_docs):
 def test_query_equals_brute_force_over_the_whole_table(spark, tiny):
     given = [(r.doc_id, r.text) for r in table(spark, tiny, "documents").collect()]
     assert rows_of(queries.op9_substring_dedup(spark, tiny)) == brute_force(given)
+
+
+def test_passages_glued_into_sentences(spark):
+    """Of a passage that starts and ends inside sentences, the whole sentences go from all documents but the first."""
+    made = random.Random(8)
+    word = lambda: "".join(made.choice("abcdefgh") for _ in range(7))
+    say = lambda n: " ".join(word() for _ in range(n))
+    middle = [f"{say(9)}. {say(9)}. {say(10)}. ", f"{say(6)}. {say(5)}. ", f"{say(19)}. {say(19)}. "]
+    passages = [(say((53 - len(m.split())) // 2), m, say((54 - len(m.split())) // 2)) for m in middle]
+    assert all(len(" ".join(p).split()) > 50 for p in passages)
+    rows = [(i, f"{say(30)} {head}. {m}{tail} {say(30)}.", None) for i in range(9) for head, m, tail in [passages[i % 3]]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    found = {r.doc_id: r.text for r in sentences.drop_repeated(docs).collect()}
+    for i, text, _ in rows:
+        assert found[i] == (text if i < 3 else text.replace(passages[i % 3][1], ""))
