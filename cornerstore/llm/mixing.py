@@ -87,20 +87,25 @@ def posteriors(docs: DataFrame, model: DataFrame, domains: list[str], priors: li
 
 
 def fit_rates(
-    members: DataFrame, weights: list[float], total_tokens: float | None = None, most_rounds: int = 100
+    members: DataFrame, weights: list[float | None], total_tokens: float | None = None, most_rounds: int = 100
 ) -> tuple[DataFrame, dict]:
-    """``members`` with rate (double, at least 0), and the achieved against the target totals.
+    """``members`` with rate (double), and the achieved against the target totals.
 
     Minimises the squared distance of the expected domain totals to ``weights`` x
     ``total_tokens`` by projected gradient in the metric of the documents' tokens,
-    from rate 1 on. One small sum per round reaches the driver. Without
-    ``total_tokens``, the smallest total is taken at which no domain has to shrink.
+    from rate 1 on. One small sum per round reaches the driver. A weight of None is the
+    domain's share of the tokens as they are; the others divide the rest.
+
+    With ``total_tokens``, or with a weight of 0, rates are at least 0. Else the
+    smallest total is taken at which no domain has to shrink, and no rate is below 1:
+    the targets are met as nearly as such rates allow.
     """
     k = range(len(weights))
-    goal = np.array(weights, dtype=float)
-    if len(goal) == 0 or (goal < 0).any() or goal.sum() <= 0:
+    given = np.array([0.0 if w is None else w for w in weights], dtype=float)
+    natural_share = np.array([w is None for w in weights], dtype=bool)
+    if len(given) == 0 or (given < 0).any() or (given.sum() <= 0 and not natural_share.any()):
         raise ValueError("target weights must be nonnegative and not all zero")
-    goal = goal / goal.sum()
+    least = 1.0 if total_tokens is None and (natural_share | (given > 0)).all() else 0.0
     pairs = [(i, j) for i in k for j in k if i <= j]
     first = members.agg(
         F.sum("n_tokens").alias("n"),
@@ -112,6 +117,10 @@ def fit_rates(
     if not tokens:
         return state, {"achieved": [0.0 for _ in k], "target": [0.0 for _ in k], "rounds": 0}
     natural = np.array([first[f"s{i}"] for i in k]) / tokens
+    goal = np.where(natural_share, natural, 0.0)
+    if given.sum() > 0:
+        goal += given / given.sum() * natural[~natural_share].sum()
+    goal = goal / goal.sum()
     if total_tokens is None:
         size = max([natural[i] / goal[i] for i in k if goal[i] > 0])
     else:
@@ -123,7 +132,7 @@ def fit_rates(
     while np.abs(achieved - target).max() > TOLERANCE * size and rounds < most_rounds:
         slope = step * (achieved - target)
         move = sum((F.col(f"p{i}") * float(slope[i]) for i in k), F.lit(0.0))
-        state = state.withColumn("rate", F.greatest(F.lit(0.0), F.col("rate") - move))
+        state = state.withColumn("rate", F.greatest(F.lit(least), F.col("rate") - move))
         rounds += 1
         if rounds % CUT_LINEAGE == 0:
             state = write_and_reread(state, "mixing-rates")
@@ -142,8 +151,9 @@ def mix(
     """doc_id, n_tokens, domain, posteriors (map), rate, copies of every doc_id.
 
     ``labelled`` (doc_id, text, domain) teaches the domains, ``targets`` weighs
-    them; a target that no labelled row has raises ValueError, a domain without a
-    target has weight 0. ``copies`` is the rate rounded up or down by a hash of
+    them; a target that no labelled row has raises ValueError. A domain without a
+    target has weight 0 if there is a total, else its natural share. Without a total
+    and a target of 0, no rate is below 1, so that no document is lost. ``copies`` is the rate rounded up or down by a hash of
     doc_id, so that its mean over documents is the rate. Rows that share a doc_id,
     and rows without one, are weighed together as one document. Texts that are NULL
     or have no word have 0 tokens, the priors as posteriors, and a rate that no
@@ -159,7 +169,8 @@ def mix(
     if unknown := sorted(set(targets) - set(domains)):
         raise ValueError(f"no labelled rows for {unknown}")
     members = write_and_reread(posteriors(docs, model, domains, priors), "mixing-members")
-    rated, _ = fit_rates(members, [float(targets.get(d, 0.0)) for d in domains], total_tokens)
+    untold = None if total_tokens is None else 0.0
+    rated, _ = fit_rates(members, [targets.get(d, untold) for d in domains], total_tokens)
     each = range(len(domains))
     best = F.greatest(*(F.col(f"p{k}") for k in each)) if len(domains) > 1 else F.col("p0")
     domain = F.coalesce(*(F.when(F.col(f"p{k}") == best, F.lit(d)) for k, d in enumerate(domains)))

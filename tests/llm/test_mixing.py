@@ -103,3 +103,29 @@ def test_copies_average_to_the_rate(spark):
 def test_main_path_has_no_python(spark, small):
     plan = queries.op1_mixing_sources(spark, small)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
+
+
+def test_no_rate_below_one_without_a_total(spark):
+    """Soft members of a tight domain keep rate 1 while those of the rarer domain are raised."""
+    random = np.random.default_rng(4)
+    p = np.concatenate([random.dirichlet([9, 1, 1], 60), random.dirichlet([1, 6, 1], 30), random.dirichlet([1, 1, 6], 10)])
+    rows = [(k, int(random.integers(5, 50)), *map(float, p[k])) for k in range(100)]
+    members = spark.createDataFrame(rows, "doc_id long, n_tokens long, p0 double, p1 double, p2 double")
+    rates = [r.rate for r in mixing.fit_rates(members, [0.4, 0.3, 0.3])[0].collect()]
+    assert min(rates) >= 1 and max(rates) > 1.5
+    _, told = mixing.fit_rates(members, [0.6, 0.4, None])
+    goal = np.array(told["target"]) / sum(told["target"])
+    n = np.array([r[1] for r in rows])
+    assert goal[2] == pytest.approx((n * p[:, 2]).sum() / n.sum()) and goal[0] == pytest.approx(1.5 * goal[1])
+
+
+def test_pipeline_keeps_languages_without_a_target(spark):
+    import corpus_pipeline
+
+    texts = {"en": "the a of", "de": "der die das", "it": "il lo gli", "zz": "qu xu vu"}
+    rows = [(k, f"{texts[d]} {texts[d]} {texts[d]}", d) for k, d in enumerate(["en"] * 400 + ["de"] * 60 + ["it"] * 40 + ["zz"] * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id: r["count"] for r in corpus_pipeline.mixed(spark, docs, "").groupBy("doc_id").count().collect()}
+    assert set(kept) == set(range(503)) and sum(kept[k] for k in range(400, 460)) > 70
+    others = docs.filter("lang in ('it', 'zz')")
+    assert corpus_pipeline.mixed(spark, others, "").count() == 43
