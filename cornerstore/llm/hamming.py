@@ -139,11 +139,19 @@ def best_in_group(
 ) -> pd.DataFrame:
     """query_id, vec_id, score: the k nearest that substring ``table`` is the first to retrieve."""
     out = []
+    if index["id"].duplicated().any():
+        index = index.drop_duplicates(["id", "v"])
     if len(queries) and len(index):
         as_rows = lambda frame: np.frombuffer(b"".join(frame["v"]), np.float64).reshape(len(frame), -1)
         codes = lambda frame: np.array(frame["c"].tolist(), dtype=np.int64).astype(np.uint32)
         vectors, ids, known = as_rows(index), index["id"].to_numpy(), codes(index)
         normed = unit(vectors)
+        # Rows sorted by id: the first row of each id, and the number of the id that each row has.
+        by_id = np.argsort(ids, kind="stable")
+        firsts = np.flatnonzero(np.diff(ids[by_id], prepend=ids[by_id[0]] - 1))
+        of_id = np.empty(len(ids), dtype=np.int64)
+        of_id[by_id] = np.repeat(np.arange(len(firsts)), np.diff(firsts, append=len(ids)))
+        repeats = len(firsts) < len(ids)
         all_queries, all_ids, all_codes = as_rows(queries), queries["id"].to_numpy(), codes(queries)
         for start in range(0, len(queries), QUERY_STEP):
             part = slice(start, start + QUERY_STEP)
@@ -160,10 +168,11 @@ def best_in_group(
             hit &= all_ids[part][:, None] != ids[None, :]
             near = np.where(hit, unit(all_queries[part]) @ normed.T, -2.0)
             for row in np.flatnonzero(hit.any(axis=1)):
-                count = int(hit[row].sum())
-                # Repeated ids take no place of others, so some more are kept when ids repeat.
-                least = -2.0 if count <= k else np.partition(near[row], len(ids) - k)[len(ids) - k]
-                at = np.flatnonzero(hit[row] & (near[row] >= least - 1e-9))
+                # Each id takes one place, with its nearest row.
+                each = np.maximum.reduceat(near[row][by_id], firsts) if repeats else near[row]
+                least = -2.0 if len(each) <= k else np.partition(each, len(each) - k)[len(each) - k]
+                wanted = np.maximum(each[of_id], least) if repeats else least
+                at = np.flatnonzero(hit[row] & (near[row] >= wanted - 1e-9))
                 score = cosine(np.repeat(all_queries[part][row:row + 1], len(at), axis=0), vectors[at])
                 best: dict[int, float] = {}
                 for i in np.lexsort((ids[at], -score)):

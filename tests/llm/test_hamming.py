@@ -84,3 +84,26 @@ def test_many_equal_vectors_in_small_groups(spark, monkeypatch):
     want = brute_force(ids, np.array([v for _, v in rows]), np.flatnonzero(ids % 50 == 0))
     hits = sum(len({v for v, _ in found[q]} & {v for v, _ in want[q]}) for q in want)
     assert hits >= 0.9 * sum(map(len, want.values()))
+
+
+def test_repeated_ids_take_one_place(spark, monkeypatch):
+    """Every row three times, and ids with many vectors near the queries: the same neighbours as by brute force."""
+    monkeypatch.setattr(hamming, "GROUP_ROWS", 100)
+    random = np.random.default_rng(6)
+    vectors = random.standard_normal((300, 16))
+    once = [(i, vectors[i]) for i in range(300)]
+    near = [(301, vectors[q] + 1e-3 * random.standard_normal(16)) for q in (0, 50) for _ in range(20)]
+    near += [(302, vectors[q] + 2e-3) for q in (0, 50) for _ in range(20)]
+    rows = [(i, v.tolist()) for i, v in 3 * once + near]
+    codes = hamming.fit_codes(spark.createDataFrame([(i, v.tolist()) for i, v in once], "id long, v array<double>"))
+    codes.radius = 128
+    found = found_of(hamming.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding", "id % 50 = 0", codes=codes))
+    all_ids, all_vectors = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+    for q in range(0, 300, 50):
+        score = hamming.cosine(np.repeat(vectors[q:q + 1], len(rows), axis=0), all_vectors)
+        best = {}
+        for i in np.lexsort((all_ids, -score)):
+            if all_ids[i] != q:
+                best.setdefault(int(all_ids[i]), float(score[i]))
+        assert found[q] == list(best.items())[:5]
+    assert {v for v, _ in found[0][:2]} == {301, 302}
