@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cornerstore.llm import binary, bpe, hamming, langid, lines, mixing, quality, sentences, simhash, toxicity
+from cornerstore.llm import (
+    binary, bpe, hamming, langid, lines, mixing, periodic, quality, sentences, simhash, toxicity,
+)
 from cornerstore.llm.frames import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -62,12 +64,17 @@ def op10_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary.token_positions(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return periodic.run_digests(periodic.periodic_runs(docs, rewrite=periodic.planted))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_mixing_sources, op2_quality_classifier, op3_nearest_neighbours, op4_toxicity, op5_simhash,
         op6_language_id, op7_bpe, op8_quality_rules, op9_substring_dedup,
-        op10_token_binary,
+        op10_token_binary, op13_periodic_runs,
     )
 }
 
