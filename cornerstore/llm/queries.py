@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cornerstore.llm import (
-    binary, bpe, hamming, langid, lines, mixing, periodic, quality, sentences, simhash, toxicity,
+    binary, bpe, hamming, langid, lines, mixing, periodic, quality, sentences, simhash, spelling,
+    toxicity,
 )
 from cornerstore.llm.frames import table
 
@@ -64,6 +65,10 @@ def op10_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary.token_positions(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents"), spelling.damaged))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return periodic.run_digests(periodic.periodic_runs(docs, rewrite=periodic.planted))
@@ -74,7 +79,7 @@ QUERIES = {
     for f in (
         op1_mixing_sources, op2_quality_classifier, op3_nearest_neighbours, op4_toxicity, op5_simhash,
         op6_language_id, op7_bpe, op8_quality_rules, op9_substring_dedup,
-        op10_token_binary, op13_periodic_runs,
+        op10_token_binary, op12_spelling_variants, op13_periodic_runs,
     )
 }
 
