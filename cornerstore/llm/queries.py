@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cornerstore.llm import (
     binary, bpe, hamming, langid, lines, mixing, periodic, quality, sentences, simhash, spelling,
-    toxicity,
+    toxicity, warc,
 )
 from cornerstore.llm.frames import table
 
@@ -65,6 +65,10 @@ def op10_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary.token_positions(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents"), spelling.damaged))
 
@@ -79,8 +83,8 @@ QUERIES = {
     for f in (
         op1_mixing_sources, op2_quality_classifier, op3_nearest_neighbours, op4_toxicity, op5_simhash,
         op6_language_id, op7_bpe, op8_quality_rules, op9_substring_dedup,
-        op10_token_binary, op12_spelling_variants, op13_periodic_runs,
+        op10_token_binary, op11_warc, op12_spelling_variants, op13_periodic_runs,
     )
 }
 
-ORACLES = {"op8_quality_rules": lines.QUALITY_RULES_SQL}
+ORACLES = {"op8_quality_rules": lines.QUALITY_RULES_SQL, "op11_warc": warc.ARCHIVED_PAGES_SQL}

@@ -1,0 +1,174 @@
+import gzip
+import hashlib
+import io
+import random
+import zlib
+
+import pytest
+from compare import connect, differences
+from pyspark.sql import functions as F
+
+from cornerstore.llm import queries, warc
+
+SCHEMA = "page_id long, url string, html string, path string, first long, _same string, payload int"
+EXTRA = ("x", 7, "y", 3)
+
+
+def plain_rows(pages, least=1000):
+    """The contract's rows, from all pages held together."""
+    newest = {}
+    for page_id, html in pages:
+        if page_id is not None:
+            newest[html or ""] = max(page_id, newest.get(html or "", page_id))
+    out = []
+    for page_id, html in pages:
+        data = (html or "").encode()
+        first = newest.get(html or "") if len(data) >= least else None
+        later = first is not None and (page_id is None or page_id < first)
+        out.append((page_id, len(data), hashlib.sha1(data).hexdigest(), "revisit" if later else "response", first if later else None))
+    return sorted(out, key=str)
+
+
+def rows_of(df):
+    return sorted((tuple(r[c] for c in ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")) for r in df.collect()), key=str)
+
+
+def edge_pages():
+    made = random.Random(6)
+    long = "".join(made.choice("<p>é你 a\r\n\r\n") for _ in range(400_000))
+    same, small = "é" * 500, "x" * 999
+    rows = [
+        (1, "http://a/1", None), (2, None, ""), (3, "http://a/b c\r\nX: y", "<html>\r\n\r\nWARC/1.1\r\n"),
+        (4, "", long), (5, "http://a/ü", long), (6, "u", same), (9, "u", same), (9, "v", same), (7, "u", same), (None, "n", same),
+        (None, None, None), (None, "n", "z" * 2000), (None, "m", "z" * 2000), (10, "s", small), (11, "s", small), (-5, "neg", same),
+        (12, "w", "w" * 3_000_000),
+    ]
+    return [(*row, *EXTRA) for row in rows] + [(100 + k, "hot", "hot " * 300, *EXTRA) for k in range(200)]
+
+
+@pytest.fixture
+def pages(spark):
+    return spark.createDataFrame(edge_pages(), SCHEMA)
+
+
+def test_edge_rows_equal_brute_force(spark, pages):
+    assert rows_of(warc.archived_pages(pages)) == plain_rows([(row[0], row[2]) for row in edge_pages()])
+    assert warc.archived_pages(pages.limit(0)).count() == 0
+
+
+def test_payloads_and_targets_come_back(spark, pages, folder):
+    written = warc.write_archives(pages, folder, file_bytes=20_000)
+    files = written.collect()
+    assert len(files) > 3 and sum(f.n_records for f in files) == pages.count()
+    read = warc.read_archives(spark, written)
+    whole = {hashlib.sha1((row[2] or "").encode()).hexdigest(): (row[2] or "").encode() for row in edge_pages()}
+    responses = [row for row in plain_rows([(row[0], row[2]) for row in edge_pages()]) if row[3] == "response"]
+    payloads = [bytes(r.payload) for r in read.filter("record_type = 'response'").collect()]
+    assert sorted(payloads) == sorted(whole[row[2]] for row in responses)
+    assert read.filter("record_type = 'revisit' and payload is not null").isEmpty()
+    by_id = {r.record_id: r for r in read.collect()}
+    assert len(by_id) == pages.count() - 1  # page 9 is there twice
+    assert by_id["urn:page:5"].url == "http://a/%C3%BC" and by_id["urn:page:2"].url is None
+    assert by_id["urn:page:3"].url == "http://a/b%20c%0D%0AX:%20y"
+    for f in files:
+        offsets = [r.offset for r in read.filter(F.col("path") == f.path).orderBy("offset").collect()]
+        data = open(f.path, "rb").read()
+        assert offsets[0] == 0 and len(data) == f.n_bytes
+        assert all(data[at:at + 2] == b"\x1f\x8b" for at in offsets)
+        # Any gzip reader sees the records one after the other.
+        assert gzip.decompress(data).count(b"WARC/1.1\r\nWARC-Type: ") >= f.n_records
+
+
+def packed(count=4):
+    return [warc.pack("response", f"urn:page:{k}", f"http://a/{k}", b"payload %d " % k * 400) for k in range(count)]
+
+
+class Slow(io.BytesIO):
+    """Gives a few bytes at a time."""
+
+    def read(self, size=-1):
+        return super().read(min(size, 7))
+
+
+def test_chunks_of_any_size():
+    data = b"".join(packed())
+    for raw in (io.BytesIO(data), Slow(data)):
+        found = list(warc.records(raw))
+        assert [r.payload for r in found] == [b"payload %d " % k * 400 for k in range(4)]
+        assert [r.offset for r in found] == [sum(map(len, packed()[:k])) for k in range(4)]
+    assert list(warc.records(io.BytesIO(b""))) == []
+
+
+def rewritten(change):
+    """The second of four records, changed."""
+    parts = packed()
+    parts[1] = gzip.compress(change(gzip.decompress(parts[1])))
+    return b"".join(parts)
+
+
+@pytest.mark.parametrize("data, says", [
+    (b"".join(packed())[:-9], "ends inside"),
+    (rewritten(lambda r: r.replace(b"payload 1 payload", b"payload 1 pAyload")), "digest"),
+    (rewritten(lambda r: r.replace(b"Content-Length: 40", b"Content-Length: 39", 1)), "two blank lines|digest|Content-Length"),
+    (rewritten(lambda r: r.replace(b"Content-Length: ", b"Content-Length: 9", 1)), "Content-Length"),
+    (rewritten(lambda r: r.replace(b"Content-Length: ", b"Content-Length: -", 1)), "Content-Length"),
+    (rewritten(lambda r: r.replace(b"WARC/1.1", b"HTTP/1.1", 1)), "begins with"),
+    (rewritten(lambda r: r + r), "more than one record"),
+    (rewritten(lambda r: r[:-2]), "Content-Length"),
+    (rewritten(lambda r: r.replace(b"\r\n\r\n", b"\r\n")), "end of its header|begins"),
+    (rewritten(lambda r: r.replace(b"sha1:", b"md5:", 1)), "not a SHA-1"),
+    (packed()[0] + b"plain text", "gzip"),
+])
+def test_faults_are_found_and_named(data, says):
+    with pytest.raises(warc.BrokenArchive, match=says) as fault:
+        list(warc.records(io.BytesIO(data), "a.warc.gz"))
+    place = len(packed()[0]) if data[:20] == packed()[0][:20] and says != "ends inside" else sum(map(len, packed()[:3]))
+    assert f"a.warc.gz, record at byte {place}" in str(fault.value)
+
+
+def test_flipped_bits_are_found():
+    good = b"".join(packed())
+    made = random.Random(1)
+    for at in made.sample(range(len(good)), 60):
+        bad = bytearray(good)
+        bad[at] ^= 1 << made.randrange(8)
+        try:
+            found = [r.payload for r in warc.records(io.BytesIO(bytes(bad)))]
+        except warc.BrokenArchive:
+            continue
+        assert found == [r.payload for r in warc.records(io.BytesIO(good))]  # the gzip header has idle bits
+
+
+def test_records_of_other_writers():
+    """No digests, hex digests, folded lines, no HTTP block, lower-case names."""
+    body = b"software: x\r\n"
+    info = b"WARC/1.0\r\nwarc-type: warcinfo\r\nX-Note: one\r\n  two\r\ncontent-length: %d\r\n\r\n" % len(body) + body + b"\r\n\r\n"
+    sha = hashlib.sha1(b"hello").hexdigest().encode()
+    resource = b"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Block-Digest: sha1:" + sha + b"\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
+    first, second = warc.records(io.BytesIO(gzip.compress(info) + gzip.compress(resource, 0)))
+    assert first.fields["x-note"] == "one two" and first.payload == body and first.http == {}
+    assert second.payload == b"hello"
+
+
+def test_memory_stays_within_a_record():
+    """A member that inflates a thousandfold is taken chunk by chunk."""
+    member = warc._Member(io.BytesIO(packed()[0]), b"")
+    assert member.until(b"\r\n\r\n", 10_000).startswith(b"WARC/1.1")
+    bomb = zlib.compressobj(9, zlib.DEFLATED, 31)
+    data = bomb.compress(b"a" * 50_000_000) + bomb.flush()
+    with pytest.raises(warc.BrokenArchive, match="no end of the header"):
+        warc._Member(io.BytesIO(data), b"").until(b"\r\n\r\n", 1 << 20)
+
+
+def test_query_equals_sql(spark, tiny, small):
+    for sf in (tiny, small):
+        assert differences(queries.op11_warc(spark, sf), connect(sf), queries.ORACLES["op11_warc"]) is None
+
+
+def test_sql_says_the_same_of_edge_rows(spark, pages, folder):
+    pages.select("page_id", "url", "html").coalesce(1).write.parquet(f"{folder}/pages.parquet")
+    import duckdb
+
+    tables = duckdb.connect()
+    tables.execute(f"CREATE VIEW pages AS SELECT * FROM '{folder}/pages.parquet/*.parquet'")
+    assert differences(warc.archived_pages(pages), tables, warc.ARCHIVED_PAGES_SQL) is None
