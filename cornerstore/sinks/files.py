@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
+from uuid import uuid4
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -13,6 +14,14 @@ from cornerstore.operators.merge import merge_newer, merge_replace
 from cornerstore.operators.setops import multiset_difference
 
 COMMIT_ATTEMPTS = 20
+#: A record of all earlier commits is written every so many; about twice as many commit files stay.
+FOLD_EVERY = 20
+#: A batch waits as a delta while the waiting ones have at most this share of the bytes of the buckets they touch.
+DELTA_SHARE = 0.1
+
+
+class StaleSnapshot(RuntimeError):
+    """A dataset was published by somebody else since it was read."""
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -32,6 +41,76 @@ def delete_path(spark: SparkSession, path: str) -> None:
     files.delete(hadoop_path, True)
 
 
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file or folder to a path that does not exist."""
+    files, source_path = _file_system(spark, source)
+    _, target_path = _file_system(spark, target)
+    files.mkdirs(target_path.getParent())
+    if not files.rename(source_path, target_path):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def _names(spark: SparkSession, pattern: str) -> list[str]:
+    """Last names of the matching paths, in order."""
+    files, hadoop_path = _file_system(spark, pattern)
+    return sorted(status.getPath().getName() for status in files.globStatus(hadoop_path) or [])
+
+
+def _size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path."""
+    files, hadoop_path = _file_system(spark, path)
+    return files.getContentSummary(hadoop_path).getLength()
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    files, hadoop_path = _file_system(spark, path)
+    stream = files.create(hadoop_path, True)
+    stream.write(bytearray(text, "utf-8"))
+    stream.close()
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    files, hadoop_path = _file_system(spark, path)
+    stream = files.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _place_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file that is never seen unfinished and never replaces another; False if the name is taken.
+
+    The file is written whole under another name first. A local rename would replace
+    what is there, so a local file gets its name as a hard link.
+    """
+    files, target = _file_system(spark, path)
+    beside = f"{target.getParent().toString()}/_new-{uuid4().hex}"
+    _write_text(spark, beside, text)
+    _, source = _file_system(spark, beside)
+    try:
+        if files.getUri().getScheme() == "file":
+            at = [spark._jvm.java.io.File(p.toUri().getPath()).toPath() for p in (target, source)]
+            spark._jvm.java.nio.file.Files.createLink(*at)
+        else:
+            _rename_to_new(spark, source, target)
+    except Py4JJavaError as error:
+        if "AlreadyExists" not in error.java_exception.getClass().getName():
+            raise
+        return False
+    finally:
+        files.delete(source, False)
+    return True
+
+
+def _rename_to_new(spark: SparkSession, source, target) -> None:
+    """A rename that fails where the target exists."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 0)
+    context = hadoop.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(source, target, options)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """CSV with a header; outer spaces of a value are kept. CSV reads empty text back as NULL."""
     (
@@ -109,9 +188,11 @@ def stage_snapshots(
     paths = {name: f"{root}/{name}/v={publication_id}" for name in datasets}
     left_over = [path for path in paths.values() if path_exists(spark, path)]
     if left_over:
-        published = {path for commit in _commits(spark, root) for d in commit["datasets"].values() for path in d["paths"]}
-        if committed := published.intersection(left_over):
-            raise FileExistsError(f"publication already exists: {sorted(committed)[0]}")
+        history = _history(spark, root)["versions"].values()
+        published = [path for versions in history for paths in versions.values() for path in paths]
+        for staged in left_over:
+            if any(path == staged or path.startswith(f"{staged}/") for path in published):
+                raise FileExistsError(f"publication already exists: {staged}")
     try:
         for name, df in datasets.items():
             columns = (partition_by or {}).get(name, ())
@@ -133,55 +214,96 @@ def _commit_files(spark: SparkSession, root: str) -> list:
     return sorted((status.getPath() for status in files.globStatus(pattern) or []), key=lambda path: path.getName())
 
 
-def _read_commit(spark: SparkSession, path) -> dict | None:
-    """One commit; None for a file that its writer has not finished or never will."""
-    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
-    try:
-        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    return json.loads(text) if text.endswith("}\n") else None
+def _number(path) -> int:
+    return int(path.getName().removesuffix(".json"))
 
 
-def _commits(spark: SparkSession, root: str) -> list[dict]:
-    return [commit for path in _commit_files(spark, root) if (commit := _read_commit(spark, path))]
+def _read_commit(spark: SparkSession, path) -> dict | None:
+    """One commit; None for a file that is not whole, which no publisher of this version leaves."""
+    text = _read_text(spark, path.toString())
+    return json.loads(text) if text.endswith("}\n") else None
 
 
-def _last_commit(spark: SparkSession, root: str) -> dict:
-    for path in reversed(_commit_files(spark, root)):
+def _newest(spark: SparkSession, commit_files: Sequence) -> dict:
+    for path in reversed(commit_files):
         if commit := _read_commit(spark, path):
             return commit
     return {"datasets": {}}
 
 
+def _last_commit(spark: SparkSession, root: str) -> dict:
+    return _newest(spark, _commit_files(spark, root))
+
+
+def _history(spark: SparkSession, root: str) -> dict:
+    """Publication ids, and the paths of each dataset's versions by commit number.
+
+    The newest folded record holds all up to its number; only later commits are opened.
+    """
+    folds = _names(spark, f"{root}/manifest/*.folded")
+    found = {"number": -1, "publications": [], "versions": {}}
+    if folds:
+        found = json.loads(_read_text(spark, f"{root}/manifest/{folds[-1]}"))
+    for path in _commit_files(spark, root):
+        if _number(path) > found["number"] and (commit := _read_commit(spark, path)):
+            found["number"] = commit["number"]
+            found["publications"].append(commit["publication_id"])
+            for name, d in commit["datasets"].items():
+                found["versions"].setdefault(name, {})[str(d["number"])] = d["paths"]
+    return found
+
+
+def _fold(spark: SparkSession, root: str) -> None:
+    """Write the record of all commits so far, and drop commit files that an earlier record covers."""
+    folds = _names(spark, f"{root}/manifest/*.folded")
+    covered = int(folds[-1].removesuffix(".folded")) if folds else -1
+    files = _commit_files(spark, root)
+    if not files or _number(files[-1]) - covered < FOLD_EVERY:
+        return
+    record = _history(spark, root)
+    _place_new(spark, f"{root}/manifest/{record['number']:012d}.folded", json.dumps(record))
+    for path in files:
+        if _number(path) <= covered:
+            delete_path(spark, path.toString())
+    for name in folds[:-1]:
+        delete_path(spark, f"{root}/manifest/{name}")
+
+
 def commit_snapshots(
-    spark: SparkSession, root: str, publication_id: str, paths: dict[str, str], append: Sequence[str] = ()
+    spark: SparkSession, root: str, publication_id: str, paths: Mapping[str, str], append: Sequence[str] = (),
+    parts: Mapping[str, Mapping[str, str | None]] | None = None, based_on: Mapping[str, int | None] | None = None,
 ) -> None:
     """Make staged datasets current, all at once, by one numbered file that must not exist yet.
 
     Each commit file says where all datasets of ``root`` lie, so a reader needs the
-    newest only. Of two publishers that take the same number one finds the file
-    there, and builds its commit on the other's. Datasets in ``append`` gain a part
-    and keep the ones they have.
+    newest only. It is built on the commit before it, its parent, and put in place
+    whole: of two publishers that build on the same parent one finds the number
+    taken and builds anew on the other's commit, so neither is lost. Datasets in
+    ``append`` gain a part and keep the ones they have; of those in ``parts`` (path by
+    part, None for one that is empty now) the named parts are replaced. ``based_on`` has the commit numbers of datasets
+    that the staged rows were made from: where one has changed, ``StaleSnapshot`` is raised.
     """
     for _ in range(COMMIT_ATTEMPTS):
         known = _commit_files(spark, root)
-        number = int(known[-1].getName().removesuffix(".json")) + 1 if known else 0
-        datasets = dict(_last_commit(spark, root)["datasets"])
+        number = _number(known[-1]) + 1 if known else 0
+        parent = _newest(spark, known)
+        datasets = dict(parent["datasets"])
+        for name, seen in (based_on or {}).items():
+            if datasets.get(name, {}).get("number") != seen:
+                raise StaleSnapshot(f"{name} under {root} has changed since it was read")
         for name, path in paths.items():
             before = datasets[name]["paths"] if name in append and name in datasets else []
             datasets[name] = {"publication_id": publication_id, "number": number, "paths": [*before, path]}
-        text = json.dumps({"number": number, "publication_id": publication_id, "datasets": datasets}) + "\n"
-        files, target = _file_system(spark, f"{root}/manifest/{number:012d}.json")
-        try:
-            stream = files.create(target, False)
-        except Py4JJavaError as error:
-            if "AlreadyExists" not in error.java_exception.getClass().getName():
-                raise
-            continue
-        stream.write(bytearray(text, "utf-8"))
-        stream.close()
-        return
+        for name, changed in (parts or {}).items():
+            kept = {**datasets.get(name, {}).get("parts", {}), **changed}
+            kept = {part: path for part, path in kept.items() if path}
+            datasets[name] = {
+                "publication_id": publication_id, "number": number, "paths": [kept[k] for k in sorted(kept)], "parts": kept,
+            }
+        commit = {"number": number, "parent": parent.get("number"), "publication_id": publication_id, "datasets": datasets}
+        if _place_new(spark, f"{root}/manifest/{number:012d}.json", json.dumps(commit) + "\n"):
+            _fold(spark, root)
+            return
     raise RuntimeError(f"other publishers kept taking the next number under {root}")
 
 
@@ -210,7 +332,12 @@ def current_path(spark: SparkSession, root: str, name: str) -> str | None:
 
 
 def is_published(spark: SparkSession, root: str, publication_id: str) -> bool:
-    return any(commit["publication_id"] == publication_id for commit in _commits(spark, root))
+    return publication_id in _history(spark, root)["publications"]
+
+
+def published_as(spark: SparkSession, root: str, name: str) -> str | None:
+    """The publication id of a dataset's current version."""
+    return _last_commit(spark, root)["datasets"].get(name, {}).get("publication_id")
 
 
 def read_snapshot(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -228,7 +355,7 @@ def expire_snapshots(spark: SparkSession, root: str, name: str, keep: int = 2) -
     """
     if keep < 1:
         raise ValueError("the current version has to be kept")
-    versions = {d["number"]: d["paths"] for c in _commits(spark, root) if (d := c["datasets"].get(name))}
+    versions = {int(number): paths for number, paths in _history(spark, root)["versions"].get(name, {}).items()}
     newest = sorted(versions, reverse=True)[:keep]
     needed = {path for number in newest for path in versions[number]}
     for number in versions:
@@ -238,10 +365,49 @@ def expire_snapshots(spark: SparkSession, root: str, name: str, keep: int = 2) -
     current = _last_commit(spark, root)["datasets"]
     if set(current) == {name}:  # other datasets may still need their older commits
         for path in _commit_files(spark, root)[:-1]:
-            if newest and int(path.getName().removesuffix(".json")) < newest[-1]:
+            if newest and _number(path) < newest[-1]:
                 delete_path(spark, path.toString())
 
 
+def merge_parts(
+    rows: DataFrame, root: str, name: str, publication_id: str, part: Column,
+    merge: Callable[[DataFrame | None, DataFrame], DataFrame],
+) -> None:
+    """Publish a dataset kept in parts, with new files for the parts that ``rows`` touch only.
+
+    ``part`` gives a row's part (an int) and must never change for a key. ``merge(stored, rows)``
+    gets the stored rows of the touched parts, None before the first publication, and
+    gives their new content. All other parts stay the files they are. Rows are
+    computed once, into a staging folder. A run that broke off before its commit is
+    repeated under its id.
+    """
+    spark = rows.sparkSession
+    before = _last_commit(spark, root)["datasets"].get(name)
+    arrived = f"{root}/{name}/_incoming-{publication_id}"
+    rows.withColumn("_part", part.cast("int")).write.mode("overwrite").parquet(arrived)
+    incoming = spark.read.parquet(arrived)
+    # One small integer per touched part comes back to the driver.
+    touched = [row[0] for row in incoming.select("_part").distinct().collect()]
+    stored = None
+    if before and "parts" in before:
+        paths = [before["parts"][str(k)] for k in touched if str(k) in before["parts"]]
+        shape = spark.read.parquet(before["paths"][0]).schema if before["paths"] else rows.schema
+        stored = spark.read.schema(shape).parquet(*paths) if paths else spark.createDataFrame([], shape)
+    elif before:  # published whole until now: every part is new
+        stored = spark.read.parquet(*before["paths"])
+    if touched or stored is None:
+        merged = merge(stored, incoming.drop("_part")).withColumn("_part", part.cast("int"))
+        staged = stage_snapshots({name: merged}, root, publication_id, {name: ["_part"]})[name]
+        written = {str(k): None for k in touched}
+        written |= {text.removeprefix("_part="): f"{staged}/{text}" for text in _names(spark, f"{staged}/_part=*")}
+        if stored is None and not any(written.values()):  # a first version without rows still has its columns
+            written["none"] = stage_snapshots({name: merged.drop("_part")}, root, publication_id)[name]
+        commit_snapshots(
+            spark, root, publication_id, {}, parts={name: written}, based_on={name: before["number"] if before else None}
+        )
+    delete_path(spark, arrived)
+
+
 def seed_if_absent(df: DataFrame, path: str) -> None:
     """Write a first version of a table; an existing table is left as it is."""
     df.write.mode("ignore").parquet(path)
@@ -280,22 +446,36 @@ def upsert_buckets(
     buckets: int = 64,
     version: Sequence[str] = (),
     bucket_by: Column | None = None,
+    delta_share: float = DELTA_SHARE,
 ) -> None:
     """Upsert ``source`` (one row per key) into a table spread over key buckets.
 
-    The source is computed once, into a staging folder. Only buckets it touches
-    are read and rewritten. Their new content is staged too before it is moved
-    in: a run that broke off in between repeats the move with the same
-    ``transaction``, so no bucket is lost. The transaction must name one set of
-    rows for good: what it staged is used again, whatever ``source`` holds then.
-    With ``version`` a matched row is replaced only by an equal or newer one.
+    A batch that is small beside the buckets it touches is stored as a delta, so it
+    writes about its own size; ``read_buckets`` merges the deltas while reading. Once
+    the waiting deltas and the batch have more than ``delta_share`` of those buckets' bytes,
+    they are merged in: only touched buckets are read and rewritten.
+
+    The source is computed once, into a staging folder. New content of buckets is
+    staged whole before it is moved in: a run that broke off in between is finished
+    by the next, so no row is lost. The transaction must name one set of rows for good:
+    what it staged is used again, whatever ``source`` holds then. With ``version`` a
+    matched row is replaced only by an equal or newer one. There must be one writer at a time.
 
     The bucket of a key must never change. By default it is a hash of the keys.
     ``bucket_by`` may give ranges of a growing id instead (such as id DIV width),
     so that a batch of recent orders touches few buckets of a large table.
     """
-    stage_buckets(source, root, keys, transaction, buckets, version, bucket_by)
-    move_buckets(source.sparkSession, root, transaction)
+    spark = source.sparkSession
+    finish_moves(spark, root, but=transaction)
+    if any(path.rsplit("/", 1)[1].partition("-")[2] == transaction for path in _delta_paths(spark, root)):
+        return
+    if not path_exists(spark, f"{root}/staged/{transaction}/merged/_SUCCESS"):
+        arrived = _arrive(source, root, keys, transaction, buckets, bucket_by)
+        if _waits(spark, root, arrived, delta_share):
+            _add_delta(spark, root, arrived, transaction, keys, version)
+            return
+        _merge_staged(spark, root, keys, transaction, version, source.schema)
+    move_buckets(spark, root, transaction)
 
 
 def stage_buckets(
@@ -307,42 +487,152 @@ def stage_buckets(
     version: Sequence[str] = (),
     bucket_by: Column | None = None,
 ) -> None:
-    """Write the new content of the touched buckets beside the table, unless this transaction did so already."""
+    """Write the new content of the touched buckets beside the table, unless this transaction did so already.
+
+    Deltas that wait are merged along, and dropped once the buckets have been moved in.
+    """
     spark = source.sparkSession
-    state, staged = f"{root}/state", f"{root}/staged/{transaction}"
-    if path_exists(spark, f"{staged}/merged/_SUCCESS"):
+    if path_exists(spark, f"{root}/staged/{transaction}/merged/_SUCCESS"):
         return
+    finish_moves(spark, root, but=transaction)
+    _arrive(source, root, keys, transaction, buckets, bucket_by)
+    _merge_staged(spark, root, keys, transaction, version, source.schema)
+
+
+def _arrive(
+    source: DataFrame, root: str, keys: Sequence[str], transaction: str, buckets: int, bucket_by: Column | None
+) -> str:
+    """Compute the batch once, with each row's bucket."""
+    path = f"{root}/staged/{transaction}/incoming"
     hashed = F.pmod(F.xxhash64(*keys), F.lit(buckets))
     columns = source.withColumn("_bucket", (hashed if bucket_by is None else bucket_by).cast("int"))
-    merged = columns
-    if path_exists(spark, state):
-        columns.write.mode("overwrite").parquet(f"{staged}/incoming")
-        incoming = spark.read.schema(columns.schema).parquet(f"{staged}/incoming")
+    columns.write.mode("overwrite").parquet(path)
+    return path
+
+
+def _with_bucket(columns: T.StructType) -> T.StructType:
+    return T.StructType([*(f for f in columns.fields if f.name != "_bucket"), T.StructField("_bucket", T.IntegerType())])
+
+
+def _delta_paths(spark: SparkSession, root: str) -> list[str]:
+    """Deltas that were written whole, oldest first."""
+    return [f"{root}/deltas/{name}" for name in _names(spark, f"{root}/deltas/*-*")]
+
+
+def _waits(spark: SparkSession, root: str, arrived: str, share: float) -> bool:
+    """Whether a batch is small enough, with the deltas there are, to be stored as a delta."""
+    if not path_exists(spark, f"{root}/state"):
+        return False
+    waiting = [arrived, *_delta_paths(spark, root)]
+    rows = spark.read.schema("_bucket int").parquet(*waiting)
+    # One small integer per touched bucket comes back to the driver.
+    touched = [row[0] for row in rows.distinct().collect()]
+    stored = [f"{root}/state/_bucket={k}" for k in touched]
+    there = sum(_size(spark, path) for path in stored if path_exists(spark, path))
+    return sum(_size(spark, path) for path in waiting) <= share * there
+
+
+def _add_delta(
+    spark: SparkSession, root: str, arrived: str, transaction: str, keys: Sequence[str], version: Sequence[str]
+) -> None:
+    """One rename makes the batch part of the table."""
+    _place_new(spark, f"{root}/_merge_on.json", json.dumps({"keys": list(keys), "version": list(version)}))
+    there = _names(spark, f"{root}/deltas/*-*")
+    number = int(there[-1].split("-")[0]) + 1 if there else 0
+    _rename(spark, arrived, f"{root}/deltas/{number:012d}-{transaction}")
+    delete_path(spark, f"{root}/staged/{transaction}")
+
+
+def _merge_staged(
+    spark: SparkSession, root: str, keys: Sequence[str], transaction: str, version: Sequence[str], columns: T.StructType
+) -> None:
+    """Stage the buckets that the batch and the waiting deltas touch, as they are to be."""
+    staged, shape = f"{root}/staged/{transaction}", _with_bucket(columns)
+    deltas = _delta_paths(spark, root)
+    if deltas:
+        _write_text(spark, f"{staged}/merged-deltas.json", json.dumps(deltas))
+    merged = incoming = spark.read.schema(shape).parquet(f"{staged}/incoming")
+    if path_exists(spark, f"{root}/state"):
+        batches = [*deltas, f"{staged}/incoming"]
         # One small integer per touched bucket comes back to the driver.
-        touched = [row[0] for row in incoming.select("_bucket").distinct().collect()]
-        stored = spark.read.schema(columns.schema).parquet(state).filter(F.col("_bucket").isin(touched))
-        merged = merge_newer(stored, incoming, keys, version) if version else merge_replace(stored, incoming, keys)
+        touched = [row[0] for row in spark.read.schema("_bucket int").parquet(*batches).distinct().collect()]
+        stored = spark.read.schema(shape).parquet(f"{root}/state").filter(F.col("_bucket").isin(touched))
+        if deltas:
+            merged = _merge_deltas(stored, batches, keys, version)
+        else:
+            merged = merge_newer(stored, incoming, keys, version) if version else merge_replace(stored, incoming, keys)
     merged.hint("rebalance", "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(f"{staged}/merged")
 
 
+def _merge_deltas(stored: DataFrame, batches: Sequence[str], keys: Sequence[str], version: Sequence[str]) -> DataFrame:
+    """The stored rows after all batches, as if they had been merged one after the other."""
+    spark = stored.sparkSession
+    rows = None
+    for number, path in enumerate(batches):
+        one = spark.read.schema(stored.schema).parquet(path).withColumn("_batch", F.lit(number))
+        rows = one if rows is None else rows.unionByName(one)
+    whole = F.struct(*stored.columns)
+
+    def kept(best: Column) -> DataFrame:
+        return rows.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(best.alias("row")).filter("row is not null").select("row.*")
+
+    if not version:
+        return merge_replace(stored, kept(F.max_by(whole, "_batch")), keys)
+    own = F.col(version[0]) if len(version) == 1 else F.struct(*version)
+    # Merged one by one, a new key that comes without a version keeps that row for good;
+    # else the newest version stays, of equal ones the last.
+    first = kept(F.min_by(whole, "_batch"))
+    if len(version) == 1:
+        stored = merge_newer(stored, first.filter(F.col(version[0]).isNull()), keys, version)
+    newest = F.max_by(whole, F.when(own.isNotNull(), F.struct(own, F.col("_batch"))))
+    return merge_newer(stored, kept(newest), keys, version)
+
+
 def move_buckets(spark: SparkSession, root: str, transaction: str) -> None:
     """Put staged buckets in the place of the stored ones, by renaming their folders.
 
-    Buckets that a broken-off move has moved already are no longer staged, so a
-    repetition does the rest.
+    A stored bucket is set aside before the new one takes its place, and nothing is
+    deleted until all have moved. Buckets that a broken-off move has moved already are
+    no longer staged, so a repetition does the rest. Deltas that were merged along go
+    last, the oldest first: what is left of them in a broken-off run is the last
+    word on its keys, and merging it once more changes nothing.
     """
     staged = f"{root}/staged/{transaction}"
-    files, pattern = _file_system(spark, f"{staged}/merged/_bucket=*")
-    found = files.globStatus(pattern) or []
-    _, state = _file_system(spark, f"{root}/state")
-    files.mkdirs(state)
-    for status in found:
-        target = spark._jvm.org.apache.hadoop.fs.Path(state, status.getPath().getName())
-        files.delete(target, True)
-        if not files.rename(status.getPath(), target):
-            raise OSError(f"could not move {status.getPath().toString()}")
+    if path_exists(spark, f"{staged}/merged/_SUCCESS"):
+        for name in _names(spark, f"{staged}/merged/_bucket=*"):
+            target, aside = f"{root}/state/{name}", f"{staged}/replaced/{name}"
+            if path_exists(spark, target):
+                if path_exists(spark, aside):
+                    delete_path(spark, target)  # half a copy, where a rename copies
+                else:
+                    _rename(spark, target, aside)
+            _rename(spark, f"{staged}/merged/{name}", target)
+        _file_system(spark, root)[0].mkdirs(_file_system(spark, f"{root}/state")[1])
+        if path_exists(spark, f"{staged}/merged-deltas.json"):
+            for path in json.loads(_read_text(spark, f"{staged}/merged-deltas.json")):
+                delete_path(spark, path)
     delete_path(spark, staged)
 
 
+def finish_moves(spark: SparkSession, root: str, but: str = "") -> None:
+    """Move in what other transactions have staged whole: no later batch may be merged with the rows before it."""
+    for transaction in staged_whole(spark, root):
+        if transaction != but:
+            move_buckets(spark, root, transaction)
+
+
+def staged_whole(spark: SparkSession, root: str) -> list[str]:
+    """Transactions whose new buckets are staged to their end."""
+    files, pattern = _file_system(spark, f"{root}/staged/*/merged/_SUCCESS")
+    found = files.globStatus(pattern) or []
+    return sorted(status.getPath().getParent().getParent().getName() for status in found)
+
+
 def read_buckets(spark: SparkSession, root: str, columns: T.StructType) -> DataFrame:
-    return spark.read.schema(columns).parquet(f"{root}/state").drop("_bucket")
+    """The table, with the deltas that wait merged in."""
+    stored = spark.read.schema(_with_bucket(columns)).parquet(f"{root}/state")
+    deltas = _delta_paths(spark, root)
+    if deltas:
+        how = json.loads(_read_text(spark, f"{root}/_merge_on.json"))
+        stored = _merge_deltas(stored, deltas, how["keys"], how["version"])
+    return stored.drop("_bucket")

@@ -1,0 +1,318 @@
+"""Runs that break off between any two file operations, and publishers that overlap, lose nothing."""
+
+import shutil
+from datetime import datetime
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from cornerstore.sinks import files as sinks
+from cornerstore.streaming import history
+
+OPERATIONS = ("_rename", "_write_text", "_place_new", "delete_path")
+
+
+class Lost(Exception):
+    """The driver is gone."""
+
+
+def break_before(monkeypatch, step):
+    """The driver is lost before its ``step``-th file operation; the list tells which were done."""
+    done = []
+
+    def wrapped(name, real):
+        def call(*args):
+            if len(done) == step:
+                raise Lost(name)
+            done.append(name)
+            return real(*args)
+        return call
+
+    for name in OPERATIONS:
+        call = wrapped(name, getattr(sinks, name))
+        for module in (sinks, history):
+            if hasattr(module, name):
+                monkeypatch.setattr(module, name, call)
+    stage = history._stage
+
+    def staged(*args):
+        if len(done) == step:
+            raise Lost("stage")
+        done.append("stage")
+        return stage(*args)
+
+    monkeypatch.setattr(history, "_stage", staged)
+    return done
+
+
+def every_break(monkeypatch, folder, prepare, run):
+    """Yield a folder per place to break off: prepared alike, with ``run`` broken off there."""
+    prepare(f"{folder}/base")
+    step = 0
+    while True:
+        root = f"{folder}/broken-{step}"
+        shutil.copytree(f"{folder}/base", root)
+        with monkeypatch.context() as patched:
+            done = break_before(patched, step)
+            try:
+                run(root)
+            except Lost:
+                pass
+            else:
+                assert len(done) == step > 3
+                return
+        yield root
+        step += 1
+
+
+def rows(spark, *r):
+    return spark.createDataFrame(list(r), "order_id int, v string, n int")
+
+
+def state(df):
+    return sorted(map(tuple, df.collect()))
+
+
+OLD = [(k, "a", 5) for k in range(1, 9)]
+NEW = [(1, "b", 6), (2, "b", 4), (9, "b", 1)]
+AFTER = sorted([(1, "b", 6), (9, "b", 1), *OLD[1:]])
+
+
+def upsert(spark, root, batch, name, **more):
+    sinks.upsert_buckets(rows(spark, *batch), root, ["order_id"], name, 2, ["n"], **more)
+
+
+@pytest.mark.parametrize("instead", [False, True])
+def test_bucket_upsert_broken_off_anywhere(spark, folder, monkeypatch, instead):
+    """The batch is replayed, or another batch comes first."""
+    shape = rows(spark, OLD[0]).schema
+    for root in every_break(
+        monkeypatch, folder, lambda root: upsert(spark, root, OLD, "t1"), lambda root: upsert(spark, root, NEW, "t2")
+    ):
+        if instead:
+            upsert(spark, root, [(4, "c", 9)], "t3")
+        upsert(spark, root, NEW, "t2")
+        expected = [(4, "c", 9) if instead and r[0] == 4 else r for r in AFTER]
+        assert state(sinks.read_buckets(spark, root, shape)) == expected
+        assert not sinks._names(spark, f"{root}/staged/*")
+
+
+def test_merging_deltas_broken_off_anywhere(spark, folder, monkeypatch):
+    """Buckets with two waiting deltas are rewritten; without versions the order of the batches decides."""
+    shape = rows(spark, OLD[0]).schema
+
+    def batch(root, number, share):
+        sinks.upsert_buckets(rows(spark, (1, f"d{number}", number), (10 + number, "d", number)), root, ["order_id"], f"t{number}", 2, delta_share=share)
+
+    def prepare(root):
+        sinks.upsert_buckets(rows(spark, *OLD), root, ["order_id"], "t0", 2)
+        batch(root, 1, 100.0)
+        batch(root, 2, 100.0)
+        assert len(sinks._names(spark, f"{root}/deltas/*-*")) == 2
+
+    expected = sorted([(1, "d3", 3), (11, "d", 1), (12, "d", 2), (13, "d", 3), *OLD[1:]])
+    for root in every_break(monkeypatch, folder, prepare, lambda root: batch(root, 3, 0.0)):
+        before = state(sinks.read_buckets(spark, root, shape)) if sinks.path_exists(spark, f"{root}/deltas/*") else None
+        batch(root, 3, 0.0)
+        assert state(sinks.read_buckets(spark, root, shape)) == expected
+        assert before is None or {r[0] for r in before} <= {r[0] for r in expected}
+        assert not sinks._names(spark, f"{root}/deltas/*")
+
+
+def test_deltas_equal_merging_one_by_one(spark, folder):
+    """NULL versions, ties and late rows come out as if every batch had been merged at once."""
+    batches = [
+        [(1, "a", 5), (2, "a", None), (3, "a", 3)],
+        [(1, "b", 5), (2, "b", 9), (3, "b", 2), (4, "b", None), (5, "b", 1), (6, "b", 7)],
+        [(1, "c", None), (4, "c", 8), (5, "c", None), (6, "c", 7), (7, "c", 1)],
+        [(3, "d", 3), (5, "d", 0), (6, "d", 6), (7, "d", 2)],
+    ]
+    shape = rows(spark, (1, "a", 1)).schema
+    for version in (["n"], ["n", "v"], []):
+        at_once, waiting = f"{folder}/once-{len(version)}", f"{folder}/waits-{len(version)}"
+        for number, batch in enumerate(batches):
+            for root, share in ((at_once, 0.0), (waiting, 1e9)):
+                sinks.upsert_buckets(rows(spark, *batch), root, ["order_id"], f"t{number}", 4, version, delta_share=share)
+            assert state(sinks.read_buckets(spark, waiting, shape)) == state(sinks.read_buckets(spark, at_once, shape))
+        assert len(sinks._names(spark, f"{waiting}/deltas/*-*")) == 3 and not sinks._names(spark, f"{at_once}/deltas/*")
+
+
+def test_small_batch_writes_about_its_own_size(spark, folder):
+    """1 % of the keys, spread over all hash buckets, as a delta; many batches are merged in the end."""
+    table = spark.range(200_000).selectExpr("cast(id as int) order_id", "sha2(cast(id as string), 256) v", "1 n")
+    sinks.upsert_buckets(table, folder, ["order_id"], "t0", 8, ["n"])
+    whole = sinks._size(spark, f"{folder}/state")
+    untouched = {p: p.stat().st_mtime_ns for p in Path(folder, "state").rglob("*.parquet")}
+    seen = []
+    for number in range(1, 13):
+        part = table.filter(f"order_id % 100 = {number}").withColumn("v", F.reverse("v")).withColumn("n", F.lit(1 + number))
+        before = sinks._size(spark, folder)
+        sinks.upsert_buckets(part, folder, ["order_id"], f"t{number}", 8, ["n"])
+        waits = len(sinks._names(spark, f"{folder}/deltas/*-*"))
+        seen.append(waits)
+        if number == 1:
+            assert sinks._size(spark, folder) - before < 0.03 * whole
+            assert untouched == {p: p.stat().st_mtime_ns for p in Path(folder, "state").rglob("*.parquet")}
+        changed = sinks.read_buckets(spark, folder, table.schema).filter("n > 1").count()
+        assert changed == 2000 * number
+    assert seen[0] == 1 and max(seen) >= 5 and 0 in seen
+    assert sinks.read_buckets(spark, folder, table.schema).count() == 200_000
+
+
+def changes(spark, *events):
+    made = [(key, datetime(2026, 1, day), name, op, None) for key, day, name, op in events]
+    return spark.createDataFrame(made, "order_id string, updated_at timestamp, name string, operation string, _rescued_data string")
+
+
+def versions(spark, root):
+    return sorted((r.order_id, r.name, r["__START_AT"].day, r["__END_AT"] and r["__END_AT"].day) for r in history.read_history(spark, root).collect())
+
+
+FIRST = [("1", 1, "a", "INSERT"), ("2", 1, "b", "INSERT"), ("3", 2, "c", "INSERT"), ("4", 2, "d", "INSERT")]
+SECOND = [("1", 5, "A", "UPDATE"), ("2", 6, "b", "DELETE")]
+THIRD = [("3", 9, "C", "UPDATE"), ("1", 8, "AA", "UPDATE")]
+
+
+@pytest.mark.parametrize("instead", [False, True])
+def test_history_update_broken_off_anywhere(spark, folder, monkeypatch, instead):
+    """No stored change is lost, whether the batch is replayed or another batch comes first."""
+    def update(root, events, name):
+        history.update_history(changes(spark, *events), root, name, bucket_by=F.lit(0) + F.col("order_id").cast("int") % 2)
+
+    expected = [("1", "A", 5, None), ("1", "a", 1, 5), ("2", "b", 1, 6), ("3", "c", 2, None), ("4", "d", 2, None)]
+    if instead:
+        expected = sorted([("1", "A", 5, 8), ("1", "AA", 8, None), ("1", "a", 1, 5), ("2", "b", 1, 6), ("3", "C", 9, None), ("3", "c", 2, 9), ("4", "d", 2, None)])
+    for root in every_break(monkeypatch, folder, lambda root: update(root, FIRST, "t1"), lambda root: update(root, SECOND, "t2")):
+        if instead:
+            update(root, THIRD, "t3")
+        update(root, SECOND, "t2")
+        assert versions(spark, root) == expected
+        assert spark.read.parquet(f"{root}/changes/state").count() == len(FIRST + SECOND) + 2 * instead
+
+
+# Publications -----------------------------------------------------------------
+
+
+def publish_between(monkeypatch, at, other):
+    """Run ``other`` when the first publisher comes to its operation ``at``."""
+    real, calls = getattr(sinks, at), []
+
+    def call(*args):
+        calls.append(at)
+        if len(calls) == 1:
+            other()
+        return real(*args)
+
+    monkeypatch.setattr(sinks, at, call)
+
+
+@pytest.mark.parametrize("at", ["_commit_files", "_newest", "_place_new", "_write_text", "_fold"])
+def test_overlapping_publishers_keep_both_commits(spark, folder, monkeypatch, at):
+    """One publisher stands still anywhere in its commit while the other commits as a whole."""
+    sinks.publish_snapshots({"c": rows(spark, (0, "c", 0))}, folder, "p0")
+    one = sinks.stage_snapshots({"a": rows(spark, (1, "a", 1))}, folder, "p1")
+    two = sinks.stage_snapshots({"b": rows(spark, (2, "b", 2))}, folder, "p2")
+    with monkeypatch.context() as patched:
+        publish_between(patched, at, lambda: sinks.commit_snapshots(spark, folder, "p2", two))
+        sinks.commit_snapshots(spark, folder, "p1", one)
+    assert {name: state(sinks.read_snapshot(spark, folder, name)) for name in "abc"} == {
+        "a": [(1, "a", 1)], "b": [(2, "b", 2)], "c": [(0, "c", 0)],
+    }
+    assert all(sinks.is_published(spark, folder, f"p{n}") for n in range(3))
+    assert not sinks._names(spark, f"{folder}/manifest/_new-*")
+
+
+@pytest.mark.parametrize("rename", [False, True])
+def test_a_commit_never_replaces_another(spark, folder, monkeypatch, rename):
+    """By a hard link on a local disk, by a rename that fails elsewhere."""
+    if rename:
+        def place(path, text):
+            files, target = sinks._file_system(spark, path)
+            _, source = sinks._file_system(spark, f"{folder}/beside")
+            sinks._write_text(spark, f"{folder}/beside", text)
+            try:
+                sinks._rename_to_new(spark, source, target)
+            except Exception as error:
+                assert "AlreadyExists" in error.java_exception.getClass().getName()
+                return False
+            return True
+    else:
+        place = lambda path, text: sinks._place_new(spark, path, text)
+    assert place(f"{folder}/x.json", "one") and not place(f"{folder}/x.json", "two")
+    assert sinks._read_text(spark, f"{folder}/x.json") == "one"
+
+
+def test_killed_publisher_leaves_no_number_taken(spark, folder, monkeypatch):
+    paths = sinks.stage_snapshots({"a": rows(spark, (1, "a", 1))}, folder, "p1")
+    for step in range(2):
+        with monkeypatch.context() as patched, pytest.raises(Lost):
+            break_before(patched, step)
+            sinks.commit_snapshots(spark, folder, "p1", paths)
+        assert not sinks.is_published(spark, folder, "p1") and sinks.current_paths(spark, folder) == {}
+    sinks.commit_snapshots(spark, folder, "p1", paths)
+    assert state(sinks.read_snapshot(spark, folder, "a")) == [(1, "a", 1)]
+
+
+def test_history_of_many_commits_is_read_from_few_files(spark, folder):
+    paths = sinks.stage_snapshots({"a": rows(spark, (1, "a", 1))}, folder, "p0")
+    for n in range(70):
+        sinks.commit_snapshots(spark, folder, f"p{n}", paths)
+    files = sinks._names(spark, f"{folder}/manifest/*")
+    assert len(files) <= 2 * sinks.FOLD_EVERY + 3
+    assert all(sinks.is_published(spark, folder, f"p{n}") for n in range(70)) and not sinks.is_published(spark, folder, "p70")
+    assert sinks._last_commit(spark, folder)["number"] == 69
+    with pytest.raises(FileExistsError):
+        sinks.stage_snapshots({"a": rows(spark, (2, "b", 1))}, folder, "p0")
+
+
+# Datasets in parts ---------------------------------------------------------------
+
+
+def replace_keys(stored, new):
+    return new if stored is None else stored.join(new.select("order_id"), "order_id", "left_anti").select(*new.columns).unionByName(new)
+
+
+def test_only_touched_parts_get_new_files(spark, folder):
+    part = F.expr("order_id DIV 10")
+    table = spark.range(100).selectExpr("cast(id as int) order_id", "'a' v", "1 n")
+    sinks.merge_parts(table, folder, "t", "p1", part, replace_keys)
+    before = {p: p.stat().st_mtime_ns for p in Path(folder, "t").rglob("*.parquet")}
+    first = set(sinks.current_parts(spark, folder)["t"])
+    sinks.merge_parts(rows(spark, (95, "b", 2), (101, "b", 2)), folder, "t", "p2", part, replace_keys)
+    second = set(sinks.current_parts(spark, folder)["t"])
+    assert len(first & second) == 9 and len(second) == 11
+    assert all(p.stat().st_mtime_ns == at for p, at in before.items())
+    found = state(sinks.read_snapshot(spark, folder, "t"))
+    assert len(found) == 101 and [r for r in found if r[1] == "b"] == [(95, "b", 2), (101, "b", 2)]
+    # Nothing to merge, nothing published; a part that loses all its rows goes.
+    sinks.merge_parts(rows(spark, (1, "x", 1)).filter("false"), folder, "t", "p3", part, replace_keys)
+    assert sinks.published_as(spark, folder, "t") == "p2"
+    sinks.merge_parts(rows(spark, (101, "b", 2)), folder, "t", "p4", part, lambda stored, new: stored.filter("false"))
+    assert len(sinks.current_parts(spark, folder)["t"]) == 10 and sinks.read_snapshot(spark, folder, "t").count() == 100
+    sinks.expire_snapshots(spark, folder, "t", keep=1)
+    assert sinks.read_snapshot(spark, folder, "t").count() == 100
+
+
+def test_parts_of_no_rows_and_of_a_table_published_whole(spark, folder):
+    part = F.expr("order_id DIV 10")
+    sinks.merge_parts(rows(spark, (1, "x", 1)).filter("false"), folder, "e", "p1", part, replace_keys)
+    assert sinks.read_snapshot(spark, folder, "e").columns == ["order_id", "v", "n"]
+    assert sinks.read_snapshot(spark, folder, "e").count() == 0
+    sinks.merge_parts(rows(spark, (1, "x", 1)), folder, "e", "p2", part, replace_keys)
+    assert state(sinks.read_snapshot(spark, folder, "e")) == [(1, "x", 1)]
+    sinks.publish_snapshots({"w": rows(spark, (1, "x", 1), (22, "x", 1))}, folder, "p3")
+    sinks.merge_parts(rows(spark, (1, "y", 2)), folder, "w", "p4", part, replace_keys)
+    assert state(sinks.read_snapshot(spark, folder, "w")) == [(1, "y", 2), (22, "x", 1)]
+
+
+def test_parts_made_from_an_older_version_are_refused(spark, folder, monkeypatch):
+    part = F.expr("order_id DIV 10")
+    sinks.merge_parts(rows(spark, (1, "a", 1)), folder, "t", "p1", part, replace_keys)
+    other = lambda: sinks.merge_parts(rows(spark, (2, "b", 1)), folder, "t", "p2", part, replace_keys)
+    with monkeypatch.context() as patched:
+        publish_between(patched, "stage_snapshots", other)
+        with pytest.raises(sinks.StaleSnapshot):
+            sinks.merge_parts(rows(spark, (3, "c", 1)), folder, "t", "p3", part, replace_keys)
+    sinks.merge_parts(rows(spark, (3, "c", 1)), folder, "t", "p3", part, replace_keys)
+    assert state(sinks.read_snapshot(spark, folder, "t")) == [(1, "a", 1), (2, "b", 1), (3, "c", 1)]
