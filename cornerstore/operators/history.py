@@ -191,14 +191,23 @@ def check_snapshot(
     kept = compared.withColumn("valid_to", F.when(changed, now).otherwise(F.col("valid_to"))).select(
         *snapshot.columns
     )
+    fresh = start_check_snapshot(changed_rows(snapshot, current, key, checked), now)
+    return closed.unionByName(kept).unionByName(fresh)
+
+
+def changed_rows(snapshot: DataFrame, current: DataFrame, key: str, checked: Sequence[str]) -> DataFrame:
+    """Rows of ``current`` that no open version has with the same checked columns: new keys and changed ones.
+
+    Only the key, the checked columns and the end of the versions are read of the snapshot.
+    """
+    opened = snapshot.filter("valid_to IS NULL")
     before = opened.select(F.col(key).alias("_key"), F.struct(*checked).alias("_was"))
-    fresh = start_check_snapshot(
+    same = _unchanged("_was", "_now", checked)
+    return (
         current.withColumn("_now", F.struct(*checked))
         .join(before, (F.col(key) == F.col("_key")) & same, "left_anti")
-        .drop("_now"),
-        now,
+        .drop("_now")
     )
-    return closed.unionByName(kept).unionByName(fresh)
 
 
 def stamp_changes(

@@ -587,6 +587,12 @@ select order_id, {FINGERPRINT} as record_fingerprint, 'batch-1' as batch_id
 from clean where not (price >= 0 and quantity > 0 and city <> '')""",
     "snapshot_publish": f"with {LAKE} {_lake_latest('latest')} select * from latest",
     "bucket_upsert": f"with {MERGED} select * from merged",
+    "bucket_deltas": f"with {MERGED} select * from merged",
+    "parts_merge": f"with {LAKE}" + _lake_latest("target", CUT) + _lake_latest("newest")
+    + """, fresh as (select * from newest where updated_at > (select max(updated_at) from target))
+select * from target where order_id not in (select order_id from fresh)
+union all select * from fresh""",
+    "csv_seed": f"with {RAW} select order_id, product, quantity, updated_at, batch_id from raw where {CUT}",
     "table_append": f"with {LAKE} select order_id, product, updated_at, total_amount, category from lake",
     "table_replace": f"with {LAKE} {_lake_latest('latest')} " + DAILY.format(rows="latest"),
     "stream_parquet": f"""with {RAW} select order_id, customer_name, product, category, price, quantity, city,

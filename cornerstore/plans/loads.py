@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cornerstore.contracts import SALES_SCHEMA
 from cornerstore.operators.merge import merge_replace
 from cornerstore.operators.star import DIMENSIONS, build_fact, extend_dimension, members
-from cornerstore.sinks.files import commit_snapshots, current_path, is_published, read_snapshot, stage_snapshots
+from cornerstore.sinks.files import (
+    commit_snapshots, current_path, is_published, path_exists, read_snapshot, stage_snapshots,
+)
 from cornerstore.sinks.jdbc import Database, write_jdbc
 from cornerstore.sources.files import read_csv
 
@@ -16,6 +18,17 @@ def csv_to_jdbc(spark: SparkSession, path: str, database: Database, table: str,
     write_jdbc(read_csv(spark, path, SALES_SCHEMA), database, table, mode)
 
 
+def seed_csv(spark: SparkSession, path: str, columns: T.StructType, target: str) -> bool:
+    """Write the first version of a table from a CSV seed; True if there was none.
+
+    An existing table is left as it is, and the seed is not even read.
+    """
+    if path_exists(spark, f"{target}/_SUCCESS"):
+        return False
+    read_csv(spark, path, columns).write.mode("overwrite").parquet(target)
+    return True
+
+
 def load_star(spark: SparkSession, sales: DataFrame, root: str, load_id: str) -> dict[str, DataFrame]:
     """Extend the three dimensions by new members and append the fact rows, in one publication.
 

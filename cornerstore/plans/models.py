@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cornerstore.operators import checks, history, merge, metrics
-from cornerstore.sinks.files import current_path, publish_snapshots, read_snapshot
+from cornerstore.sinks.files import current_path, merge_parts, publish_snapshots, published_as, read_snapshot
 
 Ref = Callable[[str], DataFrame]
 
@@ -18,6 +18,9 @@ class Model:
     """``build(ref)`` gives the model's rows; ``tests(rows, ref)`` the offending rows per test name.
 
     A test named in ``warnings`` is counted and reported, but does not stop the run.
+    Incremental models and snapshots are kept in parts, and a build writes only the
+    parts that have changed rows: ranges of a growing key if ``part_by`` gives them as
+    a SQL expression (such as "order_id DIV 1000000"), else ``parts`` hash parts of the key.
     """
 
     name: str
@@ -27,6 +30,8 @@ class Model:
     checked: Sequence[str] = ()
     tests: Callable[[DataFrame, Ref], dict[str, DataFrame]] = field(default=lambda rows, ref: {})
     warnings: frozenset[str] = frozenset()
+    parts: int = 64
+    part_by: str | None = None
 
 
 def not_null(name: str, *columns: str) -> Callable[[DataFrame], dict[str, DataFrame]]:
@@ -117,6 +122,8 @@ def build_models(
     Tables and snapshots are published under ``root``; a model whose tests fail
     stops the run before later models are built, unless the test is a warning, which
     the result counts all the same. ``models`` lists a model after those it refers to.
+    A build that broke off is repeated under its ``run_id``: models that it has published
+    are read and tested, not built again.
     """
     moment = F.current_timestamp() if now is None else now
     rows: dict[str, DataFrame] = dict(sources)
@@ -144,14 +151,27 @@ def _materialize(
         return built
     if model.kind not in ("table", "incremental", "snapshot"):
         raise ValueError(f"unknown kind of model: {model.kind}")
-    if model.kind != "table" and current_path(spark, root, model.name):
-        stored = read_snapshot(spark, root, model.name)
-        built = (
-            merge.merge_incremental(stored, built, [model.key])
-            if model.kind == "incremental"
-            else history.check_snapshot(stored, built, model.key, model.checked, now)
-        )
-    elif model.kind == "snapshot":
-        built = history.start_check_snapshot(built, now)
-    publish_snapshots({model.name: built}, root, run_id)
+    if published_as(spark, root, model.name) != run_id:
+        if model.kind == "table":
+            publish_snapshots({model.name: built}, root, run_id)
+        else:
+            stored = read_snapshot(spark, root, model.name) if current_path(spark, root, model.name) else None
+            rows, combine = _changed(model, stored, built, now)
+            part = F.expr(model.part_by) if model.part_by else F.pmod(F.xxhash64(model.key), F.lit(model.parts))
+            merge_parts(rows, root, model.name, run_id, part, combine)
     return read_snapshot(spark, root, model.name)
+
+
+def _changed(model: Model, stored: DataFrame | None, built: DataFrame, now: Column):
+    """The built rows that the stored model has not, and how they are merged into their parts."""
+    if model.kind == "incremental":
+        rows = built if stored is None else merge.newer_than_target(built, stored)
+        return rows, lambda there, new: new if there is None else merge.merge_replace(there, new, [model.key])
+    rows = built if stored is None else history.changed_rows(stored, built, model.key, model.checked)
+
+    def combine(there: DataFrame | None, new: DataFrame) -> DataFrame:
+        if there is None:
+            return history.start_check_snapshot(new, now)
+        return history.check_snapshot(there, new, model.key, model.checked, now)
+
+    return rows, combine

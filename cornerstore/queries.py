@@ -664,6 +664,41 @@ def bucket_upsert(spark, folder):
     return sinks.read_buckets(spark, root, lake.schema)
 
 
+@query
+def bucket_deltas(spark, folder):
+    """The same MERGE in three batches of which two wait as deltas, merged while reading."""
+    root = shared_folder(spark, "deltas")
+    lake = _lake(spark, folder)
+    batches = (lake.filter("quantity >= 25"), *(lake.filter(f"quantity < 25 AND order_id % 2 = {k}") for k in range(2)))
+    for number, batch in enumerate(batches):
+        sinks.upsert_buckets(
+            _lake_latest(batch), root, ["order_id"], f"batch-{number}", 16, ["updated_at"], delta_share=1e9
+        )
+    return sinks.read_buckets(spark, root, lake.schema)
+
+
+@query
+def parts_merge(spark, folder):
+    """An incremental model kept in ranges of the key: later rows replace and insert, late ones are skipped."""
+    root = shared_folder(spark, "parts")
+    lake = _lake(spark, folder)
+    model = models.Model("sales", lambda ref: ref("rows"), "incremental", "order_id", part_by="order_id DIV 32768")
+    for run, rows in (("one", lake.filter(CUT)), ("two", lake)):
+        models.build_models(spark, [model], {"rows": _lake_latest(rows)}, root, run)
+    return sinks.read_snapshot(spark, root, "sales")
+
+
+@query
+def csv_seed(spark, folder):
+    """A table seeded from CSV; the second seed finds it and leaves it as it is."""
+    root = shared_folder(spark, "csv-seed")
+    lines = order_lines(spark, folder).select("order_id", "product", "quantity", "updated_at", "batch_id")
+    for name, rows in (("first", lines.filter(CUT)), ("second", lines)):
+        sinks.write_csv(rows, f"{root}/{name}")
+        loads.seed_csv(spark, f"{root}/{name}", rows.schema, f"{root}/table")
+    return spark.read.parquet(f"{root}/table")
+
+
 @query
 def table_append(spark, folder):
     """Create on the first write, append on the second, then read by name."""
