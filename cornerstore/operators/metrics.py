@@ -117,24 +117,65 @@ def kpis_in_one_pass(silver: DataFrame, refreshed_at=None, unique_orders=False)
 
 
 def daily_category_sales(orders: DataFrame, unique_orders: bool = False) -> DataFrame:
-    count = F.count("order_id") if unique_orders else F.count_distinct("order_id")
-    return orders.groupBy("order_date", "category").agg(
-        F.sum("total_amount").cast("decimal(20,2)").alias("total_revenue"),
-        count.alias("order_count"),
-        F.sum("quantity").alias("units_sold"),
-    )
+    revenue = F.sum("total_amount").cast("decimal(20,2)").alias("total_revenue")
+    return _daily(orders, ["order_date", "category"], unique_orders, revenue)
+
+
+STORE_KEYS = ("order_date", "store_id", "category")
 
 
 def daily_store_sales(orders: DataFrame, unique_orders: bool = False) -> DataFrame:
+    dated = orders.withColumn("order_date", F.to_date("order_timestamp"))
+    return _daily(dated, STORE_KEYS, unique_orders, F.round(F.sum("total_amount"), 2).alias("gross_sales"))
+
+
+def _daily(orders: DataFrame, keys: Sequence[str], unique_orders: bool, money: Column) -> DataFrame:
     count = F.count("order_id") if unique_orders else F.count_distinct("order_id")
+    return orders.groupBy(*keys).agg(count.alias("order_count"), F.sum("quantity").alias("units_sold"), money)
+
+
+#: What daily sales are made of: sums that orders can be added to and taken from again.
+STORE_SUMS = ("orders", "units", "units_known", "amount", "amounts_known")
+
+
+def signed_store_sales(before: DataFrame | None, after: DataFrame) -> DataFrame:
+    """Changes of the daily sums: orders of ``after`` come in, those of ``before`` go out.
+
+    Both hold one row per order. What is the same on both sides cancels out, and groups without a
+    change are left away.
+    """
+    signed = after.withColumn("_sign", F.lit(1))
+    if before is not None:
+        signed = before.withColumn("_sign", F.lit(-1)).unionByName(signed)
+    known = lambda c: F.when(F.col(c).isNotNull(), F.col("_sign"))
     return (
-        orders.withColumn("order_date", F.to_date("order_timestamp"))
-        .groupBy("order_date", "store_id", "category")
+        signed.withColumn("order_date", F.to_date("order_timestamp"))
+        .groupBy(*STORE_KEYS)
         .agg(
-            count.alias("order_count"),
-            F.sum("quantity").alias("units_sold"),
-            F.round(F.sum("total_amount"), 2).alias("gross_sales"),
+            F.sum(F.when(F.col("order_id").isNotNull(), F.col("_sign"))).alias("orders"),
+            F.sum(F.col("quantity").cast("long") * F.col("_sign")).alias("units"), F.sum(known("quantity")).alias("units_known"),
+            F.sum(F.when(F.col("_sign") > 0, F.col("total_amount")).otherwise(-F.col("total_amount"))).alias("amount"),
+            F.sum(known("total_amount")).alias("amounts_known"),
+            F.sum("_sign").alias("n_rows"),
         )
+        .na.fill(0)
+        .filter(" OR ".join(f"{name} <> 0" for name in (*STORE_SUMS, "n_rows")))
+    )
+
+
+def add_store_sales(sums: DataFrame | None, changes: DataFrame) -> DataFrame:
+    """The daily sums after the changes; groups that have lost their last row are gone."""
+    both = changes if sums is None else sums.unionByName(changes)
+    kinds = {f.name: f.dataType for f in (changes if sums is None else sums).schema}
+    total = [F.sum(name).cast(kinds[name]).alias(name) for name in (*STORE_SUMS, "n_rows")]
+    return both.groupBy(*STORE_KEYS).agg(*total).filter("n_rows <> 0")
+
+
+def store_sales_of(sums: DataFrame) -> DataFrame:
+    """Daily sales from their sums, as ``daily_store_sales`` gives them."""
+    return sums.select(
+        *STORE_KEYS, F.col("orders").alias("order_count"), F.when(F.col("units_known") > 0, F.col("units")).alias("units_sold"),
+        F.when(F.col("amounts_known") > 0, F.round("amount", 2)).alias("gross_sales"),
     )
 
 

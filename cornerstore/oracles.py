@@ -624,9 +624,14 @@ select * exclude (last_refreshed_at) from gold""",
     "lakehouse_silver": f"with {LAKE_RUN} select * from lakehouse",
     "lakehouse_restart": f"with {LAKE} {_lake_latest('latest')} select * from latest",
     "lakehouse_gold": f"with {LAKE_RUN} " + DAILY.format(rows="lakehouse"),
+    "cdc_history_late": f"with {HISTORY} select * from history",
     "cdc_daily_sales": f"""with {HISTORY}
 select cast(order_timestamp as date) as order_date, store_id, category, count(distinct order_id) as order_count,
   cast(sum(quantity) as bigint) as units_sold, cast(sum(total_amount) as decimal(25,2)) as gross_sales
+from history where "__END_AT" is null group by 1, 2, 3""",
+    "cdc_daily_sales_late": f"""with {HISTORY}
+select cast(order_timestamp as date) as order_date, store_id, category, count(distinct order_id) as order_count,
+  cast(sum(quantity) as bigint) as units_sold, cast(sum(total_amount) as decimal(25,2)) as gross_sales
 from history where "__END_AT" is null group by 1, 2, 3""",
     "model_graph": f"with {FCT}, dim as ({DIM_PRODUCT.format(rows='late')}) " + _mart("fct", "dim"),
     "model_tests": MODEL_TESTS,

@@ -30,7 +30,7 @@ class Model:
     checked: Sequence[str] = ()
     tests: Callable[[DataFrame, Ref], dict[str, DataFrame]] = field(default=lambda rows, ref: {})
     warnings: frozenset[str] = frozenset()
-    parts: int = 64
+    parts: int = 16
     part_by: str | None = None
 
 

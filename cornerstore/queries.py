@@ -954,6 +954,33 @@ def cdc_daily_sales(spark, folder):
     return sinks.read_snapshot(spark, f"{_cdc(spark, folder)}/published", "gold_daily_sales")
 
 
+def _cdc_late(spark, folder) -> str:
+    """Two publications, the earlier events coming in last."""
+
+    def run(root):
+        events = _event_messages(spark, folder)
+        early = F.get_json_object("value", "$.updated_at") < "2024-01-15"
+        for name, part in (("one", events.filter(~early)), ("two", events.filter(early))):
+            sinks.write_messages(part, f"{root}/landing")
+            cdc.ingest(spark, streams.json_events(spark, f"{root}/landing", ORDER_EVENT_SCHEMA), root, NTZ)
+            cdc.publish(spark, root, name, [F.desc("order_timestamp")])
+
+    return _once(spark, folder, "cdc-late", run)
+
+
+@query
+def cdc_daily_sales_late(spark, folder):
+    """Daily sales after a second publication that took orders out of their days and put them into others."""
+    return sinks.read_snapshot(spark, f"{_cdc_late(spark, folder)}/published", "gold_daily_sales")
+
+
+@query
+def cdc_history_late(spark, folder):
+    """The history of the same two publications."""
+    rows = sinks.read_snapshot(spark, f"{_cdc_late(spark, folder)}/published", "silver_orders_history")
+    return rows.drop("_ingested_at", "_source_file")
+
+
 def _models(spark, folder) -> tuple[str, DataFrame]:
     """The model graph built twice: on the history of the early events, then on all of it."""
     changes = _changes(spark, folder)

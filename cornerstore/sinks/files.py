@@ -272,6 +272,7 @@ def _fold(spark: SparkSession, root: str) -> None:
 def commit_snapshots(
     spark: SparkSession, root: str, publication_id: str, paths: Mapping[str, str], append: Sequence[str] = (),
     parts: Mapping[str, Mapping[str, str | None]] | None = None, based_on: Mapping[str, int | None] | None = None,
+    facts: Mapping[str, object] | None = None,
 ) -> None:
     """Make staged datasets current, all at once, by one numbered file that must not exist yet.
 
@@ -282,6 +283,7 @@ def commit_snapshots(
     ``append`` gain a part and keep the ones they have; of those in ``parts`` (path by
     part, None for one that is empty now) the named parts are replaced. ``based_on`` has the commit numbers of datasets
     that the staged rows were made from: where one has changed, ``StaleSnapshot`` is raised.
+    ``facts`` are small values, such as the input used up so far, that become current along.
     """
     for _ in range(COMMIT_ATTEMPTS):
         known = _commit_files(spark, root)
@@ -300,7 +302,10 @@ def commit_snapshots(
             datasets[name] = {
                 "publication_id": publication_id, "number": number, "paths": [kept[k] for k in sorted(kept)], "parts": kept,
             }
-        commit = {"number": number, "parent": parent.get("number"), "publication_id": publication_id, "datasets": datasets}
+        commit = {
+            "number": number, "parent": parent.get("number"), "publication_id": publication_id, "datasets": datasets,
+            "facts": {**parent.get("facts", {}), **(facts or {})},
+        }
         if _place_new(spark, f"{root}/manifest/{number:012d}.json", json.dumps(commit) + "\n"):
             _fold(spark, root)
             return
@@ -382,32 +387,63 @@ def merge_parts(
     repeated under its id.
     """
     spark = rows.sparkSession
-    before = _last_commit(spark, root)["datasets"].get(name)
+    seen = version_of(spark, root, name)
+    if seen is None:
+        staged = stage_parts(merge(None, rows).withColumn("_part", part.cast("int")), root, name, publication_id, ())
+        commit_snapshots(spark, root, publication_id, {}, parts={name: staged}, based_on={name: None})
+        return
     arrived = f"{root}/{name}/_incoming-{publication_id}"
     rows.withColumn("_part", part.cast("int")).write.mode("overwrite").parquet(arrived)
     incoming = spark.read.parquet(arrived)
     # One small integer per touched part comes back to the driver.
     touched = [row[0] for row in incoming.select("_part").distinct().collect()]
-    stored = None
-    if before and "parts" in before:
-        paths = [before["parts"][str(k)] for k in touched if str(k) in before["parts"]]
-        shape = spark.read.parquet(before["paths"][0]).schema if before["paths"] else rows.schema
-        stored = spark.read.schema(shape).parquet(*paths) if paths else spark.createDataFrame([], shape)
-    elif before:  # published whole until now: every part is new
-        stored = spark.read.parquet(*before["paths"])
-    if touched or stored is None:
+    in_parts = has_parts(spark, root, name)
+    if touched or not in_parts:  # one that was published whole until now gets parts
+        stored = read_parts(spark, root, name, touched) if in_parts else read_snapshot(spark, root, name)
         merged = merge(stored, incoming.drop("_part")).withColumn("_part", part.cast("int"))
-        staged = stage_snapshots({name: merged}, root, publication_id, {name: ["_part"]})[name]
-        written = {str(k): None for k in touched}
-        written |= {text.removeprefix("_part="): f"{staged}/{text}" for text in _names(spark, f"{staged}/_part=*")}
-        if stored is None and not any(written.values()):  # a first version without rows still has its columns
-            written["none"] = stage_snapshots({name: merged.drop("_part")}, root, publication_id)[name]
-        commit_snapshots(
-            spark, root, publication_id, {}, parts={name: written}, based_on={name: before["number"] if before else None}
-        )
+        staged = stage_parts(merged, root, name, publication_id, touched if in_parts else ())
+        commit_snapshots(spark, root, publication_id, {}, parts={name: staged}, based_on={name: seen})
     delete_path(spark, arrived)
 
 
+def version_of(spark: SparkSession, root: str, name: str) -> int | None:
+    """The commit number of a dataset's current version, None before the first."""
+    return _last_commit(spark, root)["datasets"].get(name, {}).get("number")
+
+
+def facts_of(spark: SparkSession, root: str) -> dict:
+    return _last_commit(spark, root).get("facts", {})
+
+
+def has_parts(spark: SparkSession, root: str, name: str) -> bool:
+    return "parts" in _last_commit(spark, root)["datasets"].get(name, {})
+
+
+def read_parts(spark: SparkSession, root: str, name: str, parts: Sequence[int]) -> DataFrame:
+    """The current rows of the named parts alone; other parts are neither listed nor read."""
+    dataset = _last_commit(spark, root)["datasets"][name]
+    paths = [dataset["parts"][str(k)] for k in parts if str(k) in dataset["parts"]]
+    if paths:
+        return spark.read.parquet(*paths)
+    return spark.read.parquet(dataset["paths"][0]).filter("false")
+
+
+def stage_parts(
+    rows: DataFrame, root: str, name: str, publication_id: str, touched: Sequence[int]
+) -> dict[str, str | None]:
+    """Write rows (with _part) beside the published ones; path by part, None for touched parts without rows.
+
+    Where none has rows, an empty part keeps the dataset's columns.
+    """
+    spark = rows.sparkSession
+    staged = stage_snapshots({name: rows}, root, publication_id, {name: ["_part"]})[name]
+    paths: dict[str, str | None] = {str(k): None for k in touched}
+    paths |= {text.removeprefix("_part="): f"{staged}/{text}" for text in _names(spark, f"{staged}/_part=*")}
+    if not any(paths.values()) and (touched or version_of(spark, root, name) is None):
+        paths["none"] = stage_snapshots({name: rows.drop("_part")}, root, publication_id)[name]
+    return paths
+
+
 def seed_if_absent(df: DataFrame, path: str) -> None:
     """Write a first version of a table; an existing table is left as it is."""
     df.write.mode("ignore").parquet(path)
