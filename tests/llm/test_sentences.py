@@ -8,11 +8,52 @@ from cornerstore.llm.frames import table
 LIMITS = (sentences.MIN_WORDS, sentences.MIN_SENTENCES, sentences.LONG_SENTENCE)
 
 
-def brute_force(docs, min_words=40, min_sentences=2, long_sentence=50):
+def plain_sentences(text):
+    """(start, end, words) of the sentences, sign by sign, without the operator's pattern."""
+    pieces, start, i = [], 0, 0
+    while i < len(text):
+        j = i
+        if text[i] in ".!?":
+            while j < len(text) and text[j] in ".!?":
+                j += 1
+            k = j
+            while k < len(text) and text[k].isspace():
+                k += 1
+            i, ends = (k, True) if k > j else (j, False)
+        elif text[i] in "。！？":
+            while j < len(text) and text[j] in "。！？":
+                j += 1
+            while j < len(text) and text[j].isspace():
+                j += 1
+            i, ends = j, True
+        elif text[i] == "\n":
+            while j < len(text) and text[j].isspace():
+                j += 1
+            i, ends = j, True
+        else:
+            i, ends = i + 1, False
+        if ends:
+            pieces.append((start, i))
+            start = i
+    pieces.append((start, len(text)))
+    out = []
+    for a, b in pieces:
+        words = text[a:b].lower().split()
+        if words:
+            out.append([a, b, words])
+        elif out:
+            out[-1][1] = b
+    if out:
+        out[0][0], out[-1][1] = 0, len(text)
+    return out
+
+
+def brute_force(docs, min_words=10, min_sentences=2, long_sentence=50):
     """Text and removed sentences per row, from all runs of all documents compared as tuples of words."""
     def cut(text):
-        edges, counts, texts = sentences.sentence_bounds(text or "")
-        return edges, counts, [t.decode() for t in texts]
+        found = plain_sentences(text or "")
+        edges = [s[0] for s in found] + [found[-1][1]] if found else []
+        return edges, [len(s[2]) for s in found], [" ".join(s[2]) for s in found]
 
     def sufficient(counts, a, b):
         n = b - a
