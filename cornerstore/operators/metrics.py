@@ -134,41 +134,39 @@ def _daily(orders: DataFrame, keys: Sequence[str], unique_orders: bool, money: C
     return orders.groupBy(*keys).agg(count.alias("order_count"), F.sum("quantity").alias("units_sold"), money)
 
 
-#: What daily sales are made of: sums that orders can be added to and taken from again.
-STORE_SUMS = ("orders", "units", "units_known", "amount", "amounts_known")
+def signed_sums(before: DataFrame | None, after: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Changes of the sums per group that sales KPIs are made of: orders of ``after`` come in, those of ``before`` go out.
 
-
-def signed_store_sales(before: DataFrame | None, after: DataFrame) -> DataFrame:
-    """Changes of the daily sums: orders of ``after`` come in, those of ``before`` go out.
-
-    Both hold one row per order. What is the same on both sides cancels out, and groups without a
-    change are left away.
+    Both hold one row per order. What is the same on both sides cancels out, and
+    groups without a change are left away. The sums can be added to and taken from; the counts
+    of known values tell when a sum over nothing but NULL has to be NULL again.
     """
     signed = after.withColumn("_sign", F.lit(1))
     if before is not None:
         signed = before.withColumn("_sign", F.lit(-1)).unionByName(signed)
-    known = lambda c: F.when(F.col(c).isNotNull(), F.col("_sign"))
-    return (
-        signed.withColumn("order_date", F.to_date("order_timestamp"))
-        .groupBy(*STORE_KEYS)
-        .agg(
-            F.sum(F.when(F.col("order_id").isNotNull(), F.col("_sign"))).alias("orders"),
-            F.sum(F.col("quantity").cast("long") * F.col("_sign")).alias("units"), F.sum(known("quantity")).alias("units_known"),
-            F.sum(F.when(F.col("_sign") > 0, F.col("total_amount")).otherwise(-F.col("total_amount"))).alias("amount"),
-            F.sum(known("total_amount")).alias("amounts_known"),
-            F.sum("_sign").alias("n_rows"),
-        )
-        .na.fill(0)
-        .filter(" OR ".join(f"{name} <> 0" for name in (*STORE_SUMS, "n_rows")))
+    known = lambda c: F.sum(F.when(F.col(c).isNotNull(), F.col("_sign")))
+    sums = signed.groupBy(*keys).agg(
+        known("order_id").alias("orders"),
+        F.sum(F.col("quantity").cast("long") * F.col("_sign")).alias("units"), known("quantity").alias("units_known"),
+        F.sum(F.when(F.col("_sign") > 0, F.col("total_amount")).otherwise(-F.col("total_amount"))).alias("amount"),
+        known("total_amount").alias("amounts_known"), F.sum("_sign").alias("n_rows"),
     )
+    return sums.na.fill(0, list(SUMS)).filter(" OR ".join(f"{name} <> 0" for name in SUMS))
 
 
-def add_store_sales(sums: DataFrame | None, changes: DataFrame) -> DataFrame:
-    """The daily sums after the changes; groups that have lost their last row are gone."""
+SUMS = ("orders", "units", "units_known", "amount", "amounts_known", "n_rows")
+
+
+def add_sums(sums: DataFrame | None, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The sums after the changes; groups that have lost their last row are gone."""
     both = changes if sums is None else sums.unionByName(changes)
     kinds = {f.name: f.dataType for f in (changes if sums is None else sums).schema}
-    total = [F.sum(name).cast(kinds[name]).alias(name) for name in (*STORE_SUMS, "n_rows")]
-    return both.groupBy(*STORE_KEYS).agg(*total).filter("n_rows <> 0")
+    return both.groupBy(*keys).agg(*(F.sum(name).cast(kinds[name]).alias(name) for name in SUMS)).filter("n_rows <> 0")
+
+
+def signed_store_sales(before: DataFrame | None, after: DataFrame) -> DataFrame:
+    dated = [None if orders is None else orders.withColumn("order_date", F.to_date("order_timestamp")) for orders in (before, after)]
+    return signed_sums(*dated, STORE_KEYS)
 
 
 def store_sales_of(sums: DataFrame) -> DataFrame:
@@ -179,6 +177,43 @@ def store_sales_of(sums: DataFrame) -> DataFrame:
     )
 
 
+#: The finest groups that all KPI datasets can be made from.
+CELL_KEYS = ("category", "city", "product", "customer_name")
+
+
+def kpis_of_cells(cells: DataFrame, refreshed_at: Column | None = None) -> dict[str, DataFrame]:
+    """The KPI datasets from sums per cell, as the functions above give them from one row per order.
+
+    A customer counts in a group as long as one of its cells there has orders.
+    """
+    stamp = F.current_timestamp() if refreshed_at is None else refreshed_at
+    amount, known = F.sum("amount"), F.sum("amounts_known")
+    sums = [
+        F.when(known > 0, amount).cast("decimal(20,2)").alias("total_revenue"),
+        F.sum("orders").cast("long").alias("order_count"),
+        F.when(F.sum("units_known") > 0, F.sum("units")).cast("long").alias("units_sold"),
+        F.when(known > 0, amount / known).cast("decimal(22,6)").cast("decimal(20,2)").alias("average_order_value"),
+    ]
+    names = ["total_revenue", "order_count", "units_sold", "average_order_value", "distinct_customers"]
+
+    def per(*keys: str) -> DataFrame:
+        customers = F.count_distinct("customer_name").cast("long").alias("distinct_customers")
+        return cells.groupBy(*keys).agg(*sums, customers).withColumn("last_refreshed_at", stamp)
+
+    overall = per().select(F.lit(OVERALL_SCOPE).alias("metric_scope"), *names, "last_refreshed_at")
+    customer = cells.filter("customer_name IS NOT NULL").groupBy("customer_name").agg(
+        *sums, F.lit(1).cast("long").alias("distinct_customers"),
+        F.count_distinct("product").cast("long").alias("distinct_products"),
+    )
+    return {
+        "overall_sales": overall, "category_sales": per("category"), "city_sales": per("city"),
+        "product_sales": per("product", "category"),
+        "customer_sales": customer.withColumn("last_refreshed_at", stamp).select(
+            "customer_name", *names, "last_refreshed_at", "distinct_products"
+        ),
+    }
+
+
 def mart_daily_sales(fact: DataFrame, products: DataFrame, unique_orders: bool = False) -> DataFrame:
     """Daily sales per store and product category, the category from the product dimension."""
     count = F.count("order_id") if unique_orders else F.count_distinct("order_id")

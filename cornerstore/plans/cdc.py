@@ -103,7 +103,7 @@ def publish(
         # One small integer per touched month.
         months = [row[0] for row in moved.select("_part").distinct().collect()]
         there = None if seen[SUMS] is None else read_parts(spark, published, SUMS, months)
-        sums = metrics.add_store_sales(there, moved.drop("_part")).withColumn("_part", month)
+        sums = metrics.add_sums(there, moved.drop("_part"), metrics.STORE_KEYS).withColumn("_part", month)
         sums = staged(SUMS, sums, months).withColumn("_part", month)
         staged(DAILY, metrics.store_sales_of(sums).withColumn("_part", month), months)
     commit_snapshots(spark, published, publication_id, {}, parts=parts, based_on=seen, facts={"log": now})

@@ -419,6 +419,11 @@ def has_parts(spark: SparkSession, root: str, name: str) -> bool:
     return "parts" in _last_commit(spark, root)["datasets"].get(name, {})
 
 
+def part_paths(spark: SparkSession, root: str, name: str) -> dict[str, str]:
+    """Where each current part of a dataset lies."""
+    return dict(_last_commit(spark, root)["datasets"].get(name, {}).get("parts", {}))
+
+
 def read_parts(spark: SparkSession, root: str, name: str, parts: Sequence[int]) -> DataFrame:
     """The current rows of the named parts alone; other parts are neither listed nor read."""
     dataset = _last_commit(spark, root)["datasets"][name]

@@ -98,9 +98,9 @@ def test_sums_with_unknown_amounts(spark):
     old = spark.createDataFrame([(1, "2026-01-01", "S", "a", 1, None), (2, None, None, "a", 2, Decimal(5)), (3, "2026-01-01", "S", "b", 3, Decimal(7))], columns)
     new = spark.createDataFrame([(1, "2026-01-01", "S", "a", 1, None), (2, None, None, "a", None, Decimal(6)), (4, "2026-01-02", "S", "b", 1, Decimal(2))], columns)
     plain = lambda orders: rows(metrics.daily_store_sales(orders).select(*metrics.STORE_KEYS, "order_count", "units_sold", "gross_sales"))
-    sums = metrics.add_store_sales(None, metrics.signed_store_sales(None, old))
+    sums = metrics.add_sums(None, metrics.signed_store_sales(None, old), metrics.STORE_KEYS)
     assert rows(metrics.store_sales_of(sums)) == plain(old)
-    assert rows(metrics.store_sales_of(metrics.add_store_sales(sums, metrics.signed_store_sales(old, new)))) == plain(new)
+    assert rows(metrics.store_sales_of(metrics.add_sums(sums, metrics.signed_store_sales(old, new), metrics.STORE_KEYS))) == plain(new)
     assert metrics.signed_store_sales(old, old).count() == 0
 
 

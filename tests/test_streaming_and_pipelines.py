@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cornerstore.contracts import ORDER_EVENT_SCHEMA, SALES_SCHEMA
 from cornerstore.functions.messages import RESCUED, parse_with_rescue
-from cornerstore.operators import checks, history
+from cornerstore.operators import checks, history, metrics
 from cornerstore.operators.watermark import Watermark, load_watermark
 from cornerstore.plans import cdc, lakehouse, loads, medallion, models
 from cornerstore.schemas import schema
@@ -502,3 +502,72 @@ def test_seed_from_csv(spark, folder):
         __import__("pathlib").Path(folder, "seed.csv").write_text(text)
         assert loads.seed_csv(spark, f"{folder}/seed.csv", columns, f"{folder}/t") is wanted
     assert sorted(map(tuple, spark.read.parquet(f"{folder}/t").collect())) == [(1, "a"), (2, None)]
+
+
+def gold_rows(spark, layout):
+    return {name: sorted(map(tuple, df.drop("last_refreshed_at").collect()), key=str) for name, df in medallion.read_gold(spark, layout).items()}
+
+
+def plain_gold(spark, layout):
+    """The same datasets from all of Silver by the plain aggregates."""
+    silver = medallion.read_silver(spark, layout)
+    plain = medallion.kpi_datasets(silver)
+    plain["top_products"] = metrics.rank_products(plain["product_sales"])
+    wanted = medallion.read_gold(spark, layout)
+    return {name: sorted(map(tuple, plain[name].select(*wanted[name].columns).drop("last_refreshed_at").collect()), key=str) for name in wanted}
+
+
+def moved(day, *changes):
+    """Source rows of a later day: order, customer, product, category, price, quantity, city."""
+    return [(*c[:4], c[4], c[5], c[6], "2026-08-01", f"2026-08-{day:02d} 00:00:00") for c in changes]
+
+
+@pytest.mark.parametrize("ranges", [None, "order_id DIV 2"])
+def test_gold_follows_silver_by_changed_orders(spark, folder, ranges):
+    """Orders change every field; customers and products go down to nothing and come back."""
+    layout = medallion.Layout(folder, bucket_by=ranges)
+    batches = [
+        [*FIRST, (8, None, "Lamp", "Furniture", "1", 3, "Pune", "2026-08-01", "2026-08-03 00:00:00")],
+        moved(10, (1, "Asha", "Phone", "Electronics", "10", 3, "Delhi"), (2, "Nina", "Desk", "Furniture", "1", 1, "Pune"), (9, "Zoe", "Lamp", "Home", "5", 1, "Pune")),
+        moved(20, (1, "Ravi", "Phone", "Toys", "0.01", 7, "Delhi"), (9, "Ravi", "Lamp", "Home", "5", 2, "Pune"), (3, "Ravi", "Lamp", "Home", "3.33", 1, "Pune")),
+    ]
+    source_rows, files = [], {}
+    for number, batch in enumerate(batches):
+        source_rows += batch
+        assert medallion.run(spark, source(spark, *source_rows), layout)["status"] == "success"
+        assert gold_rows(spark, layout) == plain_gold(spark, layout)
+        now = built_parts(folder, "gold/sales_cells")
+        assert all(now[p] == at for p, at in files.items())
+        files = now
+    assert not sinks._names(spark, f"{layout.changes}/batch_id=*")
+    medallion.aggregate(spark, layout, "again", rebuild=True)
+    assert gold_rows(spark, layout) == plain_gold(spark, layout)
+
+
+def test_gold_after_runs_that_broke_off(spark, folder, monkeypatch):
+    """Changed orders are noted before Silver changes, and used once."""
+    layout = medallion.Layout(folder)
+    medallion.run(spark, source(spark, *FIRST), layout)
+    rows = source(spark, *FIRST, *moved(10, (1, "Zoe", "Phone", "Toys", "10", 3, "Delhi"), (7, "Asha", "Phone", "Toys", "1", 1, "Pune")))
+
+    def lost(*args, **more):
+        raise OSError("lost")
+
+    for name in ("publish_snapshots", "stage_parts", "commit_snapshots", "delete_path", "commit_watermark"):
+        with monkeypatch.context() as patched, pytest.raises(OSError):
+            patched.setattr(medallion, name, lost)
+            medallion.run(spark, rows, layout)
+    assert medallion.run(spark, rows, layout)["status"] == "success"
+    assert gold_rows(spark, layout) == plain_gold(spark, layout)
+    assert medallion.run(spark, rows, layout)["status"] == medallion.NO_CHANGES
+
+
+def test_gold_does_not_hide_a_silver_changed_by_hand(spark, folder):
+    layout = medallion.Layout(folder)
+    medallion.run(spark, source(spark, *FIRST), layout)
+    silver = sinks.read_snapshot(spark, layout.silver, "retail_sales")
+    sinks.publish_snapshots({"retail_sales": silver.filter("order_id <> 1")}, layout.silver, "by-hand")
+    with pytest.raises(checks.QualityError, match="differs from Silver"):
+        medallion.aggregate(spark, layout, "g2")
+    medallion.aggregate(spark, layout, "g3", rebuild=True)
+    assert gold_rows(spark, layout) == plain_gold(spark, layout)
