@@ -1,6 +1,9 @@
 """Every registered query against its SQL counterpart over whole tables."""
 
 import os
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -31,3 +34,13 @@ def test_query_equals_sql(spark, tables, name):
 
 def test_entry_runs(spark):
     assert entry.entry(spark).count() == 6
+
+
+@pytest.mark.parametrize("missing", ["xxhash", "public_tokenizers", "corpus_pipeline", "cornerstore.llm"])
+def test_entry_without_optional_modules(missing):
+    """The core queries are there whatever the training-data operators lack."""
+    code = (
+        f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; "
+        "from cornerstore.queries import QUERIES; assert set(e.queries()) == set(QUERIES) == set(e.oracle_sql())"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(entry.__file__).parent)
