@@ -607,6 +607,10 @@ select order_id, customer_id, strftime(order_timestamp, '%Y-%m-%d %H:%M:%S.%f')
     "stream_changes": f"""with {CHANGES} select order_id, customer_id, updated_at, operation, total_amount,
   concat('{{"channel":"', category, '"}}') as _rescued_data from changes""",
     "stream_quarantine": f"""with {JUDGED} select order_id, updated_at, quality_reason, operation
+from judged where quality_reason is not null""",
+    "compacted_changes": f"""with {CHANGES} select order_id, customer_id, updated_at, operation, total_amount,
+  concat('{{"channel":"', category, '"}}') as _rescued_data from changes""",
+    "compacted_quarantine": f"""with {JUDGED} select order_id, updated_at, quality_reason, operation
 from judged where quality_reason is not null""",
     "stream_dropped": f"""with {GOOD} select order_id, updated_at, operation from good
 where operation not in ('INSERT', 'UPDATE', 'DELETE')""",

@@ -12,7 +12,9 @@ from cornerstore.operators.history import current_from_events, current_versions,
 from cornerstore.sinks.files import commit_snapshots, delete_path, facts_of, read_parts, stage_parts, version_of
 from cornerstore.sources.streams import parquet_stream
 from cornerstore.streaming.history import DELETED, KEYS, SEQUENCE
-from cornerstore.streaming.jobs import batch_changes, new_batches, silver_changes, start_event_log, start_parquet
+from cornerstore.streaming.jobs import (
+    batch_changes, compact_log, new_batches, silver_changes, start_event_log, start_parquet,
+)
 
 CHANGES, HISTORY, SUMS, DAILY = "silver_changes", "silver_orders_history", "daily_sales_sums", "gold_daily_sales"
 
@@ -110,3 +112,9 @@ def publish(
     if changes is not None:
         delete_path(spark, arrived)
     return True
+
+
+def compact(spark: SparkSession, root: str, publication_id: str) -> bool:
+    """Compact what the last publication has used of the event log."""
+    used = facts_of(spark, f"{root}/published").get("log", {})
+    return compact_log(spark, f"{root}/events", publication_id, used)

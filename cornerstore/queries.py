@@ -757,6 +757,32 @@ def _event_log(spark, folder) -> str:
     return root
 
 
+def _half_compacted(spark, folder) -> str:
+    """The same log with the first half of its batches compacted."""
+
+    def run(root):
+        landing = _landed(spark, _event_messages(spark, folder))
+        cdc.ingest(spark, streams.json_events(spark, landing, ORDER_EVENT_SCHEMA, 2), root, NTZ, 2)
+        _, last = jobs.new_batches(spark, f"{root}/events", {})
+        jobs.compact_log(spark, f"{root}/events", "half", {name: number // 2 for name, number in last.items()})
+
+    return _once(spark, folder, "events-half", run)
+
+
+@query
+def compacted_changes(spark, folder):
+    return jobs.silver_changes(spark, f"{_half_compacted(spark, folder)}/events").select(
+        "order_id", "customer_id", "updated_at", "operation", "total_amount", RESCUED
+    )
+
+
+@query
+def compacted_quarantine(spark, folder):
+    return jobs.quarantine(spark, f"{_half_compacted(spark, folder)}/events").select(
+        "order_id", "updated_at", "quality_reason", "operation"
+    )
+
+
 @query
 def stream_bronze(spark, folder):
     """Events as they came in: texts unjudged, the undeclared field rescued."""

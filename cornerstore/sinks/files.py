@@ -41,7 +41,7 @@ def delete_path(spark: SparkSession, path: str) -> None:
     files.delete(hadoop_path, True)
 
 
-def _rename(spark: SparkSession, source: str, target: str) -> None:
+def move_path(spark: SparkSession, source: str, target: str) -> None:
     """Move a file or folder to a path that does not exist."""
     files, source_path = _file_system(spark, source)
     _, target_path = _file_system(spark, target)
@@ -50,7 +50,7 @@ def _rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not move {source} to {target}")
 
 
-def _names(spark: SparkSession, pattern: str) -> list[str]:
+def names_of(spark: SparkSession, pattern: str) -> list[str]:
     """Last names of the matching paths, in order."""
     files, hadoop_path = _file_system(spark, pattern)
     return sorted(status.getPath().getName() for status in files.globStatus(hadoop_path) or [])
@@ -240,7 +240,7 @@ def _history(spark: SparkSession, root: str) -> dict:
 
     The newest folded record holds all up to its number; only later commits are opened.
     """
-    folds = _names(spark, f"{root}/manifest/*.folded")
+    folds = names_of(spark, f"{root}/manifest/*.folded")
     found = {"number": -1, "publications": [], "versions": {}}
     if folds:
         found = json.loads(_read_text(spark, f"{root}/manifest/{folds[-1]}"))
@@ -255,7 +255,7 @@ def _history(spark: SparkSession, root: str) -> dict:
 
 def _fold(spark: SparkSession, root: str) -> None:
     """Write the record of all commits so far, and drop commit files that an earlier record covers."""
-    folds = _names(spark, f"{root}/manifest/*.folded")
+    folds = names_of(spark, f"{root}/manifest/*.folded")
     covered = int(folds[-1].removesuffix(".folded")) if folds else -1
     files = _commit_files(spark, root)
     if not files or _number(files[-1]) - covered < FOLD_EVERY:
@@ -443,7 +443,7 @@ def stage_parts(
     spark = rows.sparkSession
     staged = stage_snapshots({name: rows}, root, publication_id, {name: ["_part"]})[name]
     paths: dict[str, str | None] = {str(k): None for k in touched}
-    paths |= {text.removeprefix("_part="): f"{staged}/{text}" for text in _names(spark, f"{staged}/_part=*")}
+    paths |= {text.removeprefix("_part="): f"{staged}/{text}" for text in names_of(spark, f"{staged}/_part=*")}
     if not any(paths.values()) and (touched or version_of(spark, root, name) is None):
         paths["none"] = stage_snapshots({name: rows.drop("_part")}, root, publication_id)[name]
     return paths
@@ -557,7 +557,7 @@ def _with_bucket(columns: T.StructType) -> T.StructType:
 
 def _delta_paths(spark: SparkSession, root: str) -> list[str]:
     """Deltas that were written whole, oldest first."""
-    return [f"{root}/deltas/{name}" for name in _names(spark, f"{root}/deltas/*-*")]
+    return [f"{root}/deltas/{name}" for name in names_of(spark, f"{root}/deltas/*-*")]
 
 
 def _waits(spark: SparkSession, root: str, arrived: str, share: float) -> bool:
@@ -578,9 +578,9 @@ def _add_delta(
 ) -> None:
     """One rename makes the batch part of the table."""
     _place_new(spark, f"{root}/_merge_on.json", json.dumps({"keys": list(keys), "version": list(version)}))
-    there = _names(spark, f"{root}/deltas/*-*")
+    there = names_of(spark, f"{root}/deltas/*-*")
     number = int(there[-1].split("-")[0]) + 1 if there else 0
-    _rename(spark, arrived, f"{root}/deltas/{number:012d}-{transaction}")
+    move_path(spark, arrived, f"{root}/deltas/{number:012d}-{transaction}")
     delete_path(spark, f"{root}/staged/{transaction}")
 
 
@@ -640,14 +640,14 @@ def move_buckets(spark: SparkSession, root: str, transaction: str) -> None:
     """
     staged = f"{root}/staged/{transaction}"
     if path_exists(spark, f"{staged}/merged/_SUCCESS"):
-        for name in _names(spark, f"{staged}/merged/_bucket=*"):
+        for name in names_of(spark, f"{staged}/merged/_bucket=*"):
             target, aside = f"{root}/state/{name}", f"{staged}/replaced/{name}"
             if path_exists(spark, target):
                 if path_exists(spark, aside):
                     delete_path(spark, target)  # half a copy, where a rename copies
                 else:
-                    _rename(spark, target, aside)
-            _rename(spark, f"{staged}/merged/{name}", target)
+                    move_path(spark, target, aside)
+            move_path(spark, f"{staged}/merged/{name}", target)
         _file_system(spark, root)[0].mkdirs(_file_system(spark, f"{root}/state")[1])
         if path_exists(spark, f"{staged}/merged-deltas.json"):
             for path in json.loads(_read_text(spark, f"{staged}/merged-deltas.json")):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cornerstore.sinks import files as sinks
 from cornerstore.streaming import history
 
-OPERATIONS = ("_rename", "_write_text", "_place_new", "delete_path")
+OPERATIONS = ("move_path", "_write_text", "_place_new", "delete_path")
 
 
 class Lost(Exception):
@@ -95,7 +95,7 @@ def test_bucket_upsert_broken_off_anywhere(spark, folder, monkeypatch, instead):
         upsert(spark, root, NEW, "t2")
         expected = [(4, "c", 9) if instead and r[0] == 4 else r for r in AFTER]
         assert state(sinks.read_buckets(spark, root, shape)) == expected
-        assert not sinks._names(spark, f"{root}/staged/*")
+        assert not sinks.names_of(spark, f"{root}/staged/*")
 
 
 def test_merging_deltas_broken_off_anywhere(spark, folder, monkeypatch):
@@ -109,7 +109,7 @@ def test_merging_deltas_broken_off_anywhere(spark, folder, monkeypatch):
         sinks.upsert_buckets(rows(spark, *OLD), root, ["order_id"], "t0", 2)
         batch(root, 1, 100.0)
         batch(root, 2, 100.0)
-        assert len(sinks._names(spark, f"{root}/deltas/*-*")) == 2
+        assert len(sinks.names_of(spark, f"{root}/deltas/*-*")) == 2
 
     expected = sorted([(1, "d3", 3), (11, "d", 1), (12, "d", 2), (13, "d", 3), *OLD[1:]])
     for root in every_break(monkeypatch, folder, prepare, lambda root: batch(root, 3, 0.0)):
@@ -117,7 +117,7 @@ def test_merging_deltas_broken_off_anywhere(spark, folder, monkeypatch):
         batch(root, 3, 0.0)
         assert state(sinks.read_buckets(spark, root, shape)) == expected
         assert before is None or {r[0] for r in before} <= {r[0] for r in expected}
-        assert not sinks._names(spark, f"{root}/deltas/*")
+        assert not sinks.names_of(spark, f"{root}/deltas/*")
 
 
 def test_deltas_equal_merging_one_by_one(spark, folder):
@@ -135,7 +135,7 @@ def test_deltas_equal_merging_one_by_one(spark, folder):
             for root, share in ((at_once, 0.0), (waiting, 1e9)):
                 sinks.upsert_buckets(rows(spark, *batch), root, ["order_id"], f"t{number}", 4, version, delta_share=share)
             assert state(sinks.read_buckets(spark, waiting, shape)) == state(sinks.read_buckets(spark, at_once, shape))
-        assert len(sinks._names(spark, f"{waiting}/deltas/*-*")) == 3 and not sinks._names(spark, f"{at_once}/deltas/*")
+        assert len(sinks.names_of(spark, f"{waiting}/deltas/*-*")) == 3 and not sinks.names_of(spark, f"{at_once}/deltas/*")
 
 
 def test_small_batch_writes_about_its_own_size(spark, folder):
@@ -149,7 +149,7 @@ def test_small_batch_writes_about_its_own_size(spark, folder):
         part = table.filter(f"order_id % 100 = {number}").withColumn("v", F.reverse("v")).withColumn("n", F.lit(1 + number))
         before = sinks._size(spark, folder)
         sinks.upsert_buckets(part, folder, ["order_id"], f"t{number}", 8, ["n"])
-        waits = len(sinks._names(spark, f"{folder}/deltas/*-*"))
+        waits = len(sinks.names_of(spark, f"{folder}/deltas/*-*"))
         seen.append(waits)
         if number == 1:
             assert sinks._size(spark, folder) - before < 0.03 * whole
@@ -220,7 +220,7 @@ def test_overlapping_publishers_keep_both_commits(spark, folder, monkeypatch, at
         "a": [(1, "a", 1)], "b": [(2, "b", 2)], "c": [(0, "c", 0)],
     }
     assert all(sinks.is_published(spark, folder, f"p{n}") for n in range(3))
-    assert not sinks._names(spark, f"{folder}/manifest/_new-*")
+    assert not sinks.names_of(spark, f"{folder}/manifest/_new-*")
 
 
 @pytest.mark.parametrize("rename", [False, True])
@@ -258,7 +258,7 @@ def test_history_of_many_commits_is_read_from_few_files(spark, folder):
     paths = sinks.stage_snapshots({"a": rows(spark, (1, "a", 1))}, folder, "p0")
     for n in range(70):
         sinks.commit_snapshots(spark, folder, f"p{n}", paths)
-    files = sinks._names(spark, f"{folder}/manifest/*")
+    files = sinks.names_of(spark, f"{folder}/manifest/*")
     assert len(files) <= 2 * sinks.FOLD_EVERY + 3
     assert all(sinks.is_published(spark, folder, f"p{n}") for n in range(70)) and not sinks.is_published(spark, folder, "p70")
     assert sinks._last_commit(spark, folder)["number"] == 69

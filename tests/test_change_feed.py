@@ -149,3 +149,65 @@ def test_publication_broken_off_anywhere(spark, folder, monkeypatch):
             assert len(calls) == 7
             return
     pytest.fail("never ran through")
+
+
+def log_rows(spark, folder):
+    log = f"{folder}/events"
+    return [rows(df.select("order_id", "updated_at", "quantity", "operation")) for df in (jobs.silver_changes(spark, log), jobs.quarantine(spark, log), jobs.dropped(spark, log))]
+
+
+def test_compacted_log_reads_as_before(spark, folder):
+    """Readers see each event once before, between and after compactions, and publications go on."""
+    for number in range(3):
+        ingest(
+            spark, folder, number, event(number, 1 + number, "2026-01-05", 2, "INSERT"), event(9, 20, "2026-01-05", 0, "INSERT"),
+            *([event(8, 9, "2026-01-05", 2, "REFRESH")] if number == 1 else []),
+        )
+    whole = log_rows(spark, folder)
+    assert [len(r) for r in whole] == [3, 3, 1]
+    assert not cdc.compact(spark, folder, "nothing used yet")
+    _, last = jobs.new_batches(spark, f"{folder}/events", {})
+    (query,) = last
+    begun = jobs.silver_changes(spark, f"{folder}/events")
+    assert jobs.compact_log(spark, f"{folder}/events", "c1", {query: 0}) and log_rows(spark, folder) == whole
+    assert begun.count() == 3
+    assert cdc.publish(spark, folder, "one", buckets=2) is True
+    assert same_as_from_the_whole_log(spark, folder)
+
+
+def test_compaction_behind_publications(spark, folder):
+    """Only used batches are compacted; folders go one compaction later."""
+    whole = []
+    for number in range(4):
+        ingest(spark, folder, number, event(number, 1 + number, f"2026-0{1 + number}-05", 2, "INSERT"), event(0, 9 + number, "2026-03-01", number, "UPDATE"))
+        cdc.publish(spark, folder, f"p{number}", buckets=2)
+        whole = log_rows(spark, folder)
+        if number % 2:
+            assert cdc.compact(spark, folder, f"c{number}")
+            assert log_rows(spark, folder) == whole and same_as_from_the_whole_log(spark, folder)
+    kept = sorted(p.name for p in Path(folder, "events").glob("batch=*"))
+    assert len(kept) == 2 and all(name.endswith(("-2", "-3")) for name in kept)
+    assert not cdc.compact(spark, folder, "c5") and not list(Path(folder, "events").glob("batch=*"))
+    assert log_rows(spark, folder) == whole
+    ingest(spark, folder, 9, event(5, 25, "2026-03-05", 2, "INSERT"))
+    assert cdc.publish(spark, folder, "p9", buckets=2) and same_as_from_the_whole_log(spark, folder)
+
+
+def test_compaction_broken_off(spark, folder, monkeypatch):
+    for number in range(2):
+        ingest(spark, folder, number, event(number, 1 + number, "2026-01-05", 2, "INSERT"))
+    whole = log_rows(spark, folder)
+
+    def lost(*args, **more):
+        raise Lost
+
+    for name in ("stage_snapshots", "commit_snapshots"):
+        with monkeypatch.context() as patched, pytest.raises(Lost):
+            patched.setattr(jobs, name, lost)
+            jobs.compact_log(spark, f"{folder}/events", "c1")
+        assert log_rows(spark, folder) == whole
+    assert jobs.compact_log(spark, f"{folder}/events", "c1") and log_rows(spark, folder) == whole
+    with monkeypatch.context() as patched, pytest.raises(Lost):
+        patched.setattr(jobs, "delete_path", lost)
+        jobs.compact_log(spark, f"{folder}/events", "c2")
+    assert not jobs.compact_log(spark, f"{folder}/events", "c2") and log_rows(spark, folder) == whole

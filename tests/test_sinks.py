@@ -4,6 +4,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from cornerstore.operators import watermark
 from cornerstore.operators.watermark import (
     Watermark, after_watermark, commit_watermark, load_watermark, source_subquery, watermark_of,
 )
@@ -293,6 +294,34 @@ def test_watermark_moves_forward_only(spark, folder):
     assert load_watermark(spark, path, "other") is None
 
 
+def test_watermark_commits_are_folded(spark, folder, monkeypatch):
+    """Many runs are read from few files, also after folds that broke off."""
+    path = f"{folder}/control"
+    for n in range(19):
+        commit_watermark(spark, path, Watermark(n, n), f"b{n}")
+    deleted = []
+
+    def lost(spark, path):
+        if len(deleted) == 3:
+            raise OSError("lost")
+        deleted.append(path)
+        sinks.delete_path(spark, path)
+
+    with monkeypatch.context() as patched, pytest.raises(OSError):
+        patched.setattr(watermark, "delete_path", lost)
+        commit_watermark(spark, path, Watermark(19, 19), "b19")
+    assert load_watermark(spark, path) == Watermark(19, 19)
+    for n in range(20, 80):
+        commit_watermark(spark, path, Watermark(n, n), f"b{n}")
+        if n % 30 == 0:
+            assert len(sinks.names_of(spark, f"{path}/*.parquet")) <= watermark.FOLD_COMMITS
+    rows = spark.read.parquet(path).select("updated_at_us", "batch_id").collect()
+    assert sorted(r.updated_at_us for r in rows) == list(range(80)) and len({r.batch_id for r in rows}) == 80
+    assert load_watermark(spark, path) == Watermark(79, 79)
+    with pytest.raises(ValueError):
+        commit_watermark(spark, path, Watermark(3, 3), "late")
+
+
 @pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
 def test_rows_after_watermark(spark, kind):
     df = spark.sql(

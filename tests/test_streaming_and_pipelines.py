@@ -539,7 +539,7 @@ def test_gold_follows_silver_by_changed_orders(spark, folder, ranges):
         now = built_parts(folder, "gold/sales_cells")
         assert all(now[p] == at for p, at in files.items())
         files = now
-    assert not sinks._names(spark, f"{layout.changes}/batch_id=*")
+    assert not sinks.names_of(spark, f"{layout.changes}/batch_id=*")
     medallion.aggregate(spark, layout, "again", rebuild=True)
     assert gold_rows(spark, layout) == plain_gold(spark, layout)
 
