@@ -96,9 +96,14 @@ def fit_rates(
     from rate 1 on. One small sum per round reaches the driver. A weight of None is the
     domain's share of the tokens as they are; the others divide the rest.
 
-    With ``total_tokens``, or with a weight of 0, rates are at least 0. Else the
-    smallest total is taken at which no domain has to shrink, and no rate is below 1:
-    the targets are met as nearly as such rates allow.
+    With ``total_tokens``, or with a weight of 0, rates are at least 0. Else no rate is
+    below 1, and the total is the smallest at which rates that are a mean of one
+    number per domain, weighed by the document's posteriors, meet the targets without
+    one of these numbers below 1. Where there is no such total, the smallest at which
+    no domain has to shrink is taken, and the targets are met as nearly as rates from 1 on allow.
+
+    The rounds end when the totals are within ``TOLERANCE`` of the targets, or stand
+    still; the report has the rounds and the largest gap as a share of the total.
     """
     k = range(len(weights))
     given = np.array([0.0 if w is None else w for w in weights], dtype=float)
@@ -121,15 +126,19 @@ def fit_rates(
     if given.sum() > 0:
         goal += given / given.sum() * natural[~natural_share].sum()
     goal = goal / goal.sum()
-    if total_tokens is None:
-        size = max([natural[i] / goal[i] for i in k if goal[i] > 0])
-    else:
+    gram = np.array([[first[f"m{min(i, j)}_{max(i, j)}"] for j in k] for i in k]) / tokens
+    # Rates sum_i c_i p_i have the totals gram @ c; c = 1 gives the totals as they are.
+    per_domain = np.linalg.lstsq(gram, goal, rcond=None)[0]
+    if total_tokens is not None:
         size = total_tokens / tokens
+    elif least and per_domain.min() > 0 and np.abs(gram @ per_domain - goal).max() <= TOLERANCE:
+        size = max(1.0, 1 / per_domain.min())
+    else:
+        size = max([natural[i] / goal[i] for i in k if goal[i] > 0])
     target = goal * size
-    gram = np.array([[first[f"m{min(i, j)}_{max(i, j)}"] for j in k] for i in k]) / tokens
     step = 1.8 / float(np.linalg.eigvalsh(gram)[-1])
-    achieved, rounds = natural, 0
-    while np.abs(achieved - target).max() > TOLERANCE * size and rounds < most_rounds:
+    achieved, rounds, gaps = natural, 0, [np.abs(natural - target).max()]
+    while gaps[-1] > TOLERANCE * size and rounds < most_rounds and not _still(gaps):
         slope = step * (achieved - target)
         move = sum((F.col(f"p{i}") * float(slope[i]) for i in k), F.lit(0.0))
         state = state.withColumn("rate", F.greatest(F.lit(least), F.col("rate") - move))
@@ -138,7 +147,16 @@ def fit_rates(
             state = write_and_reread(state, "mixing-rates")
         sums = state.agg(*(F.sum(F.col("rate") * F.col("n_tokens") * F.col(f"p{i}")) for i in k)).first()
         achieved = np.array(sums, dtype=float) / tokens
-    return state, {"achieved": (achieved * tokens).tolist(), "target": (target * tokens).tolist(), "rounds": rounds}
+        gaps.append(np.abs(achieved - target).max())
+    return state, {
+        "achieved": (achieved * tokens).tolist(), "target": (target * tokens).tolist(), "rounds": rounds,
+        "gap": float(gaps[-1] / size),
+    }
+
+
+def _still(gaps: list[float], rounds: int = 10, share: float = 0.01) -> bool:
+    """Whether the largest gap has not shrunk by that share over the last rounds."""
+    return len(gaps) > rounds and min(gaps[-rounds:]) > (1 - share) * min(gaps[:-rounds])
 
 
 def mix(

@@ -19,7 +19,8 @@ MIX_TARGETS = {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}
 def op1_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labelled = docs.select("doc_id", "text", F.col("lang").alias("domain"))
-    mixed = mixing.mix(docs, labelled, MIX_TARGETS)
+    mixed = mixing.mix(docs, labelled, mixing.known_targets(labelled, MIX_TARGETS))
+    # A language that no row has is NULL here.
     shares = [F.col("posteriors")[d].alias(f"p_{d}") for d in sorted(MIX_TARGETS)]
     return mixed.select("doc_id", "n_tokens", "domain", *shares, "rate", "copies")
 

@@ -129,3 +129,32 @@ def test_pipeline_keeps_languages_without_a_target(spark):
     assert set(kept) == set(range(503)) and sum(kept[k] for k in range(400, 460)) > 70
     others = docs.filter("lang in ('it', 'zz')")
     assert corpus_pipeline.mixed(spark, others, "").count() == 43
+
+
+def test_targets_are_met_by_soft_members(spark):
+    """Memberships that are a few per cent soft: the total rises until rates from 1 on meet the targets."""
+    random = np.random.default_rng(6)
+    own = random.choice(4, 3000, p=[0.7, 0.15, 0.1, 0.05])
+    p = np.eye(4)[own] * 0.97 + random.dirichlet([0.3] * 4, 3000) * 0.03
+    n = random.integers(1, 300, 3000)
+    rows = [(k, int(n[k]), *map(float, p[k])) for k in range(3000)]
+    members = spark.createDataFrame(rows, "doc_id long, n_tokens long, p0 double, p1 double, p2 double, p3 double")
+    rated, told = mixing.fit_rates(members, [0.4, 0.2, 0.2, 0.2])
+    rates = np.array([r.rate for r in rated.orderBy("doc_id").collect()])
+    reached = (rates * n) @ p
+    assert rates.min() >= 1 and told["rounds"] < 60 and told["gap"] <= mixing.TOLERANCE
+    assert np.allclose(reached / reached.sum(), [0.4, 0.2, 0.2, 0.2], atol=3e-3) and np.allclose(reached, told["achieved"])
+
+
+def test_targets_out_of_reach_are_reported(spark):
+    """All documents are alike, so no rates move the shares: the rounds stop, and the gap says so."""
+    members = spark.createDataFrame([(k, 10, 0.5, 0.5) for k in range(20)], "doc_id long, n_tokens long, p0 double, p1 double")
+    rated, told = mixing.fit_rates(members, [0.9, 0.1])
+    assert told["gap"] > 0.2 and told["rounds"] < 40 and rated.agg(F.min("rate")).first()[0] >= 1
+
+
+def test_query_without_one_of_its_languages(spark, tiny, tmp_path):
+    docs = spark.read.parquet(f"{tiny}/documents.parquet").filter("lang <> 'es'")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op1_mixing_sources(spark, str(tmp_path))
+    assert found.count() == docs.count() and found.filter("p_es is not null").isEmpty()
