@@ -118,7 +118,12 @@ def unit(vectors: np.ndarray) -> np.ndarray:
 
 
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Row by row, in double precision; equal rows give equal values wherever they stand."""
+    """Row by row, in double precision; equal rows give equal values wherever they stand.
+
+    Rows are scaled by a power of two first, so that squares of very large or very
+    small components neither overflow nor vanish; that changes no other result.
+    """
+    a, b = (np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, keepdims=True))[1]) for rows in (a, b))
     return (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
 
 

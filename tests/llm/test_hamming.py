@@ -107,3 +107,14 @@ def test_repeated_ids_take_one_place(spark, monkeypatch):
                 best.setdefault(int(all_ids[i]), float(score[i]))
         assert found[q] == list(best.items())[:5]
     assert {v for v, _ in found[0][:2]} == {301, 302}
+
+
+def test_very_large_and_very_small_components():
+    """Squares that overflow or vanish; ordinary rows keep their value to the last bit."""
+    made = np.random.default_rng(3)
+    a, b = made.normal(size=(2, 200, 64))
+    plain = (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
+    assert (hamming.cosine(a, b) == plain).all()
+    for x, y in ((1e200, 1e-200), (1e300, 1e300), (1e-300, 1.0), (5e-324, 1e308)):
+        got = hamming.cosine(np.array([[x, 0.0, x]]), np.array([[y, y, 0.0]]))
+        assert np.isfinite(got).all() and abs(got[0] - 0.5) < 1e-12
