@@ -35,7 +35,7 @@ UNKNOWN = "und"
 def words_of(text: str | None) -> list[str]:
     """The words of a text in lower case; none if it has no letter."""
     words = _WORD.findall((text or "").lower())
-    return words if any(map(str.isalpha, words)) else []
+    return words if any(any(map(str.isalpha, word)) for word in words) else []
 
 
 class _Numbers(dict):
@@ -86,7 +86,7 @@ class Emissions:
         new = list(set(words).difference(known))
         for start in range(0, len(new), 10_000):
             part = new[start:start + 10_000]
-            found = [word_features(w[:200], self.model.lexicon) for w in part]
+            found = [word_features(w, self.model.lexicon) for w in part]
             sizes = np.array([len(f) for f in found])
             flat = np.fromiter((n for f in found for n in f), dtype=np.int64, count=int(sizes.sum()))
             scores = np.add.reduceat(self.model.weights[flat], np.concatenate([[0], np.cumsum(sizes)])[:-1], axis=0)
@@ -206,7 +206,7 @@ def fit_languages(docs: DataFrame, rows: int = TRAIN_ROWS) -> LanguageModel:
     """A model from text and lang of documents whose crc32(doc_id) mod 5 is not 0.
 
     At most about ``rows`` of them, and TRAIN_WORDS consecutive words of each from a
-    place that a hash of the text names, teach the model.
+    place that a hash of the text names, teach the model, each word with 200 letters at most.
     """
     known = docs.filter("lang is not null and text is not null").filter(hash_part("doc_id", 5) != 0)
     known = known.select("doc_id", "text", "lang")

@@ -165,3 +165,13 @@ def test_language_edge_rows(spark, edge_docs, no_docs, two_languages):
     assert {r.lang_pred for r in langid.label_documents(edge_docs, unlearned).collect()} == {"und"}
     assert langid.label_documents(no_docs, two_languages).count() == 0
     assert langid.fit_languages(edge_docs).languages == ["de", "en"]
+
+
+def test_letters_beside_other_signs_have_a_language(spark, small):
+    """und is for texts without a letter alone; very long words are scored whole."""
+    assert langid.words_of("m²") == ["m²"] and langid.words_of("½a x²") and langid.words_of("½ ² 12 _") == []
+    model = langid.LanguageModel(["a", "b"], np.zeros((langid.FEATURES, 2), np.float32), np.zeros((2, 2)), frozenset())
+    model.weights[langid.word_features("zzz", frozenset()), 1] = 5
+    docs = spark.createDataFrame([(1, "m²"), (2, "½ ²"), (3, "q" * 300 + "zzz"), (4, None)], "doc_id long, text string")
+    found = {r.doc_id: r.lang_pred for r in langid.label_documents(docs, model).collect()}
+    assert found[1] in ("a", "b") and found[2] == found[4] == "und" and found[3] == "b"
