@@ -4,13 +4,15 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from cornerstore.contracts import SALES_SCHEMA
 from cornerstore.operators import watermark
 from cornerstore.operators.watermark import (
     Watermark, after_watermark, commit_watermark, load_watermark, source_subquery, watermark_of,
 )
+from cornerstore.plans import loads
 from cornerstore.session import drop_intermediate, shared_folder, write_and_reread
 from cornerstore.sinks import files as sinks, jdbc
-from cornerstore.sources import files as sources
+from cornerstore.sources import files as sources, streams
 from cornerstore.sources.jdbc import Split, scan_options
 
 
@@ -438,3 +440,53 @@ def test_publication_checks_columns_and_orders_statements(spark, monkeypatch):
     assert f"DROP TABLE IF EXISTS {staging}" in connections[1].said
     with pytest.raises(ValueError):
         jdbc.publish_jdbc({"a": (df, "ta", ["order_id"])}, jdbc.Database("jdbc:x"), "l2")
+
+
+class Steps:
+    """Stands in for a Spark reader or writer and writes down how it is set up."""
+
+    def __init__(self):
+        self.said = {}
+
+    def format(self, name):
+        self.said["format"] = name
+        return self
+
+    def option(self, name, value):
+        self.said[name] = value
+        return self
+
+    def load(self):
+        return self
+
+    def save(self):
+        self.said["saved"] = True
+
+
+def test_kafka_source_and_sink_are_set_up():
+    """Options only: Spark's Kafka package is not here."""
+    class Session:
+        readStream = Steps()
+
+    class Messages:
+        write = Steps()
+
+    assert streams.kafka_messages(Session, "b1:9092,b2:9092", "sales", "latest").said == {
+        "format": "kafka", "kafka.bootstrap.servers": "b1:9092,b2:9092", "subscribe": "sales", "startingOffsets": "latest",
+    }
+    assert streams.kafka_messages(Session, "b", "t").said["startingOffsets"] == "earliest"
+    sinks.send_messages(Messages, "b1:9092", "sales")
+    assert Messages.write.said == {"format": "kafka", "kafka.bootstrap.servers": "b1:9092", "topic": "sales", "saved": True}
+
+
+def test_csv_goes_to_a_database_typed(spark, folder, monkeypatch):
+    """The rows that are handed to the JDBC writer; no database is started."""
+    text = "order_id,customer_name,product,category,price,quantity,city\n1, Ann ,Pen,Office,3,2,\n2,,Cup,Home,x,1,Pune\n"
+    Path(folder, "sales.csv").write_text(text)
+    written = []
+    monkeypatch.setattr(loads, "write_jdbc", lambda rows, database, table, mode: written.append((rows, table, mode)))
+    loads.csv_to_jdbc(spark, f"{folder}/sales.csv", jdbc.Database("jdbc:x"), "sales", "append")
+    ((rows, table, mode),) = written
+    assert (table, mode) == ("sales", "append") and [f.name for f in rows.schema] == [f.name for f in SALES_SCHEMA]
+    found = {r.order_id: (r.customer_name, r.price, r.quantity, r.city) for r in rows.collect()}
+    assert found[1] == (" Ann ", 3, 2, None) and found[2][1:] == (None, 1, "Pune")
