@@ -18,7 +18,7 @@ SYMBOLS = "#*$%&|<>"
 LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 LINE_DOCUMENTS = 10
-LINE_SHARE = 0.005
+LINE_SHARE = 0.0
 LEAST_LEFT_PERCENT = 50
 
 
@@ -80,8 +80,9 @@ def frequent_line_words(
     """doc_id, n_removed_words: the words in lines that too many documents of a host share.
 
     A line is removed if more than ``most_documents`` distinct documents of the host
-    have it and they are more than ``most_share`` of the host's documents. Counts
-    are summed before each shuffle; the join on a frequent line can be split.
+    have it, however large the host is. With a ``most_share`` they must be more than
+    that share of the host's documents, too. Counts are summed before each shuffle; the
+    join on a frequent line can be split.
     """
     one_space = rf"regexp_replace(x, r'{SPACES}', ' ')"
     lines = docs.filter("doc_id is not null and text is not null").select(
@@ -91,10 +92,11 @@ def frequent_line_words(
     words = F.length("_line") - F.length(F.translate("_line", " ", "")) + 1
     each = lines.groupBy("_host", "_doc", F.xxhash64("_line").alias("_h")).agg(F.sum(words).alias("_words"))
     common = each.groupBy("_host", "_h").agg(F.count("*").alias("_docs")).filter(F.col("_docs") > most_documents)
-    sizes = docs.filter("doc_id is not null").groupBy(F.coalesce(F.col(host), F.lit("")).alias("_of")).agg(
-        F.countDistinct("doc_id").alias("_size")
-    )
-    common = common.join(sizes, F.col("_host") == F.col("_of")).filter(F.col("_docs") > most_share * F.col("_size"))
+    if most_share:
+        sizes = docs.filter("doc_id is not null").groupBy(F.coalesce(F.col(host), F.lit("")).alias("_of")).agg(
+            F.countDistinct("doc_id").alias("_size")
+        )
+        common = common.join(sizes, F.col("_host") == F.col("_of")).filter(F.col("_docs") > most_share * F.col("_size"))
     found = each.join(common.select("_host", "_h"), ["_host", "_h"])
     return found.groupBy(F.col("_doc").alias("doc_id")).agg(F.sum("_words").alias("n_removed_words"))
 
@@ -149,10 +151,7 @@ normal as (
   select doc_id, host, trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g')) as line from filled),
 each as (
   select host, doc_id, line, sum(length(line) - length(replace(line, ' ', '')) + 1) as words from normal group by all),
-sizes as (select host, count(distinct doc_id) as size from docs group by host),
-common as (
-  select host, line from (select host, line, count(*) as n from each group by all) join sizes using (host)
-  where n > 10 and n > 0.005 * size),
+common as (select host, line from each group by host, line having count(*) > 10),
 removed as (
   select doc_id, sum(words) as n_removed_words from each join common using (host, line) group by doc_id),
 everything as (

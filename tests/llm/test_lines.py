@@ -1,5 +1,6 @@
 from collections import Counter
 
+import duckdb
 from compare import connect, differences
 from pyspark.sql import functions as F
 
@@ -77,3 +78,15 @@ def test_counts_are_long(spark, small):
     longs = {f.name for f in found.schema if f.dataType.simpleString() == "bigint"}
     assert {"doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"} <= longs
     assert found.filter(F.col("kept").isNull() | F.col("base_failed").isNull()).count() == 0
+
+
+def test_limit_is_the_same_for_hosts_of_any_size(spark, tmp_path):
+    """A line in 11 of 3,000 documents goes, one in 10 of them stays; the SQL says the same."""
+    rows = [(i, " ".join(f"u{i}x{k}" for k in range(60)) + ("\nEleven have this" if i < 11 else "\nTen have this" if i < 21 else ""), "big") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r.doc_id: r.n_removed_words for r in lines.frequent_line_words(docs, "source").collect()}
+    assert found == dict.fromkeys(range(11), 3)
+    docs.coalesce(1).write.parquet(f"{tmp_path}/d")
+    tables = duckdb.connect()
+    tables.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/d/*.parquet'")
+    assert differences(lines.quality_rules(docs), tables, lines.QUALITY_RULES_SQL) is None
