@@ -438,13 +438,14 @@ def stage_parts(
 ) -> dict[str, str | None]:
     """Write rows (with _part) beside the published ones; path by part, None for touched parts without rows.
 
-    Where none has rows, an empty part keeps the dataset's columns.
+    Where no part of the dataset is left, an empty one keeps its columns.
     """
     spark = rows.sparkSession
     staged = stage_snapshots({name: rows}, root, publication_id, {name: ["_part"]})[name]
     paths: dict[str, str | None] = {str(k): None for k in touched}
     paths |= {text.removeprefix("_part="): f"{staged}/{text}" for text in names_of(spark, f"{staged}/_part=*")}
-    if not any(paths.values()) and (touched or version_of(spark, root, name) is None):
+    others = part_paths(spark, root, name).keys() - paths.keys()
+    if not any(paths.values()) and not others:
         paths["none"] = stage_snapshots({name: rows.drop("_part")}, root, publication_id)[name]
     return paths
 
