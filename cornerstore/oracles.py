@@ -502,8 +502,10 @@ from good group by 1, 2, 3""",
 fact as (select *, cast(order_timestamp as date) as order_date from good)
 """ + _mart("fact", "dim"),
     "merge_upsert": f"with {MERGED} select * from merged",
-    "merge_incremental": f"with {LAKE}" + _lake_latest("target", f"{CUT} and quantity >= 10") + _lake_latest("newest")
-    + """, fresh as (select * from newest where updated_at > (select max(updated_at) from target))
+    "merge_incremental": f"with {LAKE}" + _lake_latest("target", CUT) + _lake_latest("newest")
+    + """, late as (select * replace (-order_id as order_id) from target where quantity < 10),
+source as (select * from newest union all select * from late),
+fresh as (select * from source where updated_at > (select max(updated_at) from target))
 select * from target where order_id not in (select order_id from fresh)
 union all select * from fresh""",
     "snapshot_merge": f"with {SILVER} select {SILVER_OUT} from silver",
@@ -536,8 +538,10 @@ select category, updated_at, order_id from best where pick = 1""",
         for c in ("order_id", "customer_id", "product_id", "order_timestamp", "quantity")
     ),
     "dq_null_rows": f"with {CDC} select order_id, updated_at, store_id from cdc where customer_id is null",
-    "dq_relationships": """select l_partkey, count(*) as row_count from lineitem
-where l_partkey not in (select p_partkey from part where p_type <> 'ECONOMY') group by l_partkey""",
+    "dq_relationships": """with lines as (select l_partkey from lineitem
+  union all select -l_partkey from lineitem where l_linenumber = 7)
+select l_partkey, count(*) as row_count from lines
+where l_partkey not in (select p_partkey from part) group by l_partkey""",
     "dq_positive": f"""with {JUDGED} select order_id, updated_at, quantity, unit_price, total_amount
 from judged where quantity <= 0 or unit_price < 0 or total_amount < 0""",
     "dq_silver_rules": f"""with {CLEAN}
