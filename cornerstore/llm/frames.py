@@ -76,13 +76,36 @@ def hash_part(column: str, parts: int):
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % parts
 
 
-def bounded_sample(df: DataFrame, key: str, rows: int, total: int) -> DataFrame:
-    """About ``rows`` of the ``total`` rows of ``df``, chosen by a hash of ``key``.
+def _share(keys: tuple[str, ...], share):
+    """Whether a hash of the keys falls within ``share`` (a number or column from 0 to 1)."""
+    steps = 1 << 30
+    return F.pmod(F.xxhash64(*(F.col(k) for k in keys), F.lit("sample")), F.lit(steps)) < share * steps
+
+
+def bounded_sample(df: DataFrame, key: str | tuple[str, ...], rows: int, total: int) -> DataFrame:
+    """About ``rows`` of the ``total`` rows of ``df``, chosen by a hash of ``key`` (one or more columns).
 
     The choice depends on the key alone, so a task that is run again sees the
-    same rows. Only classifiers are fitted on such a sample.
+    same rows. Only classifiers are fitted on such a sample. Rows with equal keys are
+    chosen together; where these may be many, name columns whose copies can be dropped.
     """
     if total <= rows:
         return df
-    steps = 1 << 30
-    return df.filter(F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(steps)) < int(rows / total * steps))
+    return df.filter(_share((key,) if isinstance(key, str) else key, int(rows / total * (1 << 30)) / (1 << 30)))
+
+
+def sample_of_labels(df: DataFrame, label: str, keys: tuple[str, ...], rows: int, counts: dict) -> DataFrame:
+    """About ``rows`` different rows of ``df``, and of every label about a quarter of an even part at least.
+
+    ``counts`` has the rows of each label. A label with fewer rows than that comes
+    whole, so each one can be learned whatever its share. At most 1.25 x ``rows`` are
+    expected: equal rows count once, and different ones are chosen independently.
+    """
+    total = sum(counts.values())
+    if total > rows:
+        floor = max(1, rows // (4 * len(counts)))
+        share = F.lit(0.0)
+        for value, n in counts.items():
+            share = F.when(F.col(label) == value, F.lit(min(1.0, max(rows / total, floor / n)))).otherwise(share)
+        df = df.filter(_share(keys, share))
+    return df.distinct()

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cornerstore.llm.frames import bounded_sample, hash_part, map_columns
+from cornerstore.llm.frames import hash_part, map_columns, sample_of_labels
 
 TRAIN_ROWS = 4_000
 TRAIN_WORDS = 400
@@ -205,12 +205,18 @@ def train(texts: list[list[str]], labels: list[int], languages: list[str], seed:
 def fit_languages(docs: DataFrame, rows: int = TRAIN_ROWS) -> LanguageModel:
     """A model from text and lang of documents whose crc32(doc_id) mod 5 is not 0.
 
-    At most about ``rows`` of them, and TRAIN_WORDS consecutive words of each from a
-    place that a hash of the text names, teach the model, each word with 200 letters at most.
+    About ``rows`` of them, a quarter of an even part or all rows of every language
+    (1.25 x ``rows`` at most), and TRAIN_WORDS consecutive words of each from a place that
+    a hash of the text names, teach the model, each word with 200 letters at most. Rows
+    that repeat count once. More than MOST_LANGUAGES languages raise a ValueError.
     """
     known = docs.filter("lang is not null and text is not null").filter(hash_part("doc_id", 5) != 0)
     known = known.select("doc_id", "text", "lang")
-    sample = bounded_sample(known, "doc_id", rows, known.count())
+    counted = known.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    if len(counted) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    counts = {r["lang"]: r["n"] for r in sorted(counted)}
+    sample = sample_of_labels(known, "lang", ("doc_id", "text"), rows, counts)
 
     def run(texts, langs):
         for text, lang in zip(texts, langs):
@@ -220,8 +226,6 @@ def fit_languages(docs: DataFrame, rows: int = TRAIN_ROWS) -> LanguageModel:
 
     seen = map_columns(sample, ["text", "lang"], run, "lang string, words array<string>").collect()
     languages = sorted({r["lang"] for r in seen})
-    if len(languages) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     seen.sort(key=lambda r: (r["lang"], r["words"]))
     return train([r["words"] for r in seen], [languages.index(r["lang"]) for r in seen], languages)
 
