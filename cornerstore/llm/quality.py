@@ -24,6 +24,7 @@ TRAIN_ROWS = 6_000
 HASHES = 1 << 15
 KEEP = 0.5
 KNOWN_WORDS = 400_000
+LONG_WORD = 200
 _SYMBOLS = "#*$%&|<>{}[]\\^~="
 _DROP_SYMBOLS = str.maketrans("", "", _SYMBOLS)
 _ENDS = re.compile(r"[.!?]+(?=\s|$)")
@@ -109,7 +110,7 @@ def fit_labellers(
 def shape(word: str) -> str:
     """Upper and lower case letters and digits as X, x, 9, other signs as they are, without repeats."""
     out = []
-    for c in word[:40]:
+    for c in word:
         kind = ("X" if c.isupper() else "x") if c.isalpha() else "9" if c.isdigit() else c
         if not out or out[-1] != kind:
             out.append(kind)
@@ -117,13 +118,15 @@ def shape(word: str) -> str:
 
 
 class _Hashes(dict):
-    """Word -> hashed numbers of the word in lower case and of its shape."""
+    """Word -> hashed numbers of the whole word in lower case and of its shape. Long words are not held."""
 
     def __missing__(self, word: str) -> tuple[int, int]:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        names = ("w:" + word[:200].lower(), "s:" + shape(word))
-        self[word] = both = tuple(xxhash.xxh64_intdigest(n.encode("utf-8", "surrogatepass")) % HASHES for n in names)
+        names = ("w:" + word.lower(), "s:" + shape(word))
+        both = tuple(xxhash.xxh64_intdigest(n.encode("utf-8", "surrogatepass")) % HASHES for n in names)
+        if len(word) <= LONG_WORD:
+            if len(self) >= KNOWN_WORDS:
+                self.clear()
+            self[word] = both
         return both
 
 
@@ -163,7 +166,11 @@ class QualityModel:
 
 
 def fit_quality(docs: DataFrame, rows: int = TRAIN_ROWS) -> QualityModel:
-    """Accuracies from all documents, and a scorer from at most about ``rows`` of them. No given label is used."""
+    """Accuracies from all documents, and a scorer from at most about ``rows`` of them. No given label is used.
+
+    Rows that repeat (doc_id and text) count once in the scorer's sample, so that its
+    size holds however often they do.
+    """
     def vote(texts):
         for text in texts:
             yield ("".join("-0+"[v + 1] for v in votes(text)),)
@@ -177,7 +184,7 @@ def fit_quality(docs: DataFrame, rows: int = TRAIN_ROWS) -> QualityModel:
     counts = np.array([r["n"] for r in counted])
     belief, found = fit_labellers(patterns, counts)
     posterior = {r["pattern"]: float(b) for r, b in zip(counted, belief)}
-    sample = bounded_sample(docs.select("doc_id", "text"), "doc_id", rows, int(counts.sum()))
+    sample = bounded_sample(docs.select("doc_id", "text"), ("doc_id", "text"), rows, int(counts.sum())).distinct()
 
     def features(texts):
         for text in texts:
