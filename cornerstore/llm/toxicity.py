@@ -146,23 +146,28 @@ def label_model(votes: np.ndarray, assumed: float = 0.98, rounds: int = 60) -> t
 def _training_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     """words (distinct), disguise candidates, toxic of a bounded sample of labelled training rows.
 
-    Near copies (equal sketches) count once, since their words all look alike.
+    Near copies (equal sketches) count once, since their words all look alike: of them
+    the smallest doc_id stays. Of texts that share a doc_id the one with the least hash is taken.
     """
     known = labels.filter("toxic is not null and doc_id is not null").filter(hash_part("doc_id", 4) != 2)
     known = known.groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     sample = bounded_sample(known, "_id", rows, known.count())
     # At most about ``rows`` rows of two numbers: small enough to send to every executor.
-    texts = docs.join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select("text", "toxic")
+    texts = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).groupBy("_id").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text"), F.min("toxic").alias("toxic")
+    )
 
     def run(texts, toxic):
         for text, mark in zip(texts, toxic):
-            yield *_sketches(text or ""), mark, sorted(words_of(text)), _DISGUISED.findall((text or "").lower())[:1000]
+            odd = sorted(set(_DISGUISED.findall((text or "").lower())))
+            yield *_sketches(text or ""), mark, sorted(words_of(text)), odd
 
-    schema = "s1 long, s2 long, s3 long, toxic int, words array<string>, odd array<string>"
-    sample = map_columns(texts, ["text", "toxic"], run, schema)
+    columns = ["_id", "s1", "s2", "s3", "toxic", "words", "odd"]
+    schema = "_id long, s1 long, s2 long, s3 long, toxic int, words array<string>, odd array<string>"
+    sample = map_columns(texts.withColumn("_id", F.col("_id").cast("long")), ["text", "toxic"], run, schema, ("_id",))
     for sketch in ("s1", "s2", "s3"):
-        sample = sample.dropDuplicates([sketch])
-    return write_and_reread(sample, "toxicity-sample")
+        sample = sample.groupBy(sketch).agg(F.min(F.struct(*columns)).alias("r")).select("r.*")
+    return write_and_reread(sample.drop("_id"), "toxicity-sample")
 
 
 def _features(sample: DataFrame) -> DataFrame:

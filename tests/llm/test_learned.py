@@ -8,7 +8,7 @@ import pytest
 from conftest import prose
 
 from cornerstore.llm import langid, quality, queries, toxicity
-from cornerstore.llm.frames import table
+from cornerstore.llm.frames import sample_of_labels, table
 
 
 def part(doc_id, parts):
@@ -82,6 +82,49 @@ def test_toxicity_edge_rows(spark, edge_docs, no_docs):
     assert toxicity.fit_toxicity(no_docs, labels).weights == {}
 
 
+def test_training_rows_are_the_same_each_time(spark):
+    """Of near copies the smallest doc_id, of a repeated doc_id one text; whole texts are looked at."""
+    same, other = prose(1, 60), prose(2, 60)
+    late = " ".join(f"a{k}1b" for k in range(3_000)) + " m0r0n"
+    rows = [(9, same), (3, same), (4, other), (4, prose(3, 60)), (5, prose(4, 60) + late), (6, None)] + [(7, other + "!")] * 50
+    labels = [(9, 1), (3, 0), (4, 0), (5, 1), (6, 0), (7, 0)]
+    labels = [(i, t) for i, t in labels if part(i, 4) != 2]
+    found = []
+    for turned in (rows, rows[::-1]):
+        docs = spark.createDataFrame(turned, "doc_id long, text string").repartition(5)
+        sample = toxicity._training_rows(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), 100)
+        found.append(sorted((r.s1, r.toxic, r.words, r.odd) for r in sample.collect()))
+    assert found[0] == found[1] and len(found[0]) <= len(labels)
+    if part(5, 4) != 2:
+        assert any("m0r0n" in odd and len(odd) > 2_000 for *_, odd in found[0])
+    if part(3, 4) != 2:
+        assert [t for s, t, *_ in found[0] if s == toxicity._sketches(same)[0]] == [0]
+
+
+def test_quality_hashes_whole_words(spark):
+    """Words without a space for long count with all their signs, and are not held."""
+    start = "好" * 300
+    a, b = quality._hashes["x" * 250 + "a"], quality._hashes["x" * 250 + "b"]
+    assert a[0] != b[0] and a[1] == b[1]
+    assert quality.shape(start + "Ab9") == "xXx9" and quality._hashes[start + "1"][1] != quality._hashes[start][1]
+    assert quality._hashes["short"] and max(map(len, quality._hashes)) <= quality.LONG_WORD
+    # A row that comes very often is one row of the scorer's sample.
+    docs = spark.createDataFrame([(None, prose(1, 90))] * 3_000 + [(k, prose(k, 90)) for k in range(200)], "doc_id long, text string")
+    model = quality.fit_quality(docs, rows=50)
+    assert quality.score_quality(docs, model).filter("kept").count() == 3_200
+
+
+def test_rare_languages_are_learned_at_every_size(spark):
+    """Each language has rows in the bounded sample, and rows that repeat count once."""
+    rows = [(k, prose(k, 30), "aa") for k in range(4_000)] + [(5_000 + k, prose(k, 30), "zz") for k in range(6)]
+    rows += [(None, "same", "aa")] * 2_000
+    known = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = sample_of_labels(known, "lang", ("doc_id", "text"), 400, {"aa": 6_000, "zz": 6}).collect()
+    assert sum(r.lang == "zz" for r in found) == 6
+    assert 150 < len(found) < 600 and sum(r.doc_id is None for r in found) <= 1
+    assert langid.fit_languages(known, rows=100).languages == ["aa", "zz"]
+
+
 def test_quality_against_given_labels(spark, small):
     rows = {r.doc_id: r for r in queries.op2_quality_classifier(spark, small).collect()}
     labels = table(spark, small, "labels").collect()
