@@ -14,7 +14,7 @@ from cornerstore.operators.metrics import daily_category_sales
 from cornerstore.operators.watermark import after_watermark, commit_watermark, load_watermark, watermark_of
 from cornerstore.plans.medallion import NO_CHANGES, batch_id_after
 from cornerstore.sinks.files import (
-    commit_snapshots, drop_staged, path_exists, read_buckets, stage_snapshots, upsert_buckets,
+    append_if_any, commit_snapshots, drop_staged, path_exists, read_buckets, stage_snapshots, upsert_buckets,
 )
 from cornerstore.schemas import schema
 from cornerstore.sources.files import require_columns
@@ -32,9 +32,8 @@ def extract(spark: SparkSession, source: DataFrame, root: str) -> tuple[str, Dat
     path = f"{root}/bronze/batch_id={batch_id}"
     if not path_exists(spark, f"{path}/_SUCCESS"):
         rows = after_watermark(require_columns(source, LAKE_COLUMNS), watermark)
-        if rows.isEmpty():
+        if not append_if_any(rows.withColumn("ingested_at", F.current_timestamp()), path):
             return batch_id, None
-        rows.withColumn("ingested_at", F.current_timestamp()).write.mode("overwrite").parquet(path)
     return batch_id, spark.read.parquet(path)
 
 
