@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cornerstore.contracts import LAKE_COLUMNS
@@ -68,13 +66,8 @@ def run(
     upsert_buckets(latest, f"{root}/silver", ["order_id"], batch_id, buckets, ["updated_at"], bucket_by)
     silver = read_silver(spark, root, time_type)
 
-    broken = silver.filter("quantity <= 0 OR price < 0 OR order_id IS NULL")
-    lines = [
-        checks.failures("silver_orders_unique", checks.duplicate_keys(silver, ["order_id"])),
-        checks.failures("silver_rows_valid", broken),
-        checks.failures("batch_reached_silver", checks.lineage_gaps(latest, silver, "updated_at")),
-    ]
-    gate = reduce(DataFrame.unionByName, lines).withColumn("passed", F.col("failures") == 0)
+    broken = F.expr("quantity <= 0 OR price < 0 OR order_id IS NULL")
+    gate = checks.stored_lines(silver, valid, "updated_at", broken).withColumn("passed", F.col("failures") == 0)
     checks.require_passed(gate)
 
     attempt = 0

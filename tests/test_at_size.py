@@ -127,3 +127,19 @@ def test_a_large_batch_leaves_what_a_small_one_leaves(spark, folder):
             *(small(gold[n].drop("last_refreshed_at")) for n in sorted(gold)),
         ]
     assert left["small"] == left["large"]
+
+
+def test_stored_lines_count_what_the_single_checks_count(spark):
+    kind = "order_id long, quantity int, updated_at timestamp_ntz"
+    sql = lambda values: spark.sql(f"SELECT * FROM VALUES {values} AS t(order_id, quantity, at)").select(
+        F.col("order_id").cast("long"), "quantity", F.expr("CAST(at AS timestamp_ntz)").alias("updated_at"))
+    silver = sql("(1, 1, '2026-01-02'), (1, 1, '2026-01-02'), (2, 0, '2026-01-01'), (3, 1, null), (6, 1, '2026-01-01'), (7, 1, '2026-01-01')")
+    batch = sql("(1, 1, '2026-01-01'), (2, 1, '2026-01-03'), (2, 1, '2026-01-01'), (3, 1, '2026-01-01'), (4, 1, '2026-01-01'), (5, 1, null), (7, 1, '2026-01-01')")
+    assert silver.schema.simpleString() == spark.createDataFrame([], kind).schema.simpleString()
+    lines = checks.stored_lines(silver, batch, "updated_at", F.expr("quantity <= 0"))
+    assert plan_of(lines).count("Exchange hashpartitioning") == 1
+    newest = batch.groupBy("order_id").agg(F.max("updated_at").alias("updated_at"))
+    assert {r["check_name"]: r["failures"] for r in lines.collect()} == {
+        "silver_orders_unique": checks.duplicate_keys(silver, ["order_id"]).count(), "silver_rows_valid": 1,
+        "batch_reached_silver": checks.lineage_gaps(newest, silver, "updated_at").count(),
+    }
