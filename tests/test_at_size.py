@@ -129,6 +129,31 @@ def test_a_large_batch_leaves_what_a_small_one_leaves(spark, folder):
     assert left["small"] == left["large"]
 
 
+def test_large_deltas_are_merged_by_one_join(spark, folder):
+    """As if merged one by one, rows without a version included; the stored rows are shuffled once."""
+    kind = "k long, at int, v string"
+    batches = [
+        [(1, 1, "a1"), (2, None, "a2"), (3, 5, "a3"), (4, 1, "a4")],
+        [(1, 2, "b1"), (2, 9, "b2"), (3, 4, "b3"), (5, None, "b5"), (6, 3, "b6"), (7, 1, "b7")],
+        [(1, 2, "c1"), (5, 9, "c5"), (6, None, "c6"), (7, 2, "c7"), (8, 1, "c8"), (4, None, "c4")],
+    ]
+    frames = [spark.createDataFrame(rows, kind) for rows in batches]
+    wanted = frames[0]
+    for frame in frames[1:]:
+        wanted = merge.merge_newer(wanted, frame, ["k"], ["at"])
+    for number, frame in enumerate(frames):
+        sinks.upsert_buckets(frame, folder, ["k"], f"batch-{number}", 4, ["at"], delta_share=1e9)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    assert small(sinks.read_buckets(spark, folder, frames[0].schema)) == small(wanted)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = sinks.read_buckets(spark, folder, frames[0].schema)
+        assert plan_of(merged).count("Exchange hashpartitioning") == 2
+        assert small(merged) == small(wanted)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_stored_lines_count_what_the_single_checks_count(spark):
     kind = "order_id long, quantity int, updated_at timestamp_ntz"
     sql = lambda values: spark.sql(f"SELECT * FROM VALUES {values} AS t(order_id, quantity, at)").select(
