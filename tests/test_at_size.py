@@ -168,3 +168,40 @@ def test_stored_lines_count_what_the_single_checks_count(spark):
         "silver_orders_unique": checks.duplicate_keys(silver, ["order_id"]).count(), "silver_rows_valid": 1,
         "batch_reached_silver": checks.lineage_gaps(newest, silver, "updated_at").count(),
     }
+
+
+def test_a_growing_table_is_rewritten_about_once(spark, folder):
+    """Twenty equal batches of new keys: merges rewrite a bounded share of what arrived, and no row is lost."""
+    table = spark.range(40_000).selectExpr("cast(id as int) order_id", "sha2(cast(id as string), 256) v", "1 n")
+    for number in range(20):
+        sinks.upsert_buckets(table.filter(f"order_id % 20 = {number}"), folder, ["order_id"], f"t{number}", 4, ["n"])
+    traffic = sinks._traffic(spark, folder)
+    assert 0 < traffic["rewritten"] <= sinks.REWRITE_SHARE * traffic["arrived"]
+    assert small(sinks.read_buckets(spark, folder, table.schema)) == small(table)
+
+
+@pytest.mark.parametrize("version", [["n"], ["n", "v"], []])
+def test_a_large_merge_into_buckets_is_one_shuffle(spark, folder, version):
+    kind = "order_id int, v string, n int"
+    batches = [
+        [(1, "a", 5), (2, "a", None), (3, "a", 3)],
+        [(1, "b", 5), (2, "b", 9), (3, "b", 2), (4, "b", None), (5, "b", 1), (6, "b", 7)],
+        [(1, "c", None), (4, "c", 8), (5, "c", None), (6, "c", 7), (7, "c", 1)],
+        [(3, "d", 3), (5, "d", 0), (6, "d", 6), (7, "d", 2)],
+    ]
+    frames = [spark.createDataFrame(rows, kind) for rows in batches]
+    left = {}
+    for name, threshold, share in (("small", "10m", 0.0), ("large", "-1", 0.0), ("waits", "-1", 1e9)):
+        before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            for number, frame in enumerate(frames):
+                last = share if number < 3 else 0.0
+                sinks.upsert_buckets(frame, f"{folder}/{name}", ["order_id"], f"t{number}", 4, version, delta_share=last)
+            left[name] = small(sinks.read_buckets(spark, f"{folder}/{name}", frames[0].schema))
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert left["small"] == left["large"] == left["waits"]
+    stored = spark.read.schema("order_id int, v string, n int, _bucket int").parquet(f"{folder}/small/state")
+    plan = plan_of(sinks._newest_by_bucket(stored, [f"{folder}/small/state"], ["order_id"], version, 3))
+    assert plan.count("Exchange hashpartitioning") == 1
