@@ -1,15 +1,18 @@
 """Steps that must not do wide or repeated work, whatever the size."""
 
+import re
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F, types as T
 
+from cornerstore.contracts import ORDER_EVENT_SCHEMA
 from cornerstore.operators import checks, merge, metrics
 from cornerstore.operators.clean import classify_bronze
 from cornerstore.plans import lakehouse, medallion
 from cornerstore.plans.inputs import bronze_lines, order_lines
 from cornerstore.sinks import files as sinks
+from cornerstore.sources import streams
 from test_plans import FOLDER, plan_of
 from test_streaming_and_pipelines import FIRST, MORE, source
 
@@ -205,3 +208,15 @@ def test_a_large_merge_into_buckets_is_one_shuffle(spark, folder, version):
     stored = spark.read.schema("order_id int, v string, n int, _bucket int").parquet(f"{folder}/small/state")
     plan = plan_of(sinks._newest_by_bucket(stored, [f"{folder}/small/state"], ["order_id"], version, 3))
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_a_message_is_parsed_twice_whatever_its_fields(spark):
+    """Once as a map of texts and once by schema, not once per field or branch."""
+    rows = streams.event_rows(spark.range(1).selectExpr("cast(id as string) value"), ORDER_EVENT_SCHEMA)
+    spark.conf.set("spark.sql.debug.maxToStringFields", "500")
+    try:
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    parsers = re.findall(r"from_json\((.*?)(?:, \(mode,PERMISSIVE\))?, value", plan)
+    assert len(set(parsers)) == 2 and plan.count("map_filter(") == 1
