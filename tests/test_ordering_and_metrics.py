@@ -84,6 +84,23 @@ def test_unique_orders_need_no_row_expansion(spark):
     assert "Expand" not in plan
 
 
+def test_orders_that_repeat_are_counted_once_without_row_expansion(spark):
+    """Neither of the two distinct counts keeps an entry per row in a task's memory."""
+    again = silver(spark).unionByName(silver(spark).withColumn("customer_name", F.lit("Cid"))).unionByName(
+        silver(spark).filter("order_id <= 2").withColumns({"order_id": F.lit(None).cast("long"), "category": F.lit("Kitchen")})
+    )
+    for keys in ([], ["category"], ["product", "category"]):
+        found = metrics.common_kpis(again, keys)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Expand" not in plan and "distinct" not in plan.replace("distinct_customers", "")
+        wanted = again.groupBy(*keys).agg(
+            F.sum("total_amount"), F.count_distinct("order_id"), F.sum("quantity"), F.count_distinct("customer_name"),
+        )
+        found = found.select(*keys, "total_revenue", "order_count", "units_sold", "distinct_customers")
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
+    assert metrics.overall_sales(again.filter("false")).first().order_count == 0
+
+
 def test_average_and_distinct_customers(spark):
     row = metrics.overall_sales(silver(spark)).first()
     assert row.metric_scope == "all_retail_sales"
