@@ -21,6 +21,11 @@ class Model:
     Incremental models and snapshots are kept in parts, and a build writes only the
     parts that have changed rows: ranges of a growing key if ``part_by`` gives them as
     a SQL expression (such as "order_id DIV 1000000"), else ``parts`` hash parts of the key.
+
+    Where ``build`` gives an incremental model several rows of a key, ``latest(rows, within)``
+    leaves the one with the greatest ``updated_at``. It gets the rows past the stored ones only,
+    which is the same as leaving late rows out afterwards, and dealt by the columns
+    ``within`` (a part of the key range, or none), as they are to be written.
     """
 
     name: str
@@ -32,6 +37,7 @@ class Model:
     warnings: frozenset[str] = frozenset()
     parts: int = 16
     part_by: str | None = None
+    latest: Callable[[DataFrame, Sequence[str]], DataFrame] | None = None
 
 
 def not_null(name: str, *columns: str) -> Callable[[DataFrame], dict[str, DataFrame]]:
@@ -158,7 +164,8 @@ def _materialize(
             stored = read_snapshot(spark, root, model.name) if current_path(spark, root, model.name) else None
             rows, combine = _changed(model, stored, built, now)
             part = F.expr(model.part_by) if model.part_by else F.pmod(F.xxhash64(model.key), F.lit(model.parts))
-            merge_parts(rows, root, model.name, run_id, part, combine)
+            keys = [model.key] if model.kind == "incremental" else []
+            merge_parts(rows, root, model.name, run_id, part, combine, keys)
     return read_snapshot(spark, root, model.name)
 
 
@@ -166,6 +173,11 @@ def _changed(model: Model, stored: DataFrame | None, built: DataFrame, now: Colu
     """The built rows that the stored model has not, and how they are merged into their parts."""
     if model.kind == "incremental":
         rows = built if stored is None else merge.newer_than_target(built, stored)
+        if model.latest and model.part_by:
+            dealt = rows.withColumn("_part", F.expr(model.part_by).cast("int")).repartition("_part")
+            rows = model.latest(dealt, ["_part"])
+        elif model.latest:
+            rows = model.latest(rows, [])
         return rows, lambda there, new: new if there is None else merge.merge_replace(there, new, [model.key])
     rows = built if stored is None else history.changed_rows(stored, built, model.key, model.checked)
 

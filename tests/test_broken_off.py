@@ -7,6 +7,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from cornerstore.operators.latest import latest_by_order
+from cornerstore.plans import models
 from cornerstore.sinks import files as sinks
 from cornerstore.streaming import history
 
@@ -306,6 +308,46 @@ def test_parts_of_no_rows_and_of_a_table_published_whole(spark, folder):
     assert state(sinks.read_snapshot(spark, folder, "w")) == [(1, "y", 2), (22, "x", 1)]
 
 
+def test_parts_are_merged_and_dealt_for_writing_by_one_shuffle(spark, folder, monkeypatch):
+    """Keys without a value replace nothing, and a key that comes twice stays twice, as in the join."""
+    part, plans, real = F.expr("coalesce(order_id, 0) DIV 10"), [], sinks.stage_parts
+
+    def noted(merged, *args):
+        plans.append(merged._jdf.queryExecution().optimizedPlan().toString())
+        return real(merged, *args)
+
+    monkeypatch.setattr(sinks, "stage_parts", noted)
+    monkeypatch.setattr(sinks, "MERGE_BYTES", 64)  # more than one slice a part
+    old = [(1, "a", 1), (2, "a", 1), (25, "a", 1), (None, "a", 1), (31, "a", 1)]
+    new = [(2, "b", 2), (2, "c", 2), (3, "b", 2), (None, "b", 2), (31, "b", 2), (95, "b", 2)]
+    merge = lambda there, came: came if there is None else replace_keys(there, came)
+    for name, keys in (("by_join", ()), ("by_part", ["order_id"])):
+        sinks.merge_parts(rows(spark, *old), folder, name, f"{name}-1", part, merge, keys)
+        sinks.merge_parts(rows(spark, *new), folder, name, f"{name}-2", part, merge, keys)
+    found = [sorted(map(str, sinks.read_snapshot(spark, folder, name).collect())) for name in ("by_join", "by_part")]
+    assert found[0] == found[1] and len(found[0]) == 9
+    assert plans[-1].count("Repartition") == 1 and "Join" not in plans[-1]
+
+
+def test_an_incremental_model_leaves_late_rows_out_before_it_looks_for_the_latest(spark, folder):
+    def latest(lines, within):
+        assert within == ["_part"]
+        return latest_by_order(lines, F.desc("v"), within=within)
+
+    model = models.Model("m", lambda ref: ref("lines"), "incremental", "order_id", part_by="order_id DIV 10", latest=latest)
+    kind = "order_id int, v string, updated_at int"
+    first = spark.createDataFrame([(1, "a", 1), (1, "b", 3), (2, "a", 3), (2, "c", 3), (25, "a", 2)], kind)
+    more = first.unionByName(spark.createDataFrame([(1, "d", 4), (1, "e", 4), (25, "late", 3), (31, "f", 5)], kind))
+    models.build_models(spark, [model], {"lines": first}, folder, "one")
+    models.build_models(spark, [model], {"lines": more}, folder, "two")
+    assert state(sinks.read_snapshot(spark, folder, "m")) == [(1, "e", 4), (2, "c", 3), (25, "a", 2), (31, "f", 5)]
+    fresh, _ = models._changed(model, sinks.read_snapshot(spark, folder, "m"), more, F.current_timestamp())
+    plans = fresh._jdf.queryExecution()
+    assert plans.executedPlan().toString().count("Exchange hashpartitioning") == 1
+    plan = plans.optimizedPlan().toString()
+    assert plan.index("Window") < plan.index("Repartition") < plan.index("scalar-subquery")
+
+
 def test_parts_made_from_an_older_version_are_refused(spark, folder, monkeypatch):
     part = F.expr("order_id DIV 10")
     sinks.merge_parts(rows(spark, (1, "a", 1)), folder, "t", "p1", part, replace_keys)
