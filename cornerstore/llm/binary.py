@@ -14,8 +14,10 @@ part of the set, so a task that is run again does no harm.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -23,38 +25,123 @@ from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cornerstore.llm.bpe import ByteBpe, _Words
+from cornerstore.llm.bpe import ByteBpe, _Words, byte_alphabet
 from cornerstore.llm.frames import ship
 from cornerstore.llm.rangecoder import decode_blocks, encode_blocks
 from cornerstore.session import shared_folder, write_and_reread
 
-MAGIC = b"TOKIDS01"
+MAGIC = b"TOKIDS02"
 BLOCK_IDS = 2048
-BLOCKS_AT_ONCE = 2048
+BLOCKS_AT_ONCE = 4096
+TEXT_AT_ONCE = 16 << 20
+PARTS_AT_ONCE = 1 << 14
+BYTES_AT_ONCE = 1 << 16
 
 
 class LibraryBpe(ByteBpe):
     """Encodes with the tokenizers library, word by word: each different word is asked for once.
 
     The library splits a text into words first and merges inside a word only, so the
-    ids of a text are those of its words.
+    ids of a text are those of its words. Its model is asked without its own word cache,
+    which takes longer to fill than new words take to merge.
     """
 
     def __init__(self, path: str, most_words: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers.models import BPE
 
         super().__init__(path, most_words)
-        self._library = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)["model"]
+        merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in spec.pop("merges")]
+        options = {name: value for name, value in spec.items() if name not in ("type", "vocab") and value is not None}
+        self._model = BPE(vocab=spec["vocab"], merges=merges, cache_capacity=0, **options)
+        self._shown = {byte: shown for shown, byte in byte_alphabet().items()}
         self._words = _Words(self._ask, most_words)
 
     def _ask(self, word: bytes) -> list[int]:
-        return self._library.encode(word.decode("utf-8"), add_special_tokens=False).ids
+        return [token.id for token in self._model.tokenize("".join([self._shown[byte] for byte in word]))]
+
+    def _new(self, part: str) -> bytes:
+        if not (part.isascii() and part[part[0] == " ":].isalpha()):
+            return self.encode(part)
+        if ids := self._words.before.get(part):
+            return self._words.keep(part, ids)
+        tokens = self._model.tokenize(part.replace(" ", self._shown[32]))
+        return self._words.keep(part, array("I", [token.id for token in tokens]).tobytes())
+
+    def encode_column(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of every text, in order; NULL counts as empty."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64)
+        start = 0
+        while start < len(texts):
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + TEXT_AT_ONCE, side="right")))
+            yield from self._encode_some(texts[start:stop])
+            start = stop
+
+    def _encode_some(self, texts: pa.Array) -> list[np.ndarray]:
+        """Encodes each different part of the texts once; texts with special tokens on their own."""
+        rows = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+        data = texts.buffers()[2]
+        text = np.frombuffer(data or b"", np.uint8)[rows[0]:rows[-1]]
+        rows = rows - rows[0]
+        begins = part_starts(text, rows)
+        offsets = np.append(begins, len(text)).astype(np.int32)
+        parts = pa.StringArray.from_buffers(len(begins), pa.py_buffer(offsets), pa.py_buffer(text)).dictionary_encode()
+        known = parts.dictionary.to_numpy(zero_copy_only=False).tolist()
+        coded = [self._words.get(part) or self._new(part) for part in known]
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) >> 2
+        begin, pool = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(coded), "<u4")
+        which = parts.indices.to_numpy()
+        after = np.append(0, np.cumsum(sizes[which]))
+        ids = np.empty(after[-1], "<u4")
+        for at in range(0, len(which), PARTS_AT_ONCE):
+            some = which[at:at + PARTS_AT_ONCE]
+            ends = after[at:at + len(some) + 1]
+            where = np.repeat(begin[some] - ends[:-1], sizes[some])
+            where += np.arange(ends[0], ends[-1])
+            ids[ends[0]:ends[-1]] = pool.take(where)
+        out = np.split(ids, after[np.searchsorted(begins, rows[1:-1])])
+        for special in self.special:
+            for row in np.flatnonzero(pc.match_substring(texts, special).to_numpy(zero_copy_only=False)).tolist():
+                out[row] = np.frombuffer(self.encode(texts[row].as_py()), "<u4")
+        return out
+
+
+def part_starts(text: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Where parts of UTF-8 text begin whose words do not depend on the other parts.
+
+    Every row begins a part, and so does what no word goes on with: an ASCII character that is
+    no letter behind a letter, ASCII white space behind a visible ASCII character, and a letter
+    behind such white space of one character other than a space. What follows a run of white
+    space decides where it is split, so a part ends in none of more than one character.
+    """
+    cut = np.zeros(len(text), dtype=bool)
+    for at in range(0, len(text), BYTES_AT_ONCE):
+        # With the two bytes before, which end the window before this one.
+        some = text[max(0, at - 2):at + BYTES_AT_ONCE]
+        letter = ((some | 32) - np.uint8(97)) < 26
+        ends = letter.copy()
+        # Latin-1 letters are 0xC3 and one byte, but for the signs of multiplication and division.
+        ends[1:] |= (some[:-1] == 0xC3) & (some[1:] != 0x97) & (some[1:] != 0xB7)
+        visible = (some - np.uint8(33)) < 94
+        space = (some == 32) | ((some - np.uint8(9)) < 5)
+        found = ends[:-1] & (some[1:] < 128) & ~letter[1:] | visible[:-1] & space[1:]
+        alone = space[1:-1] & (some[1:-1] != 32) & visible[:-2]
+        found[1:] |= alone & letter[2:]
+        first = max(at, 1)
+        last = min(at + BYTES_AT_ONCE, len(text))
+        cut[first:last] = found[len(found) - (last - first):]
+    cut[rows[:-1][rows[:-1] < len(text)]] = True
+    return np.flatnonzero(cut)
 
 
 @lru_cache(maxsize=4)
@@ -98,14 +185,14 @@ class ShardWriter:
         lengths = np.full(count, self.block_ids)
         if count and used % self.block_ids:
             lengths[-1] = used % self.block_ids
-        rows = np.zeros(count * self.block_ids, dtype=np.int64)
+        rows = np.zeros(count * self.block_ids, dtype="<u4")
         rows[:used] = part
         rows = rows.reshape(count, self.block_ids)
         for start in range(0, count, BLOCKS_AT_ONCE):
             many = slice(start, start + BLOCKS_AT_ONCE)
             for row, length, payload in zip(rows[many], lengths[many], encode_blocks(rows[many], lengths[many])):
                 self.file.write(payload)
-                check = zlib.crc32(row[:length].astype("<u4").tobytes())
+                check = zlib.crc32(row[:length])
                 self.blocks.append((int(length), len(payload), zlib.crc32(payload), check))
         self.held, self.size = [rest], len(rest)
 
@@ -160,7 +247,7 @@ def read_shard(path: str) -> Iterator[tuple[int | None, np.ndarray]]:
     with system.open_input_file(name) as file:
         shard = read_footer(file, size)
         file.seek(8)
-        held, doc = np.zeros(0, dtype=np.int64), 0
+        held, doc = np.zeros(0, dtype="<u4"), 0
         for start in range(0, len(shard.blocks), BLOCKS_AT_ONCE):
             many = shard.blocks[start:start + BLOCKS_AT_ONCE]
             payloads = [file.read(int(n)) for n in many[:, 1]]
@@ -168,7 +255,7 @@ def read_shard(path: str) -> Iterator[tuple[int | None, np.ndarray]]:
                 raise ValueError(f"a block of {path} is damaged")
             rows = decode_blocks(payloads, many[:, 0])
             ids = [row[:n] for row, n in zip(rows, many[:, 0])]
-            if [zlib.crc32(i.astype("<u4").tobytes()) for i in ids] != many[:, 3].tolist():
+            if [zlib.crc32(i) for i in ids] != many[:, 3].tolist():
                 raise ValueError(f"a block of {path} does not decode to its ids")
             held, at = np.concatenate([held, *ids]), 0
             while doc < len(shard.docs) and at + shard.tokens[doc] <= len(held):
@@ -198,9 +285,8 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0,
         path = f"{folder}/shard-{number:06d}-{uuid4().hex}.ids"
         encoder, end, writer = library(tokenizer), np.array([end_id], "<u4"), None
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode_column(batch.column(1))):
                 writer = writer or ShardWriter(path, block_ids)
-                ids = np.frombuffer(encoder.encode(text.as_py()), "<u4")
                 writer.add(doc_id, np.concatenate([ids, end]))
         if writer:
             n_docs, n_tokens = writer.close()
@@ -235,7 +321,7 @@ def read_shards(spark: SparkSession, shards: DataFrame) -> DataFrame:
             for path, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 made: list[tuple] = []
                 for doc_id, ids in read_shard(path):
-                    made.append((doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
+                    made.append((doc_id, start, len(ids), zlib.crc32(ids)))
                     start += len(ids)
                     if len(made) == 10_000:
                         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*made)], schema=arrow)

@@ -46,17 +46,23 @@ def byte_alphabet() -> dict[str, int]:
 class _Words(dict):
     """Word -> its ids as little-endian unsigned 32-bit integers, filled on demand.
 
-    The table starts anew when it holds ``most`` words, which bounds memory.
+    The table starts anew when it holds half of ``most`` words, which bounds memory. Until
+    the next time the words before are taken over when they come again.
     """
 
     def __init__(self, encode, most: int):
         super().__init__()
         self._encode, self._most = encode, most
+        self.before: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= self._most:
+        ids = self.before.get(word)
+        return self.keep(word, ids or array("I", self._encode(word.encode("utf-8"))).tobytes())
+
+    def keep(self, word: str, ids: bytes) -> bytes:
+        if 2 * len(self) >= self._most:
+            self.before = dict(self)
             self.clear()
-        ids = array("I", self._encode(word.encode("utf-8"))).tobytes()
         if len(ids) <= 4 * SHORT_WORD:
             self[word] = ids
         return ids

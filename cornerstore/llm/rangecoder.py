@@ -14,13 +14,23 @@ from __future__ import annotations
 
 import numpy as np
 
-SLOT_BITS = 12
+SLOT_BITS = 10
 SLOTS = 1 << SLOT_BITS
 SURE = 8
 STEP = 24
 MOST = 1 << 12
-LOW = (1 << 32) - 1
-TOP = 1 << 32
+MOST_SUM = 1 << 15
+# Order-0 counts take in what was seen, and all counts are held to these limits, at every so many ids.
+PAUSE = 32
+# Ids of a block that are brought into, or out of, the order of the steps at once.
+STEPS = 64
+# The interval of a block has STATE bits, and is widened by a digit when it is smaller than SMALL,
+# or than SCANT before the place in a range is coded.
+DIGIT = 32
+STATE = 62
+SMALL = 1 << STATE - DIGIT
+SCANT = 1 << 16
+WHOLE = (1 << DIGIT) - 1
 
 
 def _ranges(ids: int) -> np.ndarray:
@@ -31,176 +41,258 @@ def _ranges(ids: int) -> np.ndarray:
     return np.array(edges, dtype=np.int64)
 
 
-EDGES = _ranges(1 << 16)
-RANGE_OF = np.repeat(np.arange(len(EDGES) - 1), np.diff(EDGES)).astype(np.int64)
+IDS = 1 << 16
+EDGES = _ranges(IDS)
 WIDTH = np.diff(EDGES)
 GROUPS = len(WIDTH)
+RANGE_OF = np.repeat(np.arange(GROUPS), WIDTH).astype(np.uint8)
+# A last "range" of every id that an order named: it has no place and leaves the interval as it is.
+NAMED = GROUPS + 1
+WIDTHS = np.concatenate([WIDTH, [1, 1]])
+LOWEST = np.concatenate([EDGES, [0]])
+
+# The counts of the three outcomes share an integer, 16 bits each: neither, order 2, order 1.
+FIELD = (1 << 16) - 1
+ONE_EACH = 1 | 1 << 16 | 1 << 32
+TOO_MUCH = (~(MOST - 1) & FIELD) * ONE_EACH
+HALVED = (FIELD >> 1) * ONE_EACH
+GAIN = np.array([STEP, STEP << 16, STEP << 32], dtype=np.int64)
+
+# What an entry's confidence becomes by a wrong name (first half) or a right one, as a difference.
+TURN = np.array(
+    [(t >> 1) - t for t in range(SURE)] + [min(t + 1, SURE - 1) - t for t in range(SURE)], dtype=np.int64
+).astype(np.uint32)
+
+
+def _divide(wide: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Quotients of integers of which none is negative."""
+    return np.floor_divide(wide.view(np.uint64), total.view(np.uint64)).view(np.int64)
 
 
 class _Model:
-    """What the orders have seen so far, one row per block."""
+    """What the orders have seen so far, one column per block.
+
+    An entry of an order's table is the id it names, times ``SURE``, and its confidence;
+    an empty one names ``IDS``, which no id equals.
+    """
 
     def __init__(self, blocks: int):
-        self.lane = np.arange(blocks, dtype=np.int64)
-        self.named = [np.zeros(blocks * SLOTS, dtype=np.uint16) for _ in range(2)]
-        self.sure = [np.zeros(blocks * SLOTS, dtype=np.uint8) for _ in range(2)]
-        self.mixed = [np.full((blocks * SURE, 3), 4, dtype=np.int32) for _ in range(3)]
-        self.counts = np.full((blocks, GROUPS), 2, dtype=np.int32)
-        self.before = np.zeros((2, blocks), dtype=np.int64)
-        self.last = np.zeros(blocks, dtype=np.int64)
+        self.blocks, self.step = blocks, 0
+        self.entries = np.full(2 * blocks << SLOT_BITS, IDS * SURE, dtype=np.uint32)
+        self.mixed = np.full(3 * blocks * SURE, 4 * ONE_EACH, dtype=np.int64)
+        # Lower ends of the order-0 counts of every range of ids, and their total; then 0 and the total for NAMED.
+        self.sums = np.repeat(np.arange(0, 2 * GROUPS + 5, 2, dtype=np.uint16)[:, None], blocks, axis=1)
+        self._totals()
+        # Where in the sums the ids since the last pause belong.
+        self.seen: list[np.ndarray] = []
+        self.one = self.two = np.zeros(blocks, dtype=np.int64)
+        self.last = np.zeros(blocks, dtype=np.uint8)
+        self._first(blocks)
+
+    def _first(self, n: int) -> None:
+        """Goes on with the first n blocks."""
+        self.n, self.lane = n, np.arange(n, dtype=np.int64)
+        self.base = (self.lane * 2 + np.arange(2)[:, None]) << SLOT_BITS
+        self.row = (self.lane + self.blocks * np.arange(3)[:, None]) * SURE
+        self.one, self.two, self.last = self.one[:n], self.two[:n], self.last[:n]
+        self.at, self.rows = np.empty_like(self.base), np.empty_like(self.row)
+        # Lower ends of the mixed odds of the three outcomes, and their total.
+        self.odds = np.zeros((4, n), dtype=np.int64)
 
     def look(self, n: int) -> None:
         """Names and mixed odds for the next id of the first n blocks."""
-        one, two = self.before[0, :n], self.before[1, :n]
-        base = self.lane[:n] << SLOT_BITS
-        self.at = [
-            base + ((one * 40503 + two * 60493 + 1 ^ (two * 48271 >> 7)) & (SLOTS - 1)),
-            base + ((one * 40503 ^ one >> 4) & (SLOTS - 1)),
-        ]
-        self.name = [self.named[k].take(self.at[k]).astype(np.int64) for k in range(2)]
-        self.trust = [self.sure[k].take(self.at[k]).astype(np.int64) for k in range(2)]
-        rows = self.lane[:n] * SURE
-        self.rows = [rows + self.trust[0], rows + self.trust[1], rows + self.last[:n]]
-        odds = (
-            self.mixed[0].take(self.rows[0], axis=0) + self.mixed[1].take(self.rows[1], axis=0)
-            + self.mixed[2].take(self.rows[2], axis=0)
-        ).astype(np.int64)
-        # Neither of two equal names is coded twice, and an empty place names nothing.
-        self.can = [self.trust[0] > 0, (self.trust[1] > 0) & ((self.trust[0] == 0) | (self.name[0] != self.name[1]))]
-        odds[:, 1] *= self.can[0]
-        odds[:, 2] *= self.can[1]
-        self.none, self.two = odds[:, 0].copy(), odds[:, 0] + odds[:, 1]
-        self.odds, self.total = odds, self.two + odds[:, 2]
-
-    def learn(self, ids: np.ndarray, outcome: np.ndarray) -> None:
-        n = len(ids)
-        for k in range(2):
-            right = (self.name[k] == ids) & (self.trust[k] > 0)
-            keep = right | (self.trust[k] > 2)
-            trust = np.where(right, np.minimum(self.trust[k] + 1, SURE - 1), np.where(keep, self.trust[k] >> 1, 1))
-            self.named[k][self.at[k]] = np.where(keep, self.name[k], ids)
-            self.sure[k][self.at[k]] = trust
-        for table, rows in zip(self.mixed, self.rows):
-            flat, at = table.reshape(-1), rows * 3 + outcome
-            now = flat.take(at) + STEP
-            flat[at] = now
-            full = rows[now > MOST]
-            if len(full):
-                table[full] = (table[full] >> 1) + 1
-        self.before[1, :n] = self.before[0, :n]
-        self.before[0, :n] = ids
-        self.last[:n] = outcome
-
-    def count(self, blocks: np.ndarray, groups: np.ndarray) -> None:
-        flat, at = self.counts.reshape(-1), blocks * GROUPS + groups
-        now = flat.take(at) + STEP
-        flat[at] = now
-        full = blocks[now > MOST]
+        if n < self.n:
+            self._first(n)
+        at = self.at
+        np.multiply(self.two, 60493, out=at[0])
+        np.multiply(self.one, 40503, out=at[1])
+        at[0] += at[1]
+        at >>= 4
+        at &= SLOTS - 1
+        at += self.base
+        self.named = self.entries.take(at)
+        self.trust = self.named & SURE - 1
+        np.add(self.row[:2], self.trust, out=self.rows[:2])
+        np.add(self.row[2], self.last, out=self.rows[2])
+        self.parts = self.mixed.take(self.rows)
+        mixed = np.add.reduce(self.parts, axis=0)
+        # Neither of two equal names is coded twice, and an empty entry names nothing.
+        there = self.trust > 0
+        there[1] &= (self.named[0] ^ self.named[1]) >= SURE
+        _, none, two_of, total = self.odds
+        np.bitwise_and(mixed, FIELD, out=none)
+        mixed >>= 16
+        np.bitwise_and(mixed, FIELD, out=two_of)
+        two_of *= there[0]
+        two_of += none
+        mixed >>= 16
+        mixed *= there[1]
+        np.add(two_of, mixed, out=total)
+
+    def learn(self, ids: np.ndarray) -> None:
+        key = (ids * SURE).astype(np.uint32)
+        hits = (self.named ^ key) < SURE
+        turn = self.trust + (hits.view(np.uint8) << 3)
+        self.entries[self.at.reshape(-1)] = np.where(turn > 2, self.named + TURN.take(turn), key + 1).reshape(-1)
+        self.parts += GAIN.take(self.last)
+        self.mixed[self.rows.reshape(-1)] = self.parts.reshape(-1)
+        self.one, self.two = ids, self.one
+        self.step += 1
+        if self.step % PAUSE == 0:
+            self._pause()
+
+    def _pause(self) -> None:
+        counts = np.bincount(np.concatenate(self.seen), minlength=(GROUPS + 3) * self.blocks)
+        counts = counts[:GROUPS * self.blocks].reshape(GROUPS, self.blocks).astype(np.uint16)
+        counts *= STEP
+        sums = self.sums[:GROUPS + 1]
+        sums[1:] += np.cumsum(counts, axis=0, dtype=np.uint16)
+        self.seen = []
+        full = np.flatnonzero(sums[GROUPS] > MOST_SUM)
         if len(full):
-            self.counts[full] = (self.counts[full] >> 1) + 1
+            counts = np.diff(sums[:, full], axis=0)
+            sums[1:, full] = np.cumsum((counts >> 1) + 1, axis=0, dtype=np.uint16)
+        self._totals()
+        full = np.flatnonzero(self.mixed & TOO_MUCH)
+        self.mixed[full] = (self.mixed[full] >> 1 & HALVED) + ONE_EACH
+
+    def _totals(self) -> None:
+        self.sums[NAMED], self.sums[NAMED + 1] = 0, self.sums[GROUPS]
+        self.all = self.sums[GROUPS].astype(np.int64)
+
+
+def _active(lengths: np.ndarray, longest: int) -> list[int]:
+    """How many blocks have an id at each step."""
+    return (len(lengths) - np.searchsorted(lengths[::-1], np.arange(longest), side="right")).tolist()
+
+
+def _payloads(lanes: list[np.ndarray], digits: list[np.ndarray], blocks: int) -> list[bytes]:
+    """The digits of every block in the order in which they came, carries added to those before them."""
+    lane, digit = np.concatenate(lanes), np.concatenate(digits)
+    digit = digit[np.argsort(lane, kind="stable")]
+    while len(over := np.flatnonzero(digit >> DIGIT)):
+        digit[over] &= WHOLE
+        digit[over - 1] += 1
+    ends = np.cumsum(np.bincount(lane, minlength=blocks)) * 4
+    whole = digit.astype("<u4").tobytes()
+    return [whole[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
 
 
 def encode_blocks(ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
     """One payload per row of ``ids`` (blocks x longest), of which ``lengths`` ids count; longest rows first."""
     blocks, longest = ids.shape
+    if not blocks:
+        return []
     model = _Model(blocks)
-    low, wide = np.zeros(blocks, dtype=np.int64), np.full(blocks, 1 << 48, dtype=np.int64)
-    out = np.zeros((blocks, 3 * longest + 8), dtype=np.uint16)
-    size = np.zeros(blocks, dtype=np.int64)
-
-    def shift(these: np.ndarray) -> None:
-        while len(these):
-            lows, ranges = low[these], wide[these]
-            inner = lows & LOW
-            ranges = np.minimum(ranges, TOP - inner) << 16
-            place = size[these]
-            out[these, place] = lows >> 32
-            size[these] = place + 1
-            low[these], wide[these] = inner << 16, ranges
-            these = these[ranges < TOP]
-
-    def put(these, start, part, total) -> None:
-        each = wide[these] // total
-        low[these] += each * start
-        wide[these] = now = each * part
-        small = np.flatnonzero(now < TOP)
-        shift(small if isinstance(these, slice) else these[small])
-
-    active = len(lengths) - np.searchsorted(lengths[::-1], np.arange(longest), side="right")
-    for t in range(longest):
-        n = int(active[t])
+    low, wide = np.zeros(blocks, dtype=np.int64), np.full(blocks, 1 << STATE, dtype=np.int64)
+    lane_type = np.min_scalar_type(blocks)
+    lanes: list[np.ndarray] = []
+    digits: list[np.ndarray] = []
+
+    def widen(ranges: np.ndarray, least: int) -> None:
+        small = np.flatnonzero(ranges < least)
+        if len(small):
+            lost = low.take(small)
+            lanes.append(small.astype(lane_type))
+            digits.append(lost >> STATE - DIGIT)
+            low[small] = (lost & SMALL - 1) << DIGIT
+            ranges[small] = ranges.take(small) << DIGIT
+
+    for t, n in enumerate(_active(lengths, longest)):
+        if t % STEPS == 0:
+            steps = np.ascontiguousarray(ids[:, t:t + STEPS].T, dtype=np.int64)
         model.look(n)
-        now = ids[:n, t].astype(np.int64)
-        outcome = np.where(model.can[0] & (model.name[0] == now), 1, 0)
-        outcome[(outcome == 0) & model.can[1] & (model.name[1] == now)] = 2
-        start = np.where(outcome == 0, 0, np.where(outcome == 1, model.none, model.two))
-        put(slice(0, n), start, model.odds[model.lane[:n], outcome], model.total)
-        rest = np.flatnonzero(outcome == 0)
-        if len(rest):
-            asked = now[rest]
-            group = RANGE_OF[asked]
-            sums = np.cumsum(model.counts.take(rest, axis=0), axis=1, dtype=np.int32)
-            part = model.counts[rest, group]
-            put(rest, sums[np.arange(len(rest)), group] - part, part, sums[:, -1])
-            put(rest, asked - EDGES[group], 1, WIDTH[group])
-            model.count(rest, group)
-        model.learn(now, outcome)
-    for k in (32, 16, 0):
-        out[model.lane, size] = low >> k & 0xFFFF
-        size += 1
-    return [out[i, :size[i]].astype("<u2").tobytes() for i in range(blocks)]
+        now, lows, ranges = steps[t % STEPS, :n], low[:n], wide[:n]
+        hits = (model.named ^ (now * SURE).astype(np.uint32)) < SURE
+        model.last = outcome = hits[0].view(np.uint8) + ((hits[1] > hits[0]).view(np.uint8) << 1)
+        rest = outcome == 0
+        each = _divide(ranges, model.odds[3])
+        at = outcome * np.int64(n) + model.lane
+        start = model.odds.take(at)
+        at += n
+        lows += each * start
+        each *= model.odds.take(at) - start
+        group = RANGE_OF.take(now)
+        place = now - EDGES.take(group)
+        place *= rest
+        group = np.where(rest, group, np.uint8(NAMED))
+        at = group * np.int64(blocks) + model.lane
+        model.seen.append(at)
+        start = model.sums.take(at)
+        each = _divide(each, model.all[:n])
+        lows += each * start
+        each *= model.sums.take(at + blocks) - start
+        if each.min() < SCANT:
+            widen(each, SCANT)
+        each = _divide(each, WIDTHS.take(group))
+        place *= each
+        lows += place
+        ranges[:] = each
+        widen(ranges, SMALL)
+        model.learn(now)
+    for digit in (low >> STATE - DIGIT, (low & SMALL - 1) << 2):
+        lanes.append(np.arange(blocks, dtype=lane_type))
+        digits.append(digit)
+    return _payloads(lanes, digits, blocks)
 
 
 def decode_blocks(payloads: list[bytes], lengths: np.ndarray) -> np.ndarray:
     """The ids of ``encode_blocks``, one row per payload."""
     blocks, longest = len(payloads), int(lengths[0]) if len(lengths) else 0
-    words = np.zeros((blocks, 4 + max(map(len, payloads), default=0) // 2), dtype=np.uint16)
-    for i, payload in enumerate(payloads):
-        words[i, :len(payload) // 2] = np.frombuffer(payload, "<u2")
+    if not blocks:
+        return np.zeros((0, longest), dtype=np.uint32)
+    sizes = np.array([len(payload) // 4 for payload in payloads])
+    place = np.cumsum(sizes) - sizes
+    words = np.frombuffer(b"".join([*payloads, bytes(8)]), "<u4")
+    # A state is two digits less two bits, so those that follow begin within a digit.
+    code = words.take(place).astype(np.int64) << 30 | words.take(place + 1) >> 2
+    words = words[:-1] << 30 | words[1:] >> 2
+    place += 1
+    wide = np.full(blocks, 1 << STATE, dtype=np.int64)
     model = _Model(blocks)
-    low, wide = np.zeros(blocks, dtype=np.int64), np.full(blocks, 1 << 48, dtype=np.int64)
-    code = sum(words[:, k].astype(np.int64) << 32 - 16 * k for k in range(3))
-    at = np.full(blocks, 3, dtype=np.int64)
-    ids = np.zeros((blocks, longest), dtype=np.int32)
-
-    def value(these, total) -> tuple[np.ndarray, np.ndarray]:
-        each = wide[these] // total
-        return each, np.minimum((code[these] - low[these]) // each, total - 1)
-
-    def take(these, each, start, part) -> None:
-        low[these] += each * start
-        wide[these] = now = each * part
-        left = np.flatnonzero(now < TOP)
-        left = left if isinstance(these, slice) else these[left]
-        while len(left):
-            inner, ranges, place = low[left] & LOW, wide[left], at[left]
-            ranges = np.minimum(ranges, TOP - inner) << 16
-            code[left] = (code[left] & LOW) << 16 | words[left, np.minimum(place, words.shape[1] - 1)]
-            at[left] = place + 1
-            low[left], wide[left] = inner << 16, ranges
-            left = left[ranges < TOP]
-
-    active = len(lengths) - np.searchsorted(lengths[::-1], np.arange(longest), side="right")
-    for t in range(longest):
-        n = int(active[t])
+
+    def widen(ranges: np.ndarray, least: int) -> None:
+        small = np.flatnonzero(ranges < least)
+        if len(small):
+            at = place.take(small)
+            code[small] = code.take(small) << DIGIT | words.take(at, mode="clip")
+            at += 1
+            place[small] = at
+            ranges[small] = ranges.take(small) << DIGIT
+
+    ids, steps = np.zeros((blocks, longest), dtype=np.uint32), np.zeros((STEPS, blocks), dtype=np.uint32)
+    for t, n in enumerate(_active(lengths, longest)):
         model.look(n)
-        every = slice(0, n)
-        each, found = value(every, model.total)
-        outcome = (found >= model.none).astype(np.int64) + (found >= model.two)
-        start = np.where(outcome == 0, 0, np.where(outcome == 1, model.none, model.two))
-        take(every, each, start, model.odds[model.lane[:n], outcome])
-        now = np.where(outcome == 1, model.name[0], model.name[1])
-        rest = np.flatnonzero(outcome == 0)
-        if len(rest):
-            sums = np.cumsum(model.counts.take(rest, axis=0), axis=1, dtype=np.int32)
-            each, found = value(rest, sums[:, -1])
-            group = (sums <= found[:, None]).sum(axis=1)
-            part = model.counts[rest, group]
-            take(rest, each, sums[np.arange(len(rest)), group] - part, part)
-            each, place = value(rest, WIDTH[group])
-            take(rest, each, place, 1)
-            now[rest] = EDGES[group] + place
-            model.count(rest, group)
-        model.learn(now, outcome)
-        ids[:n, t] = now
+        ranges, codes = wide[:n], code[:n]
+        ends = _divide(ranges, model.odds[3]) * model.odds
+        named, other = codes >= ends[1], codes >= ends[2]
+        model.last = named.view(np.uint8) + other.view(np.uint8)
+        at = model.last * np.int64(n) + model.lane
+        start = ends.take(at)
+        at += n
+        codes -= start
+        each = ends.take(at) - start
+        rest = ~named
+        unit = _divide(each, model.all[:n])
+        found = _divide(codes, unit).astype(np.uint16)
+        below = model.sums[1:GROUPS + 1, :n] <= found
+        group = np.where(rest, np.add.reduce(below.view(np.uint8), axis=0, dtype=np.uint8), np.uint8(NAMED))
+        at = group * np.int64(blocks) + model.lane
+        model.seen.append(at)
+        start = model.sums.take(at)
+        codes -= unit * start
+        unit *= model.sums.take(at + blocks) - start
+        if unit.min() < SCANT:
+            widen(unit, SCANT)
+        unit = _divide(unit, WIDTHS.take(group))
+        inner = _divide(codes, unit)
+        codes -= unit * inner
+        ranges[:] = unit
+        inner += LOWEST.take(group)
+        now = np.where(rest, inner, np.where(other, model.named[1], model.named[0]) >> 3)
+        steps[t % STEPS, :n] = now
+        if t % STEPS == STEPS - 1 or t == longest - 1:
+            ids[:, t // STEPS * STEPS:t + 1] = steps[:t % STEPS + 1].T
+        widen(ranges, SMALL)
+        model.learn(now)
     return ids
